@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from wayfare.functions import columns, numbers, strings, times
 from wayfare.operators import quality, staging, topk, trips
 from wayfare.plans import bindings as b
-from wayfare.plans.registry import query, sql_fixed_sum, sql_money_sum
+from wayfare.plans.registry import query, sql_money_sum
 from wayfare.sources import files
 
 START, END = "1997-01-01", "1999-01-01"
@@ -122,7 +122,7 @@ def sql_over_views(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""SELECT o_orderkey, 'B' || lpad(CAST(o_orderkey AS VARCHAR), 5, '0') AS base_number,
       CASE WHEN o_orderkey % 7 = 0 THEN 's/' WHEN o_orderkey % 3 = 0 THEN 'a/' ELSE 'e/' END
-        || lpad(lower(to_hex(o_orderkey)), greatest(3, length(to_hex(o_orderkey))), '0') AS base_id
+        || lpad(lower(to_hex(o_orderkey)), CAST(greatest(3, length(to_hex(o_orderkey))) AS INTEGER), '0') AS base_id
     FROM orders""")
 def base_code(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = b.table(spark, sf_dir, "orders").select(
@@ -133,7 +133,7 @@ def base_code(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 0 THEN 's/' WHEN o_orderkey % 3 = 0 THEN 'a/' ELSE 'e/' END
-        || lpad(lower(to_hex(o_orderkey)), greatest(3, length(to_hex(o_orderkey))), '0') AS base_id
+        || lpad(lower(to_hex(o_orderkey)), CAST(greatest(3, length(to_hex(o_orderkey))) AS INTEGER), '0') AS base_id
     FROM orders""")
 def base_code_pandas_udf(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = b.table(spark, sf_dir, "orders")
@@ -141,8 +141,8 @@ def base_code_pandas_udf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""SELECT p_partkey, upper(trim(' ' || p_name || ' ')) AS code,
-      array_to_string(list_transform(string_split(lower(p_name), ' '), w -> upper(w[1]) || w[2:]), ' ') AS title,
-      array_to_string(list_transform(string_split(lower(p_brand), '#'), w -> upper(w[1]) || w[2:]), '#') AS brand,
+      array_to_string(list_transform(string_split(lower(p_name), ' '), lambda w: upper(w[1]) || w[2:]), ' ') AS title,
+      array_to_string(list_transform(string_split(lower(p_brand), '#'), lambda w: upper(w[1]) || w[2:]), '#') AS brand,
       substr(p_type, 1, 3) AS head, substr(p_type, -4, 4) AS tail FROM part""")
 def text_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return b.table(spark, sf_dir, "part").select(
@@ -156,7 +156,7 @@ def text_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""SELECT event_id, CAST(ts AS DATE) AS day, date_trunc('month', ts)::TIMESTAMP AS month,
-      year(ts) AS y, month(ts) AS m, epoch_ms(ts) AS millis, date_trunc('millisecond', ts)::TIMESTAMP AS from_millis,
+      year(ts) AS y, month(ts) AS m, epoch_us(ts) // 1000 AS millis, date_trunc('millisecond', ts)::TIMESTAMP AS from_millis,
       date_trunc('second', ts)::TIMESTAMP AS parsed, CAST(NULL AS TIMESTAMP) AS unparsed FROM events""")
 def time_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")
@@ -181,13 +181,13 @@ def json_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat.withColumn("record", F.to_json(F.struct("event_id", "k")))
 
 
-@query("""SELECT l_orderkey, l_linenumber, ROUND(l_extendedprice / NULLIF(l_quantity, 0), 2) AS unit_price,
+@query("""SELECT l_orderkey, l_linenumber, l_extendedprice / NULLIF(l_quantity, 0) AS unit_price,
       l_tax / NULLIF(l_discount, 0) AS ratio, COALESCE(NULLIF(l_tax, 0), -1.0) AS tax,
       CAST(ROUND(l_extendedprice) AS BIGINT) AS whole FROM lineitem""")
 def number_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return b.table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber",
-        F.round(numbers.safe_divide("l_extendedprice", "l_quantity"), 2).alias("unit_price"),
+        numbers.safe_divide("l_extendedprice", "l_quantity").alias("unit_price"),
         numbers.safe_divide("l_tax", "l_discount").alias("ratio"),
         F.coalesce(F.nullif("l_tax", F.lit(0.0)), F.lit(-1.0)).alias("tax"),
         numbers.round_to_long("l_extendedprice").alias("whole"),

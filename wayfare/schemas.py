@@ -5,11 +5,21 @@ Column names and types are fixed values: they are those of the public files.
 
 from __future__ import annotations
 
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructType, TimestampType
+
+_TYPES = {
+    "int": IntegerType(), "long": LongType(), "double": DoubleType(), "string": StringType(),
+    "timestamp": TimestampType(),
+}
 
 
 def ddl(text: str) -> StructType:
-    return StructType.fromDDL(text)
+    """Schema from ``name type, ...``; unlike ``fromDDL`` it needs no session."""
+    schema = StructType()
+    for field in text.split(","):
+        name, kind = field.split()
+        schema = schema.add(name, _TYPES[kind])
+    return schema
 
 
 GREEN_TRIPS = ddl("""
