@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DataType, DoubleType, FloatType, IntegralType, StringType, StructType
+
+from wayfare.functions.numbers import text_to_double, text_to_whole
 
 
 def underscore_names(df: DataFrame) -> DataFrame:
@@ -50,12 +52,21 @@ def with_constants(df: DataFrame, **values) -> DataFrame:
     return df.withColumns({name: F.lit(value) for name, value in values.items()})
 
 
+def tolerant_cast(df: DataFrame, name: str, kind: DataType) -> Column:
+    """A column of the frame as another type, bad values as NULL."""
+    column = F.col(f"`{name}`")
+    if df.schema[name].dataType == StringType():
+        if isinstance(kind, IntegralType):
+            return text_to_whole(column, kind.simpleString()).alias(name)
+        if isinstance(kind, (DoubleType, FloatType)):
+            return text_to_double(column).cast(kind).alias(name)
+    return column.try_cast(kind).alias(name)
+
+
 def cast_to(df: DataFrame, schema: StructType) -> DataFrame:
     """Cast the columns the schema names, bad values to NULL; leave the rest."""
     wanted = {f.name: f.dataType for f in schema.fields}
-    return df.select(
-        *[F.col(f"`{c}`").try_cast(wanted[c]).alias(c) if c in wanted else F.col(f"`{c}`") for c in df.columns]
-    )
+    return df.select(*[tolerant_cast(df, c, wanted[c]) if c in wanted else F.col(f"`{c}`") for c in df.columns])
 
 
 def union_by_name(frames: Sequence[DataFrame]) -> DataFrame:

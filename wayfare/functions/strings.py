@@ -5,13 +5,15 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from wayfare.functions.numbers import as_column
+from wayfare.functions.numbers import as_column, text_to_whole
 
 # The punctuation that starts a new word, besides white space.
 WORD_DELIMITERS = r"""[](){}/|\<>!?@"^#$&~_,.:;*%+-"""
 
 _DELIMITER_CLASS = "[" + "".join("\\" + c for c in WORD_DELIMITERS) + "]"
 
+_JOINT = "\ue000 "  # a private-use character and a blank: in no name
+
 
 def clean_code(text: Column | str) -> Column:
     """Upper-case code without surrounding blanks."""
@@ -22,16 +24,13 @@ def title_case(text: Column | str) -> Column:
     """First letter of every word in upper case, the rest in lower case.
 
     A word starts after white space or after any of ``WORD_DELIMITERS``.
-    Spark's ``initcap`` knows white space only, so it serves the texts without
-    punctuation; the others are cut behind each delimiter first.
+    Spark's ``initcap`` starts words behind blanks only, so texts with
+    punctuation get a joint with a blank behind each mark and lose it again.
     """
     trimmed = F.trim(as_column(text))
-    pieces = F.split(F.lower(trimmed), rf"(?<={_DELIMITER_CLASS}|\s)")
-    capitalised = F.transform(
-        pieces, lambda p: F.concat(F.upper(F.substring(p, 1, 1)), p.substr(F.lit(2), F.length(p)))
-    )
-    needs_cut = trimmed.rlike(rf"{_DELIMITER_CLASS}|[^\S ]")
-    return F.when(needs_cut, F.array_join(capitalised, "")).otherwise(F.initcap(trimmed))
+    joint = F.lit(_JOINT)
+    spaced = F.regexp_replace(trimmed, rf"({_DELIMITER_CLASS}|[^\S ])", "$1" + _JOINT)
+    return F.replace(F.initcap(spaced), joint, F.lit(""))
 
 
 def base_code(base_number: Column | str) -> Column:
@@ -40,7 +39,8 @@ def base_code(base_number: Column | str) -> Column:
     Multiples of 7 give ``s/``, other multiples of 3 ``a/``, the rest ``e/``.
     NULL where the part behind the first letter is no whole number.
     """
-    number = as_column(base_number).substr(F.lit(2), F.length(as_column(base_number))).try_cast("long")
+    text = as_column(base_number)
+    number = text_to_whole(text.substr(F.lit(2), F.length(text)))
     letter = (
         F.when(number % 7 == 0, F.lit("s/"))
         .when(number % 3 == 0, F.lit("a/"))

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType
 
-from wayfare.functions.numbers import round_to_long, safe_divide
+from wayfare.functions.columns import tolerant_cast
+from wayfare.functions.numbers import round_to_long, safe_divide, text_to_whole
 from wayfare.functions.strings import clean_code, title_case
 from wayfare.functions.times import parse_date
 
@@ -23,18 +25,18 @@ def clean_games(game: DataFrame, game_info: DataFrame, flagged_season: int = FLA
     attendance, and one with two infos gives two rows: check that ids of
     ``game_info`` are unique.
     """
-    attendance = game_info.select("game_id", F.col("attendance").try_cast("int").alias("attendance"))
+    attendance = game_info.select("game_id", tolerant_cast(game_info, "attendance", IntegerType()))
     season_id = F.col("season_id").cast("string")
-    season_year = F.substring("season_id", -4, 4).try_cast("int")
+    season_year = text_to_whole(F.substring("season_id", -4, 4), "int")
     regular = game.filter(season_id.startswith(REGULAR_SEASON))
     cleaned = regular.select(
         "game_id",
         parse_date("game_date").alias("game_date"),
         season_id.alias("season_id"),
         "team_id_home", "team_abbreviation_home", "team_name_home", "wl_home",
-        F.col("pts_home").try_cast("int").alias("pts_home"),
+        tolerant_cast(regular, "pts_home", IntegerType()),
         "team_id_away", "team_abbreviation_away", "team_name_away", "wl_away",
-        F.col("pts_away").try_cast("int").alias("pts_away"),
+        tolerant_cast(regular, "pts_away", IntegerType()),
     ).withColumns({
         "season_year": season_year,
         "home_win": F.when(F.col("wl_home") == "W", 1).otherwise(0),

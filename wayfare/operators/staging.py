@@ -6,8 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
-from wayfare.functions.columns import common_columns, rename
+from wayfare.functions.columns import common_columns, rename, tolerant_cast
 from wayfare.functions.numbers import as_column, cents
 from wayfare.functions.times import Moment, in_interval
 
@@ -26,7 +27,7 @@ def combine_services(
 
 
 def lookup_left(
-    facts: DataFrame, lookup: DataFrame, *, key: Column | str, lookup_key: str, take: Sequence[str]
+    facts: DataFrame, lookup: DataFrame, *, key: str, lookup_key: str, take: Sequence[str]
 ) -> DataFrame:
     """Add lookup columns by key; rows without a match, or with a key that is
     no whole number, keep NULL.
@@ -36,7 +37,7 @@ def lookup_left(
     """
     side = lookup.select(F.col(lookup_key).cast("long").alias("_lookup_key"), *take)
     return (
-        facts.withColumn("_fact_key", as_column(key).try_cast("long"))
+        facts.withColumn("_fact_key", tolerant_cast(facts, key, LongType()))
         .join(side, F.col("_fact_key") == F.col("_lookup_key"), "left")
         .drop("_fact_key", "_lookup_key")
     )

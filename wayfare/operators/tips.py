@@ -46,40 +46,44 @@ def tip_features(trips: DataFrame) -> DataFrame:
 
 def feature_info(
     df: DataFrame, numeric: Sequence[str] = NUMERIC, categorical: Sequence[str] = CATEGORICAL,
-    median_accuracy: int = 100_000,
+    median_accuracy: int = 10_000,
 ) -> DataFrame:
-    """One row per feature, from one pass.
+    """One row per feature.
 
-    The median is a value of the column whose rank is off by at most one in
-    ``median_accuracy`` of all rows; everything else is exact.
+    Numbers and categories are read in a pass each over their own columns:
+    in one pass every row would be repeated for each column whose values are
+    counted.  The median is a value of the column whose rank is off by at most
+    one in ``median_accuracy`` of all rows; everything else is exact.
     """
-    found = []
-    for c in numeric:
-        found += [
-            F.min(c).cast("double").alias(f"min_{c}"), F.max(c).cast("double").alias(f"max_{c}"),
-            F.avg(c).alias(f"mean_{c}"), F.stddev_samp(c).alias(f"stddev_{c}"),
-            F.percentile_approx(c, 0.5, median_accuracy).cast("double").alias(f"median_{c}"),
-            F.count_if(F.col(c).isNull()).alias(f"nulls_{c}"),
-        ]
-    for c in categorical:
-        found += [F.countDistinct(c).alias(f"categories_{c}"), F.count_if(F.col(c).isNull()).alias(f"nulls_{c}")]
-
-    def none(kind: str) -> Column:
-        return F.lit(None).cast(kind)
-
-    def row(c: str) -> Column:
-        is_number = c in numeric
-        measures = [
-            (F.col(f"{m}_{c}") if is_number else none("double")).alias(m)
-            for m in ("min", "max", "mean", "median", "stddev")
-        ]
-        categories = none("long") if is_number else F.col(f"categories_{c}")
+    def row(name: str, measures: dict[str, Column], categories: Column, nulls: Column) -> Column:
+        measured = [m.cast("double").alias(n) for n, m in measures.items()]
         return F.struct(
-            F.lit(c).alias("input"), *measures,
-            categories.alias("category_count"), F.col(f"nulls_{c}").alias("null_count"),
+            F.lit(name).alias("input"), *measured, categories.cast("long").alias("category_count"),
+            nulls.alias("null_count"),
         )
 
-    return df.agg(*found).select(F.inline(F.array(*[row(c) for c in (*numeric, *categorical)])))
+    def nulls(c: str) -> Column:
+        return F.count_if(F.col(c).isNull())
+
+    numbers = df.agg(*[
+        row(c, {
+            "min": F.min(c), "max": F.max(c), "mean": F.avg(c),
+            "median": F.percentile_approx(c, 0.5, median_accuracy), "stddev": F.stddev_samp(c),
+        }, F.lit(None), nulls(c)).alias(c)
+        for c in numeric
+    ]).select(F.inline(F.array(*numeric)))
+    if not categorical:
+        return numbers
+
+    # Each value once per task before the shuffle, spread over all tasks after it.
+    values = df.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("input"), F.col(c).cast("string").alias("value")) for c in categorical
+    ])))
+    counted = values.groupBy("input", "value").agg(F.count(F.lit(1)).alias("n")).groupBy("input").agg(
+        F.count("value").alias("category_count"),
+        F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).alias("null_count"),
+    )
+    return numbers.unionByName(counted, allowMissingColumns=True)
 
 
 def automatic_split(df: DataFrame, row_key: Sequence[str]) -> tuple[DataFrame, DataFrame]:
@@ -161,7 +165,7 @@ def predict(model: TipModel, df: DataFrame) -> DataFrame:
 
 
 def evaluate(
-    predicted: DataFrame, label: str = LABEL, prediction: str | None = None, median_accuracy: int = 100_000
+    predicted: DataFrame, label: str = LABEL, prediction: str | None = None, median_accuracy: int = 10_000
 ) -> DataFrame:
     """One row of error measures over the rows whose label is known."""
     y, p = F.col(label), F.col(prediction or f"predicted_{label}")

@@ -25,7 +25,7 @@ def tip_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _sql_number(column: str) -> str:
     return f"""SELECT '{column}' AS input, CAST(MIN({column}) AS DOUBLE) AS min, CAST(MAX({column}) AS DOUBLE) AS max,
-      ROUND(AVG({column}), 6) AS mean,
+      ROUND(AVG({column}), 7) AS mean,
       ROUND(stddev_samp({column}), 6) AS stddev, CAST(NULL AS BIGINT) AS category_count,
       COUNT(*) FILTER (WHERE {column} IS NULL) AS null_count FROM f"""
 
@@ -40,7 +40,7 @@ def _sql_category(column: str) -> str:
 def feature_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The median is approximate, so it is no value to compare exactly.
     info = tips.feature_info(_features(spark, sf_dir)).drop("median")
-    return info.withColumns({c: F.round(c, 6) for c in ("mean", "stddev")})
+    return info.withColumns({"mean": F.round("mean", 7), "stddev": F.round("stddev", 6)})
 
 
 def _one_feature(spark: SparkSession, sf_dir: str) -> tuple[tips.TipModel, DataFrame]:

@@ -53,9 +53,9 @@ def comparison_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def safe_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
     return b.table(spark, sf_dir, "orders").select(
         "o_orderkey",
-        F.substring("o_orderpriority", 1, 1).try_cast("long").alias("priority"),
-        F.col("o_orderpriority").try_cast("long").alias("not_a_number"),
-        F.col("o_orderkey").cast("string").try_cast("long").alias("number"),
+        numbers.text_to_whole(F.substring("o_orderpriority", 1, 1)).alias("priority"),
+        numbers.text_to_whole("o_orderpriority").alias("not_a_number"),
+        numbers.text_to_whole(F.col("o_orderkey").cast("string")).alias("number"),
     )
 
 
