@@ -8,7 +8,7 @@ from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import Imputer, OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import Imputer, OneHotEncoder, StringIndexerModel, VectorAssembler
 from pyspark.ml.regression import LinearRegression
 from pyspark.ml.tuning import TrainValidationSplit
 from pyspark.sql import Column, DataFrame
@@ -33,7 +33,9 @@ L2_CANDIDATES = (0.0, 0.1, 1.0, 10.0)
 TRIALS = 5
 PARALLEL_TRIALS = 2
 
-PREDICTION = f"predicted_{LABEL}"
+# The regression solves for all weights at once on the driver, which Spark does
+# for 4096 features at most.
+MAX_CATEGORIES = 4000
 
 
 def tip_features(trips: DataFrame) -> DataFrame:
@@ -120,24 +122,40 @@ class TipModel:
         return f"predicted_{self.label}"
 
 
-def _stages(numeric: Sequence[str], categorical: Sequence[str]) -> list:
-    filled, indexed, hot = ([f"_{kind}_{c}" for c in names] for kind, names in (
-        ("filled", numeric), ("index", categorical), ("hot", categorical)))
+def category_values(df: DataFrame, categorical: Sequence[str]) -> list[list[str]]:
+    """The values of each category column in order; an error if they are too many.
+
+    Only distinct values leave the executors, and no more than the limit.
+    """
+    found = df.select(F.inline(F.array(*[
+        F.struct(F.lit(i).alias("place"), F.col(c).cast("string").alias("value"))
+        for i, c in enumerate(categorical)
+    ]))).filter(F.col("value").isNotNull()).distinct()
+    rows = found.limit(MAX_CATEGORIES + 1).collect()
+    if len(rows) > MAX_CATEGORIES:
+        raise ValueError(f"more than {MAX_CATEGORIES} values in {', '.join(categorical)}")
+    return [sorted(r.value for r in rows if r.place == i) for i in range(len(categorical))]
+
+
+def _stages(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> list:
+    numbers, filled, indexed, hot = ([f"_{kind}_{c}" for c in names] for kind, names in (
+        ("number", numeric), ("filled", numeric), ("index", categorical), ("hot", categorical)))
     stages: list = []
     if numeric:
-        stages.append(Imputer(strategy="mean", inputCols=list(numeric), outputCols=filled))
+        stages.append(Imputer(strategy="mean", inputCols=numbers, outputCols=filled))
     if categorical:
         # Unknown and NULL categories share one extra index; it is last, so it
         # encodes as no category at all.
-        stages.append(StringIndexer(
-            inputCols=list(categorical), outputCols=indexed, handleInvalid="keep", stringOrderType="alphabetAsc"))
+        for c, index, values in zip(categorical, indexed, category_values(df, categorical)):
+            stages.append(StringIndexerModel.from_labels(values, c, index, "keep"))
         stages.append(OneHotEncoder(inputCols=indexed, outputCols=hot))
     stages.append(VectorAssembler(inputCols=[*filled, *hot], outputCol="_features"))
     return stages
 
 
-def _as_double(df: DataFrame, numeric: Sequence[str], label: str) -> DataFrame:
-    return df.withColumns({c: F.col(c).cast("double") for c in (*numeric, label) if c in df.columns})
+def _with_numbers(df: DataFrame, numeric: Sequence[str]) -> DataFrame:
+    """The numbers as doubles in columns of their own; the means need not be whole."""
+    return df.withColumns({f"_number_{c}": F.col(c).cast("double") for c in numeric})
 
 
 def train(
@@ -149,18 +167,18 @@ def train(
     Absent numbers count as the mean.  Training sends per-task sums of the
     size of features x features, never rows, to the driver.
     """
-    known = _as_double(df, numeric, label).filter(F.col(label).isNotNull())
+    known = _with_numbers(df, numeric).filter(F.col(label).isNotNull())
     regression = LinearRegression(
         featuresCol="_features", labelCol=label, predictionCol=f"predicted_{label}",
         regParam=regularisation, elasticNetParam=l1_share,
     )
-    fitted = Pipeline(stages=[*_stages(numeric, categorical), regression]).fit(known)
+    fitted = Pipeline(stages=[*_stages(known, numeric, categorical), regression]).fit(known)
     return TipModel(fitted, tuple(numeric), tuple(categorical), label)
 
 
 def predict(model: TipModel, df: DataFrame) -> DataFrame:
     """The rows with ``predicted_<label>``."""
-    scored = model.model.transform(_as_double(df, model.numeric, model.label))
+    scored = model.model.transform(_with_numbers(df, model.numeric))
     return scored.select(*df.columns, model.prediction)
 
 
@@ -188,8 +206,8 @@ def weights(model: TipModel) -> tuple[dict[str, float], dict[str, dict[str, floa
     numbers = {c: float(coefficients[i]) for i, c in enumerate(model.numeric)}
     at, categories = len(model.numeric), {}
     if model.categorical:
-        indexer = next(s for s in model.model.stages if hasattr(s, "labelsArray"))
-        for c, labels in zip(model.categorical, indexer.labelsArray):
+        indexers = [s for s in model.model.stages if isinstance(s, StringIndexerModel)]
+        for c, labels in zip(model.categorical, (s.labels for s in indexers)):
             categories[c] = {v: float(coefficients[at + i]) for i, v in enumerate(labels)}
             at += len(labels)
     return numbers, categories, float(model.regression.intercept)
@@ -200,7 +218,7 @@ def means(model: TipModel) -> dict[str, float]:
     if not model.numeric:
         return {}
     row = model.model.stages[0].surrogateDF.first()
-    return {c: float(row[c]) for c in model.numeric}
+    return {c: float(row[f"_number_{c}"]) for c in model.numeric}
 
 
 def explain(model: TipModel, df: DataFrame, top_features: int = 3) -> DataFrame:
@@ -230,7 +248,7 @@ def explain(model: TipModel, df: DataFrame, top_features: int = 3) -> DataFrame:
         ])
     )
     best = F.transform(F.slice(ranked, 1, top_features), lambda x: F.struct(x["feature"], x["attribution"]))
-    scored = model.model.transform(_as_double(df, model.numeric, model.label))
+    scored = model.model.transform(_with_numbers(df, model.numeric))
     total = F.lit(baseline)
     for _, s in shares:
         total = total + s
@@ -264,8 +282,8 @@ def tune(
     Returns the model and one entry per trial.  Features are prepared once for
     all trials.
     """
-    known = _as_double(df, numeric, label).filter(F.col(label).isNotNull())
-    prepared = Pipeline(stages=_stages(numeric, categorical)).fit(known)
+    known = _with_numbers(df, numeric).filter(F.col(label).isNotNull())
+    prepared = Pipeline(stages=_stages(known, numeric, categorical)).fit(known)
     regression = LinearRegression(featuresCol="_features", labelCol=label, predictionCol=f"predicted_{label}")
     points = trial_points(trials, seed)
     grid = []

@@ -9,7 +9,7 @@ from wayfare.operators import dashboard, games
 from wayfare.plans import bindings as b
 from wayfare.plans.registry import query, sql_fixed_sum
 
-_CLEANED = f"""cleaned AS (SELECT g.game_id, TRY_CAST(substr(game_date, 1, 10) AS DATE) AS game_date, season_id,
+CLEANED = f"""cleaned AS (SELECT g.game_id, TRY_CAST(substr(game_date, 1, 10) AS DATE) AS game_date, season_id,
     team_id_home, team_abbreviation_home, team_name_home, wl_home, TRY_CAST(pts_home AS INTEGER) AS pts_home,
     team_id_away, team_abbreviation_away, team_name_away, wl_away, TRY_CAST(pts_away AS INTEGER) AS pts_away,
     TRY_CAST(right(season_id, 4) AS INTEGER) AS season_year,
@@ -25,23 +25,23 @@ def _cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return games.clean_games(b.raw_games(spark, sf_dir), b.game_info(spark, sf_dir), b.FLAGGED_YEAR)
 
 
-@query(f"WITH {_CLEANED} SELECT * FROM cleaned")
+@query(f"WITH {CLEANED} SELECT * FROM cleaned")
 def clean_games(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _cleaned(spark, sf_dir)
 
 
-def _sql_title(column: str) -> str:
+def sql_title(column: str) -> str:
     # The names' words are lower case, split by blank, hyphen and full stop.
     return (
         f"replace(replace(replace(trim({column}), 'grand', 'Grand'), 'nation', 'Nation'), ' no.', ' No.')"
     )
 
 
-@query(f"""WITH {_CLEANED} SELECT game_id, game_date, season_id, CAST(season_year AS BIGINT) AS season_year,
+@query(f"""WITH {CLEANED} SELECT game_id, game_date, season_id, CAST(season_year AS BIGINT) AS season_year,
     CAST(team_id_home AS VARCHAR) AS team_id_home, upper(trim(team_abbreviation_home)) AS team_abbr_home,
-    {_sql_title('team_name_home')} AS team_name_home, wl_home, CAST(pts_home AS BIGINT) AS pts_home,
+    {sql_title('team_name_home')} AS team_name_home, wl_home, CAST(pts_home AS BIGINT) AS pts_home,
     CAST(team_id_away AS VARCHAR) AS team_id_away, upper(trim(team_abbreviation_away)) AS team_abbr_away,
-    {_sql_title('team_name_away')} AS team_name_away, wl_away, CAST(pts_away AS BIGINT) AS pts_away,
+    {sql_title('team_name_away')} AS team_name_away, wl_away, CAST(pts_away AS BIGINT) AS pts_away,
     CAST(home_win AS BIGINT) AS home_win, is_bubble_season, CAST(attendance AS BIGINT) AS attendance
   FROM cleaned""")
 def stage_games(spark: SparkSession, sf_dir: str) -> DataFrame:

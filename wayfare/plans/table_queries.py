@@ -14,7 +14,7 @@ from wayfare.operators import changes, staging, trips
 from wayfare.plans import bindings as b
 from wayfare.plans.registry import query
 from wayfare.scratch import fresh_path
-from wayfare.schemas import ddl
+from wayfare.schemas import PAYMENT_LOOKUP, ddl
 from wayfare.sinks import incremental, tables
 from wayfare.sources import files, months
 
@@ -52,12 +52,11 @@ def csv_inferred_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("o_orderkey", "o_orderstatus", "o_totalprice")
 
 
-@query("SELECT n_nationkey AS payment_type_id, n_name AS payment_type_name FROM nation")
+@query("SELECT CAST(c_custkey AS INTEGER) AS payment_type_id, c_name AS payment_type_name FROM customer")
 def seed_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "seed")
-    nation = b.table(spark, sf_dir, "nation")
-    nation.select("n_nationkey", "n_name").write.option("header", True).csv(path)
-    return files.seed(spark, path, ddl("payment_type_id int, payment_type_name string"))
+    b.table(spark, sf_dir, "customer").select("c_custkey", "c_name").write.option("header", True).csv(path)
+    return files.seed(spark, path, PAYMENT_LOOKUP)
 
 
 @query("SELECT year(o_orderdate) AS y, month(o_orderdate) AS m, COUNT(*) AS n FROM orders GROUP BY 1, 2")
@@ -155,6 +154,17 @@ def integer_range_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.groupBy("l_suppkey").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("SELECT o_orderkey, o_custkey, o_orderstatus, -o_totalprice AS o_totalprice, o_orderpriority FROM orders")
+def table_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table created from a query, replaced by another, emptied and filled again."""
+    orders, name = _orders(spark, sf_dir), "wayfare_orders"
+    where = fresh_path(spark, "table")
+    tables.create_table(orders.select("o_orderkey"), name, location=where)
+    tables.create_table(orders, name, location=where)
+    negative = orders.withColumn("o_totalprice", -F.col("o_totalprice")).select(*reversed(ORDER_COLUMNS))
+    return tables.truncate_insert(negative, name)
+
+
 # Incremental changes.  The new rows are the whole table again, altered.
 
 

@@ -15,6 +15,9 @@ COMMON = {
     # turns a sort-merge join into a broadcast one once a side's size is known.
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+}
+
+STREAMING = {
     # Merge the sessions of one map task before the shuffle, so a hot key
     # reaches its state partition as sessions, not as single events.
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
@@ -24,6 +27,13 @@ COMMON = {
 }
 
 
+def prepare_streams(spark: SparkSession) -> None:
+    """Set what streams need where the session's owner has not decided."""
+    for key, value in STREAMING.items():
+        if spark.conf.get(key, None) is None:
+            spark.conf.set(key, value)
+
+
 def local_session(app: str = "wayfare", cpus: int | None = None, **extra: str) -> SparkSession:
     """A local session for tests and benchmarks; clusters bring their own."""
     cpus = cpus or os.cpu_count() or 4

@@ -68,12 +68,19 @@ def write_by_integer_range(
     write_partitioned(ranged, path, f"{column}_from", [column, *cluster], mode)
 
 
-def create_table(df: DataFrame, name: str, partition: str | None = None, cluster: Sequence[str] = ()) -> DataFrame:
-    """Create or replace a managed Parquet table from a query, and return it."""
+def create_table(
+    df: DataFrame, name: str, partition: str | None = None, cluster: Sequence[str] = (), location: str | None = None
+) -> DataFrame:
+    """Create or replace a Parquet table from a query, and return it.
+
+    With a location the files go there, otherwise into the warehouse.
+    """
+    writer = (laid_out(df, partition, cluster) if partition else df).write.mode("overwrite")
     if partition:
-        laid_out(df, partition, cluster).write.mode("overwrite").partitionBy(partition).saveAsTable(name)
-    else:
-        df.write.mode("overwrite").saveAsTable(name)
+        writer = writer.partitionBy(partition)
+    if location:
+        writer = writer.option("path", location)
+    writer.saveAsTable(name)
     return df.sparkSession.table(name)
 
 

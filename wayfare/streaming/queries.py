@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from wayfare.session import prepare_streams
 from wayfare.sinks import incremental
 
 CHECKPOINT_INTERVAL = "10 seconds"
@@ -30,6 +31,7 @@ def append_to_files(
 
     Windows are written when the watermark has passed their end.
     """
+    prepare_streams(stream.sparkSession)
     writer = stream.writeStream.outputMode("append").format("parquet").option("path", path)
     if partition:
         writer = writer.partitionBy(partition)
@@ -44,6 +46,7 @@ def for_each_batch(
 
     A batch may be handed over again after a failure.
     """
+    prepare_streams(stream.sparkSession)
     return _triggered(stream.writeStream.outputMode(mode).foreachBatch(write), checkpoint, drain).start()
 
 
@@ -78,9 +81,7 @@ def dropped_late_rows(query: StreamingQuery) -> int:
     )
 
 
-def drain_to_files(
-    stream: DataFrame, path: str, checkpoint: str
-) -> DataFrame:
+def drain_to_files(stream: DataFrame, path: str, checkpoint: str) -> DataFrame:
     """Work off a stream into a folder and read that folder."""
     spark: SparkSession = stream.sparkSession
     finish(append_to_files(stream, path, checkpoint, drain=True))
