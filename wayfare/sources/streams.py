@@ -12,7 +12,7 @@ BAD_RECORD = "bad_record"
 def parse_records(raw: DataFrame, schema: StructType, value: str = "value") -> DataFrame:
     """Typed columns from JSON text; ``bad_record`` holds the text that is no such record."""
     text = F.col(value).cast("string")
-    with_slot = StructType(schema.fields).add(BAD_RECORD, "string")
+    with_slot = StructType([*schema.fields]).add(BAD_RECORD, "string")
     parsed = F.from_json(text, with_slot, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD_RECORD})
     return raw.select(parsed.alias("r")).select("r.*")
 
