@@ -9,7 +9,6 @@ before anything else, so no row is lost.  One writer at a time per table.
 from __future__ import annotations
 
 import datetime as dt
-import urllib.parse
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,7 +16,7 @@ from pyspark.sql import functions as F
 
 from wayfare.functions.times import Moment, in_interval, to_moment
 from wayfare.operators import changes
-from wayfare.sinks.tables import laid_out
+from wayfare.sinks.tables import write_partitioned
 from wayfare.sources.storage import Storage
 
 # Folders beside the partitions; readers skip names that begin with "_".
@@ -26,17 +25,11 @@ EMPTIED = "_emptied"  # one empty folder per partition that loses all its rows
 READY = "_ready"  # made last: everything above is complete
 INCOMING = "_incoming"  # new rows of an upsert, written once and read twice
 
-NULL_VALUE = "__HIVE_DEFAULT_PARTITION__"
-
 
 def _partition_folders(storage: Storage, path: str) -> set[str]:
     return {f for f in storage.folders(path) if "=" in f}
 
 
-def _value(folder: str) -> str:
-    return urllib.parse.unquote(folder.split("=", 1)[1])
-
-
 def read_table(spark: SparkSession, path: str) -> DataFrame | None:
     """The table, or None before its first write."""
     return spark.read.parquet(path) if _partition_folders(Storage(spark), path) else None
@@ -60,14 +53,13 @@ def finish(spark: SparkSession, path: str) -> None:
     spark.catalog.refreshByPath(path)
 
 
-def _write(df: DataFrame, path: str, partition: str, cluster: Sequence[str]) -> None:
-    laid_out(df, partition, cluster).write.mode("overwrite").partitionBy(partition).parquet(path)
-
-
-def _stage(df: DataFrame, path: str, partition: str, cluster: Sequence[str], replaced: set[str]) -> None:
-    """Write the new state of the ``replaced`` partition folders beside the table."""
+def _stage(
+    df: DataFrame, path: str, partition: str, cluster: Sequence[str], replaced: set[str] = frozenset()
+) -> None:
+    """Write partitions in their new state beside the table; those of
+    ``replaced`` that got no row are to be emptied."""
     storage = Storage(df.sparkSession)
-    _write(df, f"{path}/{STAGED}", partition, cluster)
+    write_partitioned(df, f"{path}/{STAGED}", partition, cluster)
     for folder in replaced - _partition_folders(storage, f"{path}/{STAGED}"):
         storage.make(f"{path}/{EMPTIED}/{folder}")
     storage.make(f"{path}/{READY}")
@@ -92,12 +84,9 @@ def replace_interval(
         return
     result = new.filter(in_interval(key, start, end)).withColumn(partition, F.to_date(key))
     target = read_table(spark, path)
-    if target is None:
-        _write(result, path, partition, cluster)
-        return
     first, last = start.date(), (end - dt.timedelta(microseconds=1)).date()
     cut = [d for d, m in ((first, start), (last, end)) if m.time() != dt.time()]
-    if cut:
+    if cut and target is not None:
         on_edge = target.filter(F.col(partition).isin(cut))
         result = changes.outside_interval(on_edge, key, start, end).unionByName(result)
     days = {f"{partition}={first + dt.timedelta(days=i)}" for i in range((last - first).days + 1)}
@@ -105,10 +94,11 @@ def replace_interval(
     finish(spark, path)
 
 
-def _in_partitions(df: DataFrame, partition: str, values: Sequence[str]) -> DataFrame:
-    names = [v for v in values if v != NULL_VALUE]
-    kept = F.col(partition).isin(*names) if names else F.lit(False)
-    if len(names) < len(values):
+def _in_partitions(df: DataFrame, partition: str, values: Sequence) -> DataFrame:
+    """Rows of the named partitions; the others are not even listed."""
+    known = [v for v in values if v is not None]
+    kept = F.col(partition).isin(known) if known else F.lit(False)
+    if len(known) < len(values):
         kept = kept | F.col(partition).isNull()
     return df.filter(kept)
 
@@ -140,16 +130,17 @@ def _rewrite(path: str, new: DataFrame, partition: str, cluster: Sequence[str],
     if target is not None and set(target.columns) - set(new.columns):
         raise ValueError(f"new rows lack {sorted(set(target.columns) - set(new.columns))}")
     # Written once, so an expensive or unrepeatable input is computed once.
-    new.write.mode("overwrite").partitionBy(partition).parquet(f"{path}/{INCOMING}")
-    touched = _partition_folders(Storage(spark), f"{path}/{INCOMING}")
+    new.write.mode("overwrite").parquet(f"{path}/{INCOMING}")
+    rows = spark.read.schema(new.schema).parquet(f"{path}/{INCOMING}")
+    # No more values than the table has folders: what a listing would return.
+    touched = [r[0] for r in rows.select(partition).distinct().collect()]
     if touched:
-        rows = spark.read.schema(new.schema).parquet(f"{path}/{INCOMING}").select(*new.columns)
         if target is None:
             old = rows.filter(F.lit(False))
         else:
             typed = spark.read.schema(new.schema).parquet(path).select(*new.columns)
-            old = _in_partitions(typed, partition, sorted(map(_value, touched)))
-        _stage(change(old, rows), path, partition, cluster, touched)
+            old = _in_partitions(typed, partition, touched)
+        _stage(change(old, rows), path, partition, cluster)
     finish(spark, path)
 
 
@@ -159,7 +150,14 @@ def load(
 ) -> None:
     """A run over ``[start, end)``: replace that window, or with ``full_refresh`` the whole table."""
     if full_refresh:
-        partition = f"{key}_date"
-        _write(new.withColumn(partition, F.to_date(key)), path, partition, cluster)
+        replace_all(path, new.withColumn(f"{key}_date", F.to_date(key)), f"{key}_date", cluster)
     else:
         replace_interval(path, new, key, start, end, cluster=cluster)
+
+
+def replace_all(path: str, new: DataFrame, partition: str, cluster: Sequence[str] = ()) -> None:
+    """The table becomes ``new``; the old rows stay until all new ones are written."""
+    spark = new.sparkSession
+    finish(spark, path)
+    _stage(new, path, partition, cluster, _partition_folders(Storage(spark), path))
+    finish(spark, path)
