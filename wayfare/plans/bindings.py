@@ -8,9 +8,28 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wayfare.schemas import ddl
+from wayfare.sources.streams import parquet_files
+
+
+# Declared, so that no job reads file footers before the query itself.
+TABLES = {
+    "region": ddl("r_regionkey int, r_name string"),
+    "nation": ddl("n_nationkey int, n_name string, n_regionkey int"),
+    "customer": ddl("c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"),
+    "supplier": ddl("s_suppkey long, s_name string, s_nationkey int, s_acctbal double"),
+    "part": ddl("p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"),
+    "orders": ddl("""o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double,
+        o_orderdate timestamp_ntz, o_orderpriority string"""),
+    "lineitem": ddl("""l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double,
+        l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string,
+        l_shipdate timestamp_ntz"""),
+    "events": ddl("event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"),
+}
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -232,10 +251,7 @@ def _ride() -> list[Column]:
 
 def ride_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same rides as a stream of files."""
-    from wayfare.sources.streams import parquet_files
-
-    schema = table(spark, sf_dir, "events").schema
-    return parquet_files(spark, f"{sf_dir}/events*.parquet", schema).select(*_ride())
+    return parquet_files(spark, f"{sf_dir}/events*.parquet", TABLES["events"]).select(*_ride())
 
 
 RIDES = """(SELECT ts AS pickup_datetime, user_id AS "PULocationID", value AS trip_distance,

@@ -5,11 +5,13 @@ Column names and types are fixed values: they are those of the public files.
 
 from __future__ import annotations
 
-from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructType, TimestampType
+from pyspark.sql.types import (
+    DoubleType, IntegerType, LongType, StringType, StructType, TimestampNTZType, TimestampType,
+)
 
 _TYPES = {
     "int": IntegerType(), "long": LongType(), "double": DoubleType(), "string": StringType(),
-    "timestamp": TimestampType(),
+    "timestamp": TimestampType(), "timestamp_ntz": TimestampNTZType(),
 }
 
 

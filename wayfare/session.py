@@ -15,6 +15,9 @@ COMMON = {
     # turns a sort-merge join into a broadcast one once a side's size is known.
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Python call sites in error messages; looking one up for every column
+    # makes wide plans slow to build.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 STREAMING = {
