@@ -106,21 +106,23 @@ def automatic_split(df: DataFrame, row_key: Sequence[str]) -> tuple[DataFrame, D
 
 @dataclass(frozen=True)
 class TipModel:
-    """A trained model with the feature names its parts stand for."""
+    """A trained regression as plain numbers: what scoring needs and no more."""
 
-    model: PipelineModel
-    numeric: tuple[str, ...]
-    categorical: tuple[str, ...]
-    label: str = LABEL
-
-    @property
-    def regression(self):
-        return self.model.stages[-1]
+    label: str
+    intercept: float
+    numbers: dict[str, float]  # weight per unit
+    means: dict[str, float]  # stand in for absent numbers
+    categories: dict[str, dict[str, float]]  # weight per value; unknown values have none
 
     @property
     def prediction(self) -> str:
         return f"predicted_{self.label}"
 
+    @property
+    def baseline(self) -> float:
+        """The prediction with all numbers at their mean and no category."""
+        return self.intercept + sum(w * self.means[c] for c, w in self.numbers.items())
+
 
 def category_values(df: DataFrame, categorical: Sequence[str]) -> list[list[str]]:
     """The values of each category column in order; an error if they are too many.
@@ -138,11 +140,11 @@ def category_values(df: DataFrame, categorical: Sequence[str]) -> list[list[str]
 
 
 def _stages(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> list:
-    numbers, filled, indexed, hot = ([f"_{kind}_{c}" for c in names] for kind, names in (
-        ("number", numeric), ("filled", numeric), ("index", categorical), ("hot", categorical)))
+    filled, indexed, hot = ([f"_{kind}_{c}" for c in names] for kind, names in (
+        ("filled", numeric), ("index", categorical), ("hot", categorical)))
     stages: list = []
     if numeric:
-        stages.append(Imputer(strategy="mean", inputCols=numbers, outputCols=filled))
+        stages.append(Imputer(strategy="mean", inputCols=_numbers(numeric), outputCols=filled))
     if categorical:
         # Unknown and NULL categories share one extra index; it is last, so it
         # encodes as no category at all.
@@ -158,6 +160,37 @@ def _with_numbers(df: DataFrame, numeric: Sequence[str]) -> DataFrame:
     return df.withColumns({f"_number_{c}": F.col(c).cast("double") for c in numeric})
 
 
+def fit(
+    df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], label: str, regularisation: float = 0.0,
+    l1_share: float = 0.0,
+) -> PipelineModel:
+    """The fitted stages, from the rows whose label is known."""
+    known = _with_numbers(df, numeric).filter(F.col(label).isNotNull())
+    prepared = Pipeline(stages=_stages(known, numeric, categorical)).fit(known)
+    regression = LinearRegression(
+        featuresCol="_features", labelCol=label, regParam=regularisation, elasticNetParam=l1_share
+    )
+    fitted = regression.fit(prepared.transform(known.select(label, *categorical, *_numbers(numeric))))
+    return PipelineModel([*prepared.stages, fitted])
+
+
+def _numbers(numeric: Sequence[str]) -> list[str]:
+    return [f"_number_{c}" for c in numeric]
+
+
+def read_weights(fitted: PipelineModel, numeric: Sequence[str], categorical: Sequence[str], label: str) -> TipModel:
+    """The fitted numbers under the names of the features they belong to."""
+    regression = fitted.stages[-1]
+    weights = iter(regression.coefficients.toArray().tolist())
+    numbers = {c: next(weights) for c in numeric}
+    indexers = [s for s in fitted.stages if isinstance(s, StringIndexerModel)]
+    categories = {c: {v: next(weights) for v in s.labels} for c, s in zip(categorical, indexers)}
+    means = fitted.stages[0].surrogateDF.first() if numeric else {}
+    return TipModel(
+        label, regression.intercept, numbers, {c: means[f"_number_{c}"] for c in numeric}, categories
+    )
+
+
 def train(
     df: DataFrame, numeric: Sequence[str] = NUMERIC, categorical: Sequence[str] = CATEGORICAL, *,
     label: str = LABEL, regularisation: float = 0.0, l1_share: float = 0.0,
@@ -167,19 +200,36 @@ def train(
     Absent numbers count as the mean.  Training sends per-task sums of the
     size of features x features, never rows, to the driver.
     """
-    known = _with_numbers(df, numeric).filter(F.col(label).isNotNull())
-    regression = LinearRegression(
-        featuresCol="_features", labelCol=label, predictionCol=f"predicted_{label}",
-        regParam=regularisation, elasticNetParam=l1_share,
-    )
-    fitted = Pipeline(stages=[*_stages(known, numeric, categorical), regression]).fit(known)
-    return TipModel(fitted, tuple(numeric), tuple(categorical), label)
+    return read_weights(fit(df, numeric, categorical, label, regularisation, l1_share), numeric, categorical, label)
+
+
+def _with_shares(model: TipModel, df: DataFrame) -> tuple[DataFrame, dict[str, Column]]:
+    """What each feature adds to the baseline, as native expressions.
+
+    The weights of a category's values are joined on: a table of at most
+    ``MAX_CATEGORIES`` rows, hence the broadcast.
+    """
+    shares = {}
+    for c, weight in model.numbers.items():
+        number = F.col(c).cast("double")
+        known = F.when(number.isNotNull() & ~F.isnan(number), number - F.lit(model.means[c])).otherwise(0.0)
+        shares[c] = F.lit(weight) * known
+    for c, weights in model.categories.items():
+        if weights:
+            listed = df.sparkSession.createDataFrame(list(weights.items()), f"_value_{c} string, _share_{c} double")
+            df = df.join(F.broadcast(listed), F.col(c).cast("string") == F.col(f"_value_{c}"), "left")
+            shares[c] = F.coalesce(F.col(f"_share_{c}"), F.lit(0.0))
+    return df, shares
+
+
+def _total(model: TipModel, shares: dict[str, Column]) -> Column:
+    return sum(shares.values(), F.lit(model.baseline)).alias(model.prediction)
 
 
 def predict(model: TipModel, df: DataFrame) -> DataFrame:
     """The rows with ``predicted_<label>``."""
-    scored = model.model.transform(_with_numbers(df, model.numeric))
-    return scored.select(*df.columns, model.prediction)
+    scored, shares = _with_shares(model, df)
+    return scored.select(*df.columns, _total(model, shares))
 
 
 def evaluate(
@@ -200,64 +250,25 @@ def evaluate(
     )
 
 
-def weights(model: TipModel) -> tuple[dict[str, float], dict[str, dict[str, float]], float]:
-    """Weights per number, weights per category value, and the intercept."""
-    coefficients = model.regression.coefficients.toArray()
-    numbers = {c: float(coefficients[i]) for i, c in enumerate(model.numeric)}
-    at, categories = len(model.numeric), {}
-    if model.categorical:
-        indexers = [s for s in model.model.stages if isinstance(s, StringIndexerModel)]
-        for c, labels in zip(model.categorical, (s.labels for s in indexers)):
-            categories[c] = {v: float(coefficients[at + i]) for i, v in enumerate(labels)}
-            at += len(labels)
-    return numbers, categories, float(model.regression.intercept)
-
-
-def means(model: TipModel) -> dict[str, float]:
-    """The training means of the numeric features."""
-    if not model.numeric:
-        return {}
-    row = model.model.stages[0].surrogateDF.first()
-    return {c: float(row[f"_number_{c}"]) for c in model.numeric}
-
-
 def explain(model: TipModel, df: DataFrame, top_features: int = 3) -> DataFrame:
     """Predictions with the features that moved each of them most.
 
     A number's share is its weight times its distance from the mean, a
-    category's share the weight of its value.  The baseline is the prediction
-    with all numbers at their mean and no category, so the baseline and the
-    shares of all features add up to the prediction.
+    category's share the weight of its value.  The baseline and the shares of
+    all features add up to the prediction, so nothing is approximate.
     """
-    numbers, categories, intercept = weights(model)
-    centre = means(model)
-    baseline = intercept + sum(w * centre[c] for c, w in numbers.items())
-    shares = [
-        (c, F.lit(w) * (F.coalesce(F.col(c).cast("double"), F.lit(centre[c])) - F.lit(centre[c])))
-        for c, w in numbers.items()
-    ]
-    indexed = {c: f"_index_{c}" for c in categories}
-    for c, by_value in categories.items():
-        # The index the model gave the value is its place in this list; the
-        # index behind the last place is that of unknown values.
-        listed = F.array(*[F.lit(w) for w in by_value.values()], F.lit(0.0))
-        shares.append((c, F.element_at(listed, F.col(indexed[c]).cast("int") + 1)))
-    ranked = F.array_sort(
-        F.array(*[
-            F.struct((-F.abs(s)).alias("order"), F.lit(c).alias("feature"), s.alias("attribution")) for c, s in shares
-        ])
-    )
+    scored, shares = _with_shares(model, df)
+    ranked = F.array_sort(F.array(*[
+        F.struct((-F.abs(s)).alias("order"), F.lit(c).alias("feature"), s.alias("attribution"))
+        for c, s in shares.items()
+    ]))
     best = F.transform(F.slice(ranked, 1, top_features), lambda x: F.struct(x["feature"], x["attribution"]))
-    scored = model.model.transform(_with_numbers(df, model.numeric))
-    total = F.lit(baseline)
-    for _, s in shares:
-        total = total + s
     return scored.select(
         *df.columns,
-        model.prediction,
+        _total(model, shares),
         best.alias("top_feature_attributions"),
-        F.lit(baseline).alias("baseline_prediction_value"),
-        (F.col(model.prediction) - total).alias("approximation_error"),
+        F.lit(model.baseline).alias("baseline_prediction_value"),
+        F.lit(0.0).alias("approximation_error"),
     )
 
 
@@ -295,10 +306,11 @@ def tune(
         evaluator=RegressionEvaluator(labelCol=label, predictionCol=f"predicted_{label}", metricName="mse"),
         trainRatio=0.8, parallelism=parallel, seed=seed,
     )
-    found = search.fit(prepared.transform(known).select(label, "_features"))
+    rows = known.select(label, *categorical, *_numbers(numeric))
+    found = search.fit(prepared.transform(rows).select(label, "_features"))
     best = PipelineModel([*prepared.stages, found.bestModel])
     log = [
         {"l1_reg": l1, "l2_reg": l2, "mean_squared_error": mse}
         for (l1, l2), mse in zip(points, found.validationMetrics)
     ]
-    return TipModel(best, tuple(numeric), tuple(categorical), label), log
+    return read_weights(best, numeric, categorical, label), log
