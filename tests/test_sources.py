@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from wayfare import schemas
 from wayfare.schemas import ddl
+from wayfare.plans import flows
 from wayfare.sources import files, months
 from wayfare.sinks import tables
 
@@ -118,3 +119,15 @@ def test_rows_of_files_by_prefix(spark, tmp_path):
     df = spark.read.parquet(str(tmp_path / "yellow_2020.parquet"), str(tmp_path / "yellow_2021.parquet"))
     assert files.from_files_starting(df, "yellow_2020").count() == 3
     assert {r.filename for r in files.with_file_name(df).collect()} == {"yellow_2020.parquet", "yellow_2021.parquet"}
+
+
+def test_hire_vehicle_flow(spark, tmp_path):
+    head = "dispatching_base_num,affiliated_base_number,pickup_datetime,dropoff_datetime,pulocationid,dolocationid,sr_flag\n"
+    (tmp_path / "m1.csv").write_text(head + "B1,B2,2019-01-05 10:00:00,2019-01-05 10:20:00,7,8,\n,,2019-01-05 10:00:00,,,,\n")
+    (tmp_path / "m2.csv").write_text(head + "B3,,2019-02-01 00:00:00,2019-02-01 00:10:00,,9,1\n")
+    sources = {n: str(tmp_path / f"{n}.csv") for n in ("m1", "m2")}
+    staged = flows.run_fhv(spark, sources, str(tmp_path / "warehouse"))
+    got = sorted((r.dispatching_base_num, r.pickup_location_id, r.pickup_datetime) for r in staged.collect())
+    assert got == [("B1", 7, D(2019, 1, 5, 10)), ("B3", None, D(2019, 2, 1))]
+    sample = flows.run_fhv(spark, sources, str(tmp_path / "warehouse"), ("2019-01-01", "2019-02-01"))
+    assert sample.count() == 1

@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+import os
 import random
 
 import pytest
@@ -60,7 +61,10 @@ class Feed:
 
     def add(self, *records):
         lines = [r if isinstance(r, str) else json.dumps(r) for r in records]
-        (self.folder / f"{self.n:04}.json").write_text("\n".join(lines) + "\n")
+        file = self.folder / f"{self.n:04}.json"
+        file.write_text("\n".join(lines) + "\n")
+        # Files are read in the order of their times, so no two may be equal.
+        os.utime(file, (1_700_000_000 + self.n,) * 2)
         self.n += 1
 
     def stream(self, schema):
@@ -162,3 +166,28 @@ def test_streamed_sessions_equal_those_of_the_table(spark, feed, tmp_path):
 def test_far_trips(spark):
     df = spark.createDataFrame([("5.0",), ("5.1",), ("12",)], "trip_distance string")
     assert tuple(windows.far_trips(df).first()) == (3, 2)
+
+
+def test_a_running_query_checkpoints_and_goes_on(spark, feed, tmp_path):
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "checkpoint")
+    for expected in (1, 2):
+        feed.add(ride(at(expected)))
+        passed = windows.pass_through(rides(feed), "tpep_pickup_datetime", "pickup_datetime", "PULocationID")
+        query = queries.append_to_files(passed, out, checkpoint)
+        query.processAllAvailable()
+        query.stop()
+        assert spark.read.parquet(out).count() == expected
+
+
+def test_batches_are_handed_to_a_writer(spark, feed, tmp_path):
+    feed.add(ride(at(1)), ride(at(2)))
+    feed.add(ride(at(3)))
+    path = str(tmp_path / "out")
+
+    def write(batch, number):
+        batch.withColumn("batch", F.lit(number)).write.mode("append").parquet(path)
+
+    passed = windows.pass_through(rides(feed), "tpep_pickup_datetime", "pickup_datetime", "PULocationID")
+    queries.finish(queries.for_each_batch(passed, write, str(tmp_path / "checkpoint"), drain=True))
+    counts = {r.batch: r["count"] for r in spark.read.parquet(path).groupBy("batch").count().collect()}
+    assert counts == {0: 2, 1: 1}
