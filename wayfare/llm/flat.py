@@ -20,7 +20,8 @@ CHUNK_BYTES = 2 << 20
 U64 = np.uint64
 _RANDOM = np.random.default_rng(20240229)
 BYTE_VALUES = _RANDOM.integers(0, 2**64, 256, dtype=U64) | U64(1)
-BASE = U64(0x9E3779B97F4A7C13)
+BASE = 0x9E3779B97F4A7C13
+BACK = pow(BASE, -1, 2**64)
 
 SPACES = b" \t\n\v\f\r"
 UPPER = slice(0x41, 0x5B)
@@ -93,17 +94,17 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-_powers = np.ones(1, U64)
+_powers: dict[int, np.ndarray] = {}
 
 
-def powers(n: int) -> np.ndarray:
-    """BASE**0 to BASE**(n - 1)."""
-    global _powers
-    if len(_powers) < n:
-        more = np.full(max(n, 2 * len(_powers)), BASE, U64)
-        more[0] = 1
-        _powers = np.multiply.accumulate(more)
-    return _powers[:n]
+def powers(base: int, n: int) -> np.ndarray:
+    """base**0 to base**(n - 1), kept for the next call."""
+    known = _powers.get(base, np.ones(1, U64))
+    if len(known) < n:
+        known = np.full(max(n, 2 * len(known)), base, U64)
+        known[0] = 1
+        known = _powers[base] = np.multiply.accumulate(known)
+    return known[:n]
 
 
 class Windows:
@@ -111,13 +112,13 @@ class Windows:
 
     def __init__(self, values: np.ndarray):
         self.n = len(values)
-        self.power = powers(self.n + 1)
+        self.back = powers(BACK, self.n + 1)  # moves a sum to place 0, so equal stretches have equal hashes anywhere
         self.total = np.zeros(self.n + 1, U64)
-        np.cumsum(values * self.power[: self.n], out=self.total[1:])
+        np.cumsum(values * powers(BASE, self.n), out=self.total[1:])
 
     def of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Hash of each stretch; the length takes part."""
-        sums = (self.total[ends] - self.total[starts]) * self.power[self.n - starts]
+        sums = (self.total[ends] - self.total[starts]) * self.back[starts]
         return mix(sums + (ends - starts).astype(U64) * U64(0xD6E8FEB86659FD93))
 
     def all(self, length: int) -> np.ndarray:
@@ -125,7 +126,7 @@ class Windows:
         if self.n < length:
             return np.zeros(0, U64)
         count = self.n - length + 1
-        sums = (self.total[length:] - self.total[:count]) * self.power[length : self.n + 1][::-1]
+        sums = (self.total[length:] - self.total[:count]) * self.back[:count]
         return mix(sums + U64(length * 0xD6E8FEB86659FD93 % 2**64))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wayfare.llm import rules
+from wayfare.llm import contamination, rules
 from wayfare.llm.registry import query, table
 
 
@@ -16,3 +16,15 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = [F.col(f"statistics.{name}").alias(name)
               for name in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
     return judged.select("doc_id", *counts, "base_failed", "kept", "rejecting_rule")
+
+
+@query()
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scanned = contamination.scan(docs, table(spark, sf_dir, "benchmark"))
+    items = contamination.found_items()
+    return scanned.select(
+        "doc_id", F.col("found.n_words").alias("n_words"), contamination.n_hit().alias("n_hit"),
+        F.size(items).cast("long").alias("n_items"), F.sha2(F.concat_ws(",", items), 256).alias("items_sha256"),
+        (contamination.n_hit() > 0).alias("contaminated"),
+    )
