@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wayfare.llm import contamination, rules
+from wayfare.llm import contamination, rules, substrings
 from wayfare.llm.registry import query, table
 
 
@@ -28,3 +28,10 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size(items).cast("long").alias("n_items"), F.sha2(F.concat_ws(",", items), 256).alias("items_sha256"),
         (contamination.n_hit() > 0).alias("contaminated"),
     )
+
+
+@query()
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    cut = substrings.deduplicate(docs)
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
