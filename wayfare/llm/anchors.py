@@ -16,7 +16,20 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from pyspark.sql import DataFrame, types as T
+
 from wayfare.llm import flat
+from wayfare.scratch import fresh_path
+
+SEED_FIELDS = [T.StructField(name, T.LongType(), False) for name in ("seed", "span", "owners")]
+
+
+def written(frame: DataFrame, name: str) -> DataFrame:
+    """The rows as a table in the shared folder: computed once, and not lost with an executor."""
+    path = fresh_path(frame.sparkSession, name)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.parquet(path)
+
 
 Symbols = Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]
 
@@ -106,3 +119,17 @@ def removed(owners: pa.Array, at: np.ndarray, length: int) -> np.ndarray:
     packed, row = lists(owners)
     first, last = unpack(packed.astype(np.int64))
     return flat.covered(at[row] + first, at[row] + last + length, int(at[-1]))
+
+
+def unlike_neighbours(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.RecordBatch]:
+    """Without the rows whose keys equal those of the row before; in sorted rows one of each key stays per task."""
+    before: tuple | None = None
+    for rows in batches:
+        if not rows.num_rows:
+            continue
+        columns = [rows.column(k).to_numpy(zero_copy_only=False) for k in keys]
+        new = np.ones(rows.num_rows, bool)
+        new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+        new[0] = before != tuple(c[0] for c in columns)
+        before = tuple(c[-1] for c in columns)
+        yield rows.filter(pa.array(new))
