@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wayfare.llm import contamination, rules, substrings, suffixes
+from wayfare.llm import contamination, pieces, rules, substrings, suffixes
 from wayfare.llm.registry import query, table
 
 
@@ -42,3 +43,14 @@ def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     cut = suffixes.deduplicate(docs)
     return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept_bytes", 256).alias("kept_sha256"))
+
+
+@query()
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    encoded = pieces.encode(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    return encoded.select(
+        "doc_id", F.size("token_ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(" ", F.col("token_ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded_text", 256).alias("decoded_sha256"),
+    )
