@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wayfare.llm import contamination, pieces, rules, substrings, suffixes
+from wayfare.llm import contamination, near, pieces, rules, substrings, suffixes
 from wayfare.llm.registry import query, table
 
 
@@ -54,3 +54,10 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.concat_ws(" ", F.col("token_ids").cast("array<string>")), 256).alias("ids_sha256"),
         F.sha2("decoded_text", 256).alias("decoded_sha256"),
     )
+
+
+@query()
+def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = near.classes(docs, shingle=4)
+    return found.select("doc_id", "n_shingles", "component_id", (F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("kept"))
