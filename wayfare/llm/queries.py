@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wayfare.llm import contamination, near, pieces, rules, substrings, suffixes
+from wayfare.llm import chat, contamination, near, pieces, rules, substrings, suffixes
 from wayfare.llm.registry import query, table
 
 
@@ -61,3 +61,12 @@ def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = near.classes(docs, shingle=4)
     return found.select("doc_id", "n_shingles", "component_id", (F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("kept"))
+
+
+@query()
+def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    more = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], rows.schema)
+    formatted = chat.format_conversations(rows.unionByName(more), public_tokenizers.path("byte_bpe_50k.json"))
+    return chat.read_back(formatted)
