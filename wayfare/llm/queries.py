@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wayfare.llm import chat, contamination, near, pieces, rules, substrings, suffixes
+from wayfare.llm import chat, contamination, near, pieces, rules, substrings, suffixes, urls
 from wayfare.llm.registry import query, table
 
 
@@ -70,3 +70,16 @@ def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     more = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], rows.schema)
     formatted = chat.format_conversations(rows.unionByName(more), public_tokenizers.path("byte_bpe_50k.json"))
     return chat.read_back(formatted)
+
+
+#: Rules of the URL query: host and path prefix, longest wins.
+URL_RULES = [
+    urls.Rule("org/", "allow"), urls.Rule("example.org/es/", "block"), urls.Rule("example.org/en/1", "block"),
+    urls.Rule("com/fr/", "allow"), urls.Rule("com/de/", "block"),
+]
+
+
+@query()
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return urls.judge(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
