@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wayfare.llm import chat, contamination, near, pieces, rules, substrings, suffixes, urls
+from wayfare.llm import chat, contamination, fields, licenses, near, pieces, rules, substrings, suffixes, urls
 from wayfare.llm.registry import query, table
 
 
@@ -83,3 +83,24 @@ URL_RULES = [
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return urls.judge(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+@query()
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    field = fields.train(docs, table(spark, sf_dir, "labels"))
+    scored = fields.classify(docs, field)
+    return scored.select(
+        "doc_id", fields.held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+    )
+
+
+@query()
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scanned = licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return scanned.select(
+        "doc_id", "n_words", F.size("licenses").cast("long").alias("n_licenses"),
+        F.concat_ws(",", "licenses.license").alias("licenses"),
+        F.concat_ws(",", F.transform("licenses", lambda m: F.concat_ws(
+            ":", *(m[c].cast("string") for c in ("word", "n_found", "n_shingles"))))).alias("places"),
+    )
