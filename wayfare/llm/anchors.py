@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from pyspark.sql import DataFrame, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from wayfare.llm import flat
 from wayfare.scratch import fresh_path
@@ -24,13 +24,31 @@ from wayfare.scratch import fresh_path
 SEED_FIELDS = [T.StructField(name, T.LongType(), False) for name in ("seed", "span", "owners")]
 
 
-def written(frame: DataFrame, name: str) -> DataFrame:
-    """The rows as a table in the shared folder: computed once, and not lost with an executor."""
+#: Rows of a file of an intermediate table whose size is known.
+FILE_ROWS = 20_000
+
+
+def written(frame: DataFrame, name: str, rows: int | None = None) -> DataFrame:
+    """The rows as a table in the shared folder: computed once, and not lost with an executor.
+
+    Where the number of ``rows`` is known, a small table gets few files.
+    """
     path = fresh_path(frame.sparkSession, name)
+    if rows is not None:
+        frame = frame.coalesce(max(1, rows // FILE_ROWS))
     frame.write.parquet(path)
     return frame.sparkSession.read.parquet(path)
 
 
+def anew(frame: DataFrame, column: str) -> DataFrame:
+    """The same rows with a number column computed anew.
+
+    A join on it then shuffles these rows although an aggregate has just placed
+    them; only between two plain shuffles can Spark split a hot key.
+    """
+    return frame.withColumn(column, F.bitwise_not(F.bitwise_not(column)))
+
+
 Symbols = Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]
 
 

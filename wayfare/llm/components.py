@@ -10,30 +10,26 @@ from wayfare.llm.anchors import written
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """``node`` and ``component`` (its smallest node) for every node that has a link; null nodes have none.
 
-    Every round is written to the shared folder, so the plan stays short and a
-    lost executor repeats one round at most.  A round hooks every node to the
-    least label around it and then to that label's own label, so paths shrink
-    by half or better.  Only the number of changed labels reaches the driver.
+    A round hooks every node to the least label around it, then to that
+    label's own label, so paths shrink by half or better.  Each round is
+    written to the shared folder: the plan stays short and a lost executor
+    repeats one round at most.  Only counts reach the driver.
     """
     links = links.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a != b")
     both = written(links.union(links.select("b", "a")).distinct(), "links")
-    labels = written(
-        both.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("node"), F.least("a", "b").alias("component")),
-        "labels",
-    )
+    rows = both.count()
+    least = both.groupBy("a").agg(F.min("b").alias("b"))
+    labels = written(least.select(F.col("a").alias("node"), F.least("a", "b").alias("component")), "labels", rows)
     while True:
-        around = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy("a").agg(F.min("component").alias("near"))
-        hooked = written(
-            labels.join(written(around, "near").withColumnRenamed("a", "node"), "node")
-            .select("node", F.least("component", "near").alias("component")),
-            "hooked",
+        near = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy("a").agg(F.min("component").alias("near"))
+        hooked = labels.join(near.withColumnRenamed("a", "node"), "node").select(
+            "node", F.least("component", "near").alias("component"), F.col("component").alias("before")
         )
+        hooked = written(hooked, "hooked", rows)
         jumps = hooked.select(F.col("node").alias("component"), F.col("component").alias("further"))
-        moved = written(
-            hooked.join(jumps, "component").join(labels.withColumnRenamed("component", "before"), "node")
-            .select("node", F.col("further").alias("component"), (F.col("further") != F.col("before")).alias("changed")),
-            "labels",
-        )
+        moved = written(hooked.join(jumps, "component").select(
+            "node", F.col("further").alias("component"), (F.col("further") != F.col("before")).alias("changed")
+        ), "labels", rows)
         labels = moved.select("node", "component")
         if not moved.where("changed").limit(1).count():
             return labels

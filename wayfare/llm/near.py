@@ -235,25 +235,28 @@ def classes(
         T.StructField("_node", T.BinaryType(), False), T.StructField("_signature", T.BinaryType(), False),
     ])), "sketches")
 
+    rows = sketches.count()
     sets = written(sketches.where("n_shingles > 0").groupBy("_node").agg(
         F.min(key).alias("_least"), F.min_by(F.struct(key, "_row", "_signature"), "_row").alias("_one"),
         F.first("n_shingles").alias("n_shingles"),
-    ).select("_node", "_least", "n_shingles", "_one.*"), "sets")
+    ).select("_node", "_least", "n_shingles", "_one.*"), "sets", rows)
 
     orders = sets.select("_node", "_signature").mapInArrow(_orders, T.StructType(
         [T.StructField(c, T.BinaryType(), False) for c in ("_order", "_node", "_low")]
     ))
     pair = T.StructType([T.StructField(c, T.BinaryType(), False) for c in ("a", "b")])
     ordered = orders.repartitionByRange("_order", "_node").sortWithinPartitions("_order", "_node")
-    clusters = components(ordered.mapInArrow(_neighbours, pair).distinct())
+    clusters = components(ordered.mapInArrow(_neighbours, pair)).withColumnRenamed("node", "_node")
 
-    inside = written(sets.join(clusters.withColumnRenamed("node", "_node"), "_node").drop("_signature", "_least"), "inside")
-    sizes = written(inside.groupBy("component").agg(
-        F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES).cast("int").alias("_blocks")), "sizes")
+    gathered = clusters.count()
+    inside = sets.select("_node", key, "_row", "n_shingles").join(clusters, "_node")
+    inside = written(inside.withColumn("_half", F.xxhash64("component")), "clusters", gathered)
+    sizes = inside.groupBy("_half", "component").agg(
+        F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES).cast("int").alias("_blocks"))
     block = F.pmod(F.xxhash64("_node"), F.col("_blocks")).cast("int")
-    placed = written(inside.join(sizes, "component").select(
+    placed = inside.join(anchors.anew(sizes, "_half"), ["_half", "component"]).select(
         F.col(key).alias("_key"), F.col("_row").alias("_text_row"), "_node", "component", "_blocks", block.alias("_block"),
-    ), "placed")
+    )
     here = docs[key].eqNullSafe(F.col("_key")) & (docs["_row"] == F.col("_text_row"))
     texts = docs.join(placed, here).select("_node", "component", "_blocks", "_block", text)
     # Repeated rows bring a text again, sorted next to each other by the join.
@@ -266,14 +269,36 @@ def classes(
     )
     tasks = texts.repartition("_task").sortWithinPartitions("_task", "_node")
     links = tasks.mapInArrow(_confirm(text, shingle, percent), pair)
-    joined = components(links)
-
-    named = written(sets.select("_node", "_least").join(joined.withColumnRenamed("node", "_node"), "_node", "left")
-                    .withColumn("component", F.coalesce("component", "_node")), "named")
-    least = written(named.groupBy("component").agg(F.min("_least").alias("component_id")), "least")
-    found = written(named.join(least, "component").select("_node", "component_id"), "found")
-    result = sketches.select(key, "_row", "n_shingles", "_node").join(found, "_node", "left")
+    joined = components(links).withColumnRenamed("node", "_node")
+
+    linked = written(sets.select("_node", "_least").join(joined, "_node").withColumn("_half", F.xxhash64("component")),
+                     "linked", gathered)
+    least = linked.groupBy("_half", "component").agg(F.min("_least").alias("component_id"))
+    merged = linked.join(anchors.anew(least, "_half"), ["_half", "component"]).select("_node", "component", "component_id")
+    named = sets.select("_node", "_least").join(merged, "_node", "left").select(
+        "_node", F.xxhash64("_node").alias("_half"), F.coalesce("component", "_node").alias("component"),
+        F.when(F.col("component").isNull(), F.col("_least")).otherwise(F.col("component_id")).alias("component_id"),
+    )
+    rows_of = sketches.select(key, "_row", "n_shingles", "_node", F.xxhash64("_node").alias("_half"))
+    result = rows_of.join(anchors.anew(named, "_half"), ["_half", "_node"], "left")
     return result.select(
-        key, "_row", "n_shingles",
+        key, "_row", "n_shingles", "component",
         F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col(key)).alias("component_id"),
     )
+
+
+def deduplicate(docs: DataFrame, *, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """One row of every component, one with its smallest id; rows without words all stay.
+
+    Rows that repeat both id and text count as one row.
+    """
+    found = classes(docs, key=key, text=text, **options)
+    leaders = found.where((F.col("n_shingles") > 0) & F.col(key).eqNullSafe(F.col("component_id")))
+    leaders = leaders.groupBy("component").agg(F.min_by(F.struct(key, "_row"), "_row").alias("_one")).select("_one.*")
+    stay = leaders.union(found.where("n_shingles = 0").select(key, "_row")).select(
+        F.col(key).alias("_key"), F.col("_row").alias("_text_row")
+    ).distinct()
+    named = docs.withColumn("_row", F.xxhash64(text))
+    here = named[key].eqNullSafe(F.col("_key")) & (named["_row"] == F.col("_text_row"))
+    kept = named.join(stay, here, "left_semi").dropDuplicates([key, "_row"])
+    return kept.select(*docs.columns)
