@@ -7,9 +7,10 @@ or a failed stage never repeats the stages before it.
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wayfare.llm import rules
+from wayfare.llm import contamination, near, pieces, rules, substrings
 from wayfare.llm.registry import table
 from wayfare.scratch import fresh_path
 
@@ -20,8 +21,36 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return judged.where("kept").select(*docs.columns)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near duplicates, that with the smallest id."""
+    return near.deduplicate(docs)
+
+
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the passages of 50 words or more that a document with a smaller id has."""
+    cleaned = substrings.cleaned(docs)
+    return cleaned.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a benchmark window."""
+    return contamination.remove_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Training samples: the whole text as ids with an end id, and their number."""
+    encoded = pieces.encode(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    return encoded.select(
+        "doc_id", "text", "lang", "source", F.size("token_ids").cast("long").alias("n_tokens"), "token_ids"
+    )
+
+
 STAGES = [
     ("quality rules", quality_rules),
+    ("near dedup", near_dedup),
+    ("substring dedup", substring_dedup),
+    ("decontamination", decontamination),
+    ("encoding", encoding),
 ]
 
 #: No SQL: the learned list and the sketches can't be expressed; tests hold the stages against plain Python.
