@@ -41,7 +41,7 @@ LENGTH = 200
 GRAIN = 40
 
 #: Positions of one rank that a task ranks by itself; more are spread over tasks byte by byte.
-GROUP_ROWS = 256
+GROUP_ROWS = 16_384
 
 
 def repeated(
@@ -54,23 +54,22 @@ def repeated(
         anchors.emit(anchors.of_bytes, text, ["_row", "_copy"], length, grain), T.StructType([*keys, *SEED_FIELDS])
     )
     alike = ranked.groupBy("seed").agg(F.count("*").alias("_n")).where("_n > 1").select("seed")
-    shared = written(ranked.join(alike, "seed"), "ranks")
+    shared = written(ranked.join(anchors.anew(alike, "seed"), "seed"), "ranks")
 
     pairs = shared.groupBy("seed", "span").agg(
         F.count("*").alias("_n"), *(F.first(c).alias(c) for c in ("_row", "_copy", "owners"))
     )
-    pairs = written(pairs, "pairs")
-    settled = shared.join(pairs.where("_n > 1").select("seed", "span"), ["seed", "span"])
+    settled = shared.join(anchors.anew(pairs.where("_n > 1").select("seed", "span"), "seed"), ["seed", "span"])
     settled = settled.select("_row", "_copy", "owners")
 
     open_ = pairs.groupBy("seed").agg(F.count("*").alias("_rows"), F.min("_n").alias("_least"))
     open_ = open_.where("_rows > 1 and _least = 1").drop("_least")
-    asked = pairs.join(open_, "seed").select(
+    asked = pairs.join(anchors.anew(open_, "seed"), "seed").select(
         "_row", "_copy",
         F.struct("owners", "seed", (F.col("_n") > 1).alias("many"), (F.col("_rows") > group_rows).alias("wide"))
         .alias("_asked"),
     )
-    asked = written(asked.groupBy("_row", "_copy").agg(F.collect_set("_asked").alias("_asked")), "asked")
+    asked = anchors.anew(asked.groupBy("_row", "_copy").agg(F.collect_set("_asked").alias("_asked")), "_row")
     around = written(
         docs.join(asked, ["_row", "_copy"]).mapInArrow(_surroundings(text, length), T.StructType([*keys, *AROUND])),
         "surroundings",
@@ -85,7 +84,7 @@ def repeated(
         T.StructType([*keys, *SEED_FIELDS, T.StructField("times", T.LongType(), False)]),
     )
     times = wide.groupBy("seed", "span").agg(F.sum("times").alias("_n")).where("_n > 1").select("seed", "span")
-    far = wide.where("times = 1").join(times, ["seed", "span"]).select("_row", "_copy", "owners")
+    far = wide.where("times = 1").join(anchors.anew(times, "seed"), ["seed", "span"]).select("_row", "_copy", "owners")
     return settled.unionByName(near).unionByName(far)
 
 
@@ -206,8 +205,7 @@ def deduplicate(
     # Rows with one text lose the same bytes, so a text's two hashes name its rows.
     docs = docs.withColumn("_row", F.xxhash64(text)).withColumn("_copy", F.hash(text))
     spans = repeated(docs.select("_row", "_copy", text), text, length, grain, group_rows)
-    # Written, so that the join sees two plain shuffles and can split a text that a third of the rows have.
-    spans = written(spans.groupBy("_row", "_copy").agg(F.collect_set("owners").alias("_owners")), "spans")
+    spans = anchors.anew(spans.groupBy("_row", "_copy").agg(F.collect_set("owners").alias("_owners")), "_row")
     columns = [c for c in docs.columns if c not in ("_row", "_copy")]
     joined = docs.join(spans, ["_row", "_copy"], "left").select(*columns, "_owners")
     schema = T.StructType([*(docs.schema[c] for c in columns), *(
