@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from wayfare.llm import anchors, flat
-from wayfare.scratch import fresh_path
+from wayfare.llm.anchors import SEED_FIELDS, written
 
 LENGTH = 50
 GRAIN = 10
@@ -34,49 +34,39 @@ GRAIN = 10
 
 def repeated(docs: DataFrame, key: str, text: str, length: int = LENGTH, grain: int = GRAIN) -> DataFrame:
     """Stretches that also start in a document with a smaller id: key, ``_row`` (a hash of the text) and ``owners``."""
-    spark = docs.sparkSession
     seeds = docs.mapInArrow(
         anchors.emit(anchors.of_words, text, [key, "_row"], length, grain),
         T.StructType([docs.schema[key], docs.schema["_row"], *SEED_FIELDS]),
     )
     spread = seeds.groupBy("seed").agg(F.min(key).alias("_least"), F.max(key).alias("_most"))
     spread = spread.where("_least < _most").drop("_most")
-    shared = _written(spark, seeds.join(spread, "seed"), "seeds")
+    shared = written(seeds.join(anchors.anew(spread, "seed"), "seed"), "seeds")
 
     classes = shared.groupBy("seed", "span").agg(F.min(key).alias("_first"), F.first("_least").alias("_least"))
     # A group whose documents agree all the way needs no look at single stretches.
     mixed = classes.groupBy("seed").agg((F.count("*") > 1).alias("_mixed"))
-    members = _written(
-        spark,
-        shared.drop("_least").join(classes.select("seed", "span", "_first"), ["seed", "span"]).join(mixed, "seed"),
+    members = written(
+        shared.drop("_least").join(anchors.anew(classes.select("seed", "span", "_first"), "seed"), ["seed", "span"])
+        .join(anchors.anew(mixed, "seed"), "seed"),
         "members",
     )
     later = members.where(F.col(key) > F.col("_first")).select(key, "_row", "owners")
     edges = members.where(F.col("_mixed") & (F.col(key) == F.col("_first")))
-    asked = edges.groupBy(key, "_row").agg(F.collect_set(F.struct("owners", "seed")).alias("_asked"))
+    asked = anchors.anew(edges.groupBy(key, "_row").agg(F.collect_set(F.struct("owners", "seed")).alias("_asked")), "_row")
     stretches = docs.join(asked, [key, "_row"]).mapInArrow(
         _stretches(key, text, length),
         T.StructType([docs.schema[key], docs.schema["_row"], *SEED_FIELDS]),
     )
     first = stretches.groupBy("seed", "span").agg(F.min(key).alias("_first"))
-    single = stretches.join(first, ["seed", "span"]).where(F.col(key) > F.col("_first")).select(key, "_row", "owners")
+    single = stretches.join(anchors.anew(first, "seed"), ["seed", "span"]).where(F.col(key) > F.col("_first")).select(key, "_row", "owners")
     return later.unionByName(single)
 
 
-SEED_FIELDS = [T.StructField(name, T.LongType(), False) for name in ("seed", "span", "owners")]
-
-
-def _written(spark, frame: DataFrame, name: str) -> DataFrame:
-    path = fresh_path(spark, name)
-    frame.write.parquet(path)
-    return spark.read.parquet(path)
-
-
 def _stretches(key: str, text: str, length: int):
     """One row for each stretch of the asked owners, with the hash of its words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in flat.chunks(batches, text):
+        for rows in flat.chunks(anchors.unlike_neighbours(batches, [key, "_row"]), text):
             values, at = anchors.of_words(rows.column(text))
             asked = rows.column("_asked")
             sizes = np.diff(asked.offsets.to_numpy())
@@ -108,7 +98,7 @@ def deduplicate(
     docs = docs.drop("n_words", "n_removed", kept).withColumn("_row", F.hash(text))
     known, unknown = docs.where(F.col(key).isNotNull()), docs.where(F.col(key).isNull())
     found = repeated(known.select(key, "_row", text), key, text, length, grain)
-    spans = found.groupBy(key, "_row").agg(F.collect_set("owners").alias("_owners"))
+    spans = anchors.anew(found.groupBy(key, "_row").agg(F.collect_set("owners").alias("_owners")), "_row")
     joined = known.join(spans, [key, "_row"], "left").select(*docs.columns, "_owners")
     joined = joined.unionByName(unknown.withColumn("_owners", F.lit(None).cast("array<bigint>")))
     columns = [c for c in docs.columns if c != "_row"]
@@ -149,3 +139,14 @@ def joined_words(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, first: n
     size = stop[first[1:]] - stop[first[:-1]] - (first[1:] > first[:-1])
     offsets = np.concatenate(([0], np.cumsum(size))).astype(np.int32)
     return pa.Array.from_buffers(pa.string(), len(size), [None, pa.py_buffer(offsets), pa.py_buffer(taken[keep])])
+
+
+def cleaned(docs: DataFrame, *, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """Documents with their own columns, the repeated words taken out of ``text``.
+
+    A text that loses nothing stays as it is; of others the kept words are
+    joined by one space.  A document that loses all its words goes.
+    """
+    cut = deduplicate(docs, key=key, text=text, kept="_kept", **options)
+    cut = cut.where("n_removed = 0 or n_removed < n_words")
+    return cut.withColumn(text, F.when(F.col("n_removed") > 0, F.col("_kept")).otherwise(F.col(text))).select(*docs.columns)
