@@ -157,3 +157,15 @@ def test_stored_delete_insert_with_odd_partition_values(spark, tmp_path):
     incremental.delete_insert(path, new, ["p"], "p")
     got = sorted((tuple(r) for r in incremental.read_table(spark, path).select("p", "n").collect()), key=str)
     assert got == sorted([("a/b", 10), ("a/b", 11), (None, 30), ("a:b c", 2), ("2024", 4)], key=str)
+
+
+def test_stored_upsert_moves_a_key_to_another_partition(spark, tmp_path):
+    path, kind = str(tmp_path / "t"), "k int, day date, v string"
+    first = [(1, dt.date(2024, 1, 1), "a"), (2, dt.date(2024, 1, 2), "b"), (None, dt.date(2024, 1, 3), "n")]
+    incremental.upsert(path, spark.createDataFrame(first, kind), ["k"], "day")
+    again = [(1, dt.date(2024, 1, 2), "c"), (3, dt.date(2024, 1, 9), "d"), (None, dt.date(2024, 1, 2), "m")]
+    for _ in range(2):
+        incremental.upsert(path, spark.createDataFrame(again, kind), ["k"], "day")
+    rows = incremental.read_table(spark, path).select("k", "day", "v").collect()
+    assert sorted(map(tuple, rows), key=str) == sorted([again[0], again[1], again[2], first[1]], key=str)
+    assert not (tmp_path / "t" / "day=2024-01-01").exists()

@@ -1,4 +1,6 @@
 import datetime as dt
+import decimal
+import math
 
 import pytest
 from pyspark.sql import functions as F
@@ -65,9 +67,25 @@ def test_money_is_exact_in_any_order(spark):
     assert empty.agg(numbers.money_sum("d").alias("s"), numbers.money_avg("d").alias("m")).first() == (None, None)
 
 
+def test_money_keeps_fractions_of_a_cent(spark):
+    df = spark.createDataFrame([(0.004,)] * 3, "d double")
+    assert df.agg(numbers.money_sum("d").alias("s")).first().s == 0.012
+
+
+def test_one_nan_makes_the_sum_nan(spark):
+    df = spark.createDataFrame([(1.5,), (float("nan"),), (None,)], "d double")
+    assert math.isnan(df.agg(numbers.money_sum("d").alias("s")).first().s)
+
+
 def test_cents_round_away_from_zero(spark):
-    assert one(spark, numbers.cents("d"), d=1.005) == 101 or one(spark, numbers.cents("d"), d=1.005) == 100
-    assert one(spark, numbers.cents("d"), d=-2.34) == -234
+    for amount, wanted in ((1.005, "1.01"), (1.01, "1.01"), (-2.345, "-2.35")):
+        assert one(spark, numbers.cents("d"), d=amount) == decimal.Decimal(wanted)
+    assert one(spark, numbers.cents("d"), d=float("nan")) is None
+
+
+@pytest.mark.parametrize("text, wanted", [("18000.0", 18000), ("12.7", 12), ("-1.9", -1), (" 5 ", 5), ("1e3", 1000), ("x", None)])
+def test_whole_numbers_with_decimals(spark, text, wanted):
+    assert one(spark, numbers.text_to_whole("t", "int", decimals=True), t=text) == wanted
 
 
 @pytest.mark.parametrize("text, wanted", [

@@ -76,7 +76,7 @@ def test_mart_equals_the_joins_on_uneven_data(spark):
     rows = []
     for _ in range(3000):
         season = draw.choice([None, 2018, 2019, 2019, 2020])
-        home = draw.choice(["A", "B", "C", "C", "C", "HOMEONLY"])
+        home = draw.choice(["A", "B", "C", "C", "C", "HOMEONLY", None])
         name = draw.choice(["old", "new"]) if home == "B" else None if home == "C" else home
         away = draw.choice(["A", "B", "C", None, "AWAYONLY"])
         won = draw.random() < 0.6

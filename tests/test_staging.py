@@ -40,6 +40,12 @@ def test_keyed_takes_fares_in_cents_and_the_first_service(spark, lookup):
     assert got == [(1, 5.0, "green", "Credit card"), (1, 5.01, "green", "Credit card"), (None, 5.0, "green", None)]
 
 
+def test_keyed_takes_fares_that_round_to_one_amount_as_one(spark, lookup):
+    rows = [(A, B, 1, 2, 1.005, 1, "green"), (A, B, 1, 2, 1.01, 1, "green"), (A, B, 1, 2, float("nan"), 1, "green")]
+    staged = staging.stage_trips_keyed(located(spark, rows), lookup, START, END)
+    assert staged.count() == 2
+
+
 @pytest.mark.parametrize("value, name", [(None, None), ("99", None), ("abc", None), ("1", "Credit card"), (" 2 ", "Cash")])
 def test_lookup_of_text_keys(spark, lookup, value, name):
     row = located(spark, [(A, B, 1, 2, 5.0, value, "green")], "string")

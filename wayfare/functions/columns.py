@@ -57,7 +57,7 @@ def tolerant_cast(df: DataFrame, name: str, kind: DataType) -> Column:
     column = F.col(f"`{name}`")
     if df.schema[name].dataType == StringType():
         if isinstance(kind, IntegralType):
-            return text_to_whole(column, kind.simpleString()).alias(name)
+            return text_to_whole(column, kind.simpleString(), decimals=True).alias(name)
         if isinstance(kind, (DoubleType, FloatType)):
             return text_to_double(column).cast(kind).alias(name)
     return column.try_cast(kind).alias(name)

@@ -7,6 +7,7 @@ it, touching no more partitions than it must.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,19 +27,20 @@ def replace_interval(target: DataFrame, new: DataFrame, key: str, start: Moment,
     return outside_interval(target, key, start, end).unionByName(inside)
 
 
+def _same_keys(target: DataFrame, other: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    t, g = target.alias("t"), other.alias("g")
+    same = [F.col(f"t.{k}").eqNullSafe(F.col(f"g.{k}")) for k in keys]
+    return t.join(g, reduce(Column.__and__, same), how)
+
+
 def _without(target: DataFrame, gone: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Target rows whose keys are not among ``gone``, where NULL equals NULL."""
-    t, g = target.alias("t"), gone.alias("g")
-    same = [F.col(f"t.{k}").eqNullSafe(F.col(f"g.{k}")) for k in keys]
-    condition = same[0]
-    for s in same[1:]:
-        condition = condition & s
-    return t.join(g, condition, "left_anti")
+    return _same_keys(target, gone, keys, "left_anti")
 
 
-def latest_per_key(new: DataFrame, keys: Sequence[str], newest: Sequence[Column | str]) -> DataFrame:
-    """One row per key of new data that repeats keys; ``newest`` sorts the one to keep first."""
-    return first_per_key(new, keys, newest)
+def with_keys_of(target: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Target rows whose keys are among those of ``new``, where NULL equals NULL."""
+    return _same_keys(target, new.select(*keys).distinct(), keys, "left_semi")
 
 
 def single_per_key(new: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -63,7 +65,7 @@ def upsert(
 
     A key repeated in ``new`` is an error unless ``newest`` says which row wins.
     """
-    one_each = latest_per_key(new, keys, newest) if newest else single_per_key(new, keys)
+    one_each = first_per_key(new, keys, newest) if newest else single_per_key(new, keys)
     return _without(target, new.select(*keys), keys).unionByName(one_each)
 
 
@@ -71,6 +73,3 @@ def delete_insert(target: DataFrame, new: DataFrame, keys: Sequence[str]) -> Dat
     """Drop the target's rows of every key value found in ``new``, add all new rows."""
     return _without(target, new.select(*keys).distinct(), keys).unionByName(new)
 
-
-def append(target: DataFrame, new: DataFrame) -> DataFrame:
-    return target.unionByName(new, allowMissingColumns=True)

@@ -7,10 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wayfare.functions.numbers import fixed_avg, safe_divide
+from wayfare.functions.numbers import money_avg, safe_divide
 
 FLAG = "is_bubble_season"
-DELTA_DIGITS = 4  # the mart rounds its shares to this many decimals
 
 
 def sidebar_filter(
@@ -84,8 +83,8 @@ def impact_by_team(mart: DataFrame) -> DataFrame:
     return (
         mart.groupBy("team_abbr")
         .agg(
-            fixed_avg(F.when(~flagged, delta), DELTA_DIGITS).alias("normal_delta"),
-            fixed_avg(F.when(flagged, delta), DELTA_DIGITS).alias("bubble_delta"),
+            money_avg(F.when(~flagged, delta)).alias("normal_delta"),
+            money_avg(F.when(flagged, delta)).alias("bubble_delta"),
             F.count_if(~flagged).alias("_normal"),
             F.count_if(flagged).alias("_flagged"),
         )
@@ -108,6 +107,6 @@ def summary_metrics(mart: DataFrame) -> DataFrame:
         overall.alias("overall_home_win_pct"),
         bubble.alias("bubble_home_win_pct"),
         (bubble - overall).alias("bubble_change"),
-        fixed_avg("home_advantage_delta", DELTA_DIGITS).alias("avg_home_advantage_delta"),
+        money_avg("home_advantage_delta").alias("avg_home_advantage_delta"),
         F.avg(crowd).cast("long").alias("avg_attendance"),
     )

@@ -117,8 +117,8 @@ def home_advantage_mart(games: DataFrame) -> DataFrame:
     games are read and shuffled once: they shrink to one row per season and
     pair of teams, and each such row then counts for both of its teams.  What
     follows works on at most teams x teams rows a season.  Teams with home
-    games only are in the league averages but not in the result, and a team
-    with two names in a season has two rows.
+    games only, and rows without a team, are in the league averages but not in
+    the result; a team with two names in a season has two rows.
     """
     pairs = games.filter(F.col("season_year").isNotNull()).groupBy(
         "season_year", "is_bubble_season", "team_abbr_home", "team_name_home", "team_abbr_away"
@@ -161,7 +161,9 @@ def home_advantage_mart(games: DataFrame) -> DataFrame:
     })
     home_pct = safe_divide("wins", "games")
     away_pct = safe_divide("away_wins", "away_games")
-    return with_context.filter(home & F.col("away_games").isNotNull()).select(
+    # A join on the team drops games without one; the league's averages have them.
+    named = home & F.col("away_games").isNotNull() & F.col("team_abbr").isNotNull()
+    return with_context.filter(named).select(
         "season_year", "team_abbr", "team_name", "is_bubble_season",
         F.col("games").alias("home_games"),
         F.col("wins").alias("home_wins"),

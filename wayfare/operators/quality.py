@@ -30,9 +30,9 @@ def not_null(column: str) -> Check:
     return Check("not_null", column, F.count_if(F.col(column).isNull()))
 
 
-def unique(column: str) -> Check:
-    """Failures are the values that occur more than once; NULLs are left out."""
-    return Check("unique", column)
+def unique(*columns: str) -> Check:
+    """Failures are the values, or combinations of several columns' values, that occur more than once; those with a NULL are left out."""
+    return Check("unique", ",".join(columns))
 
 
 def accepted_values(column: str, values: Sequence) -> Check:
@@ -56,9 +56,9 @@ def row_count_positive(name: str = "row_count_greater_than_zero") -> Check:
     return custom(name, F.when(F.count(F.lit(1)) > 0, 1).otherwise(0), 1)
 
 
-def duplicated_values(df: DataFrame, column: str) -> DataFrame:
+def duplicated_values(df: DataFrame, *columns: str) -> DataFrame:
     """The values that break uniqueness, with their number of rows."""
-    counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n_rows"))
+    counts = df.dropna(subset=list(columns)).groupBy(*columns).agg(F.count(F.lit(1)).alias("n_rows"))
     return counts.filter(F.col("n_rows") > 1)
 
 
@@ -80,7 +80,7 @@ def quality_report(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     for c in checks:
         if c.failures is None:
             parts.append(
-                duplicated_values(df, c.column)
+                duplicated_values(df, *c.column.split(","))
                 .agg(F.count(F.lit(1)).alias("failures"))
                 .select(F.lit(c.name).alias("check"), F.lit(c.column).alias("column"), "failures")
             )
@@ -126,7 +126,7 @@ def home_advantage_checks() -> list[Check]:
         "season_year", "team_abbr", "team_name", "is_bubble_season", "home_win_pct", "away_win_pct",
         "home_advantage_delta", "league_home_win_pct",
     )
-    return [not_null(c) for c in required]
+    return [*map(not_null, required), unique("team_abbr", "season_year", "team_name", "is_bubble_season")]
 
 
 def payment_lookup_checks() -> list[Check]:

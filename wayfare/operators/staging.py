@@ -65,7 +65,7 @@ def stage_trips_distinct(
 
 
 def stage_trips_keyed(trips: DataFrame, lookup: DataFrame, start: Moment, end: Moment) -> DataFrame:
-    """Trips of the interval, one per times, places and fare in cents.
+    """Trips of the interval, one per times, places and fare rounded to cents.
 
     Of several, the first by service, payment name and exact fare stays.
     """

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import random
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import Imputer, OneHotEncoder, StringIndexerModel, VectorAssembler
 from pyspark.ml.regression import LinearRegression
-from pyspark.ml.tuning import TrainValidationSplit
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,11 +21,10 @@ NUMERIC = ("passenger_count", "trip_distance", "fare_amount", "tolls_amount")
 CATEGORICAL = ("PULocationID", "DOLocationID", "payment_type")
 LABEL = "tip_amount"
 
-# Fixed values of the automatic split: below the first size all rows train,
-# up to the second one row in five evaluates, above it about ten thousand do.
-SPLIT_NONE_BELOW = 500
-SPLIT_FIFTH_UP_TO = 50_000
-SPLIT_EVALUATE_AT_MOST = 10_000
+# Share of the rows that a split keeps for evaluation, and the places its hash
+# deals rows out to.
+EVALUATION_SHARE = 0.2
+PLACES = 1_000_000
 
 # The search space of the tuning and its number of trials.
 L1_RANGE = (0.0, 20.0)
@@ -33,11 +32,6 @@ L2_CANDIDATES = (0.0, 0.1, 1.0, 10.0)
 TRIALS = 5
 PARALLEL_TRIALS = 2
 
-# The regression solves for all weights at once on the driver, which Spark does
-# for 4096 features at most.
-MAX_CATEGORIES = 4000
-
-
 def tip_features(trips: DataFrame) -> DataFrame:
     """The training table: trips with a fare, ids as text so that they are categories."""
     columns = ("passenger_count", "trip_distance", *CATEGORICAL, "fare_amount", "tolls_amount", LABEL)
@@ -88,19 +82,16 @@ def feature_info(
     return numbers.unionByName(counted, allowMissingColumns=True)
 
 
-def automatic_split(df: DataFrame, row_key: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """Rows to train on and rows to evaluate on.
+def split(
+    df: DataFrame, row_key: Sequence[str], share: float = EVALUATION_SHARE
+) -> tuple[DataFrame, DataFrame]:
+    """Rows to train on and rows to evaluate on, the same ``share`` at every size.
 
     The side depends on a hash of the row's key alone, so it is the same in
-    every run and after a lost task.  Evaluates on all rows of a small table.
+    every run, for every layout of the rows and after a lost task.
     """
-    rows = df.count()
-    if rows < SPLIT_NONE_BELOW:
-        return df, df
-    share = 0.2 if rows <= SPLIT_FIFTH_UP_TO else SPLIT_EVALUATE_AT_MOST / rows
-    parts = 1_000_000
-    place = F.pmod(F.xxhash64(*row_key), F.lit(parts))
-    limit = round(share * parts)
+    place = F.pmod(F.xxhash64(*row_key), F.lit(PLACES))
+    limit = round(share * PLACES)
     return df.filter(place >= limit), df.filter(place < limit)
 
 
@@ -125,18 +116,20 @@ class TipModel:
 
 
 def category_values(df: DataFrame, categorical: Sequence[str]) -> list[list[str]]:
-    """The values of each category column in order; an error if they are too many.
+    """The values of each category column in order.
 
-    Only distinct values leave the executors, and no more than the limit.
+    Each gets a weight, and all weights are on the driver as Spark's solvers
+    have it: the driver holds one name and one number for each value, not for
+    each row.  Above 4096 features Spark solves by steps instead of at once.
     """
     found = df.select(F.inline(F.array(*[
         F.struct(F.lit(i).alias("place"), F.col(c).cast("string").alias("value"))
         for i, c in enumerate(categorical)
     ]))).filter(F.col("value").isNotNull()).distinct()
-    rows = found.limit(MAX_CATEGORIES + 1).collect()
-    if len(rows) > MAX_CATEGORIES:
-        raise ValueError(f"more than {MAX_CATEGORIES} values in {', '.join(categorical)}")
-    return [sorted(r.value for r in rows if r.place == i) for i in range(len(categorical))]
+    values: list[list[str]] = [[] for _ in categorical]
+    for row in found.toLocalIterator():
+        values[row.place].append(row.value)
+    return [sorted(v) for v in values]
 
 
 def _stages(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> list:
@@ -206,8 +199,8 @@ def train(
 def _with_shares(model: TipModel, df: DataFrame) -> tuple[DataFrame, dict[str, Column]]:
     """What each feature adds to the baseline, as native expressions.
 
-    The weights of a category's values are joined on: a table of at most
-    ``MAX_CATEGORIES`` rows, hence the broadcast.
+    The weights of a category's values are joined on, broadcast or not as
+    their measured size allows.
     """
     shares = {}
     for c, weight in model.numbers.items():
@@ -217,7 +210,7 @@ def _with_shares(model: TipModel, df: DataFrame) -> tuple[DataFrame, dict[str, C
     for c, weights in model.categories.items():
         if weights:
             listed = df.sparkSession.createDataFrame(list(weights.items()), f"_value_{c} string, _share_{c} double")
-            df = df.join(F.broadcast(listed), F.col(c).cast("string") == F.col(f"_value_{c}"), "left")
+            df = df.join(listed, F.col(c).cast("string") == F.col(f"_value_{c}"), "left")
             shares[c] = F.coalesce(F.col(f"_share_{c}"), F.lit(0.0))
     return df, shares
 
@@ -290,27 +283,35 @@ def tune(
 ) -> tuple[TipModel, list[dict[str, float]]]:
     """The best of several penalties by squared error on a held-out fifth.
 
-    Returns the model and one entry per trial.  Features are prepared once for
-    all trials.
+    Rows are held out by a hash of their columns.  Returns the model and one
+    entry per trial.  Features are prepared once for all trials.
     """
     known = _with_numbers(df, numeric).filter(F.col(label).isNotNull())
+    training, held_out = split(known, [label, *categorical, *_numbers(numeric)])
     prepared = Pipeline(stages=_stages(known, numeric, categorical)).fit(known)
-    regression = LinearRegression(featuresCol="_features", labelCol=label, predictionCol=f"predicted_{label}")
+    wanted = [label, *categorical, *_numbers(numeric)]
+    learned, judged = (prepared.transform(part.select(*wanted)).select(label, "_features") for part in (training, held_out))
     points = trial_points(trials, seed)
-    grid = []
-    for point in points:
+    evaluator = RegressionEvaluator(labelCol=label, predictionCol=f"predicted_{label}", metricName="mse")
+
+    def attempt(point: tuple[float, float]):
         strength, share = elastic_net(*point)
-        grid.append({regression.regParam: strength, regression.elasticNetParam: share})
-    search = TrainValidationSplit(
-        estimator=regression, estimatorParamMaps=grid,
-        evaluator=RegressionEvaluator(labelCol=label, predictionCol=f"predicted_{label}", metricName="mse"),
-        trainRatio=0.8, parallelism=parallel, seed=seed,
-    )
-    rows = known.select(label, *categorical, *_numbers(numeric))
-    found = search.fit(prepared.transform(rows).select(label, "_features"))
-    best = PipelineModel([*prepared.stages, found.bestModel])
+        fitted = LinearRegression(
+            featuresCol="_features", labelCol=label, predictionCol=f"predicted_{label}",
+            regParam=strength, elasticNetParam=share,
+        ).fit(learned)
+        return fitted, evaluator.evaluate(fitted.transform(judged))
+
+    with ThreadPoolExecutor(parallel) as pool:
+        tried = list(pool.map(attempt, points))
     log = [
-        {"l1_reg": l1, "l2_reg": l2, "mean_squared_error": mse}
-        for (l1, l2), mse in zip(points, found.validationMetrics)
+        {"l1_reg": l1, "l2_reg": l2, "mean_squared_error": error} for (l1, l2), (_, error) in zip(points, tried)
     ]
+    # the chosen penalty, learned from all rows
+    best = min(range(len(points)), key=lambda i: (tried[i][1], i))
+    strength, share = elastic_net(*points[best])
+    fitted = LinearRegression(
+        featuresCol="_features", labelCol=label, regParam=strength, elasticNetParam=share
+    ).fit(prepared.transform(known.select(*wanted)).select(label, "_features"))
+    best = PipelineModel([*prepared.stages, fitted])
     return read_weights(best, numeric, categorical, label), log

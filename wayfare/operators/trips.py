@@ -90,20 +90,18 @@ def largest_tips_from(
 ) -> DataFrame:
     """Largest tip per dropoff zone for trips that began in one zone.
 
-    The zone table plays both roles.  Trips are reduced to one row per pair of
-    zones before either join.
+    The zone table plays both roles.  The origin's few ids filter the trips
+    before anything is aggregated; names of targets join the aggregate.
     """
-    pairs = (
-        trips.filter(in_interval(pickup, start, end))
-        .groupBy(F.col(pickup_zone).alias("pu"), F.col(dropoff_zone).alias("do"))
-        .agg(F.max(tip).alias("tip"))
-    )
-    origin = zones.filter(F.col(zone_name) == from_zone).select(F.col(zone_id).alias("pu"))
+    origin = zones.filter(F.col(zone_name) == from_zone).select(F.col(zone_id).alias("pu")).distinct()
     target = zones.select(F.col(zone_id).alias("do"), F.col(zone_name).alias("dropoff_zone"))
-    return (
-        pairs.join(origin, "pu").join(target, "do")
-        .groupBy("dropoff_zone").agg(F.max("tip").alias("max_tip"))
+    per_target = (
+        trips.filter(in_interval(pickup, start, end))
+        .select(F.col(pickup_zone).alias("pu"), F.col(dropoff_zone).alias("do"), F.col(tip).alias("tip"))
+        .join(origin, "pu", "left_semi")
+        .groupBy("do").agg(F.max("tip").alias("tip"))
     )
+    return per_target.join(target, "do").groupBy("dropoff_zone").agg(F.max("tip").alias("max_tip"))
 
 
 def trips_per_zone(
@@ -126,9 +124,16 @@ def least_frequent_zone(trips: DataFrame, zones: DataFrame, **columns: str) -> D
 def monthly_zone_revenue(
     trips: DataFrame, *, zone: str = "PULocationID", pickup: str = PICKUP, service: str = "service_type",
     amounts: Sequence[str] = AMOUNTS, averages: Sequence[str] = AVERAGES,
+    start: Moment | None = None, end: Moment | None = None,
 ) -> DataFrame:
-    """Sums and averages per zone, month and service, with the number of trips."""
+    """Sums and averages per zone, month and service, with the number of trips.
+
+    Whoever asks for some months only gives their bounds: a range on the raw
+    time reaches the scan, a condition on the month does not.
+    """
     short = {**{a: a for a in amounts}, "fare_amount": "fare"}
+    if start is not None and end is not None:
+        trips = trips.filter(in_interval(pickup, start, end))
     return trips.groupBy(
         F.col(zone).alias("revenue_zone"),
         month_start(pickup).alias("revenue_month"),

@@ -80,7 +80,7 @@ def run_home_advantage(
     quality.require(quality.quality_report(staged, quality.staged_games_checks()))
     mart = games.home_advantage_mart(staged)
     tables.write_by_integer_range(mart, f"{warehouse}/home_advantage", "season_year", 1946, 2030, ["team_abbr"])
-    stored = files.parquet(spark, f"{warehouse}/home_advantage")
+    stored = files.parquet(spark, f"{warehouse}/home_advantage").drop("season_year_from")
     quality.require(quality.quality_report(stored, quality.home_advantage_checks()))
     return stored
 

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfare.operators import dashboard, games
+from wayfare.operators import dashboard, games, quality
 from wayfare.plans import bindings as b
-from wayfare.plans.registry import query, sql_fixed_sum
+from wayfare.plans.registry import query, sql_money_sum
 
 CLEANED = f"""cleaned AS (SELECT g.game_id, TRY_CAST(substr(game_date, 1, 10) AS DATE) AS game_date, season_id,
     team_id_home, team_abbreviation_home, team_name_home, wl_home, TRY_CAST(pts_home AS INTEGER) AS pts_home,
@@ -105,7 +105,7 @@ def attendance_series(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _sql_mean(condition: str) -> str:
     delta = f"CASE WHEN {condition} THEN home_advantage_delta END"
-    return f"{sql_fixed_sum(f'({delta})', 4)} / NULLIF(COUNT({delta}), 0)"
+    return f"{sql_money_sum(f'({delta})')} / NULLIF(COUNT({delta}), 0)"
 
 
 @query(f"""WITH {b.MART}, per_team AS (SELECT team_abbr, {_sql_mean('NOT is_bubble_season')} AS normal_delta,
@@ -134,3 +134,37 @@ def sidebar_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"WITH {b.MART} SELECT MIN(season_year) AS first_season, MAX(season_year) AS last_season FROM mart")
 def season_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dashboard.season_bounds(home_advantage_mart(spark, sf_dir))
+
+
+def _sql_not_null(columns: list[str]) -> str:
+    return " UNION ALL ".join(
+        f"SELECT 'not_null' AS \"check\", '{c}' AS \"column\", COUNT(*) FILTER (WHERE {c} IS NULL) AS failures FROM t"
+        for c in columns)
+
+
+def _sql_unique(columns: str) -> str:
+    known = " AND ".join(f"{c} IS NOT NULL" for c in columns.split(","))
+    return f"""SELECT 'unique', '{columns}', COUNT(*) FROM
+      (SELECT {columns} FROM t WHERE {known} GROUP BY ALL HAVING COUNT(*) > 1)"""
+
+
+_STATUS = "SELECT *, CASE WHEN failures = 0 THEN 'pass' ELSE 'fail' END AS status FROM r"
+_MART_COLUMNS = ["season_year", "team_abbr", "team_name", "is_bubble_season", "home_win_pct", "away_win_pct",
+                 "home_advantage_delta", "league_home_win_pct"]
+
+
+@query(f"""WITH {b.MART}, t AS (SELECT * FROM mart), r AS ({_sql_not_null(_MART_COLUMNS)}
+    UNION ALL {_sql_unique('team_abbr,season_year,team_name,is_bubble_season')}) {_STATUS}""")
+def mart_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mart's own set of checks, its grain among them."""
+    return quality.quality_report(home_advantage_mart(spark, sf_dir), quality.home_advantage_checks())
+
+
+_GAME_COLUMNS = ["game_id", "game_date", "season_year", "team_abbr_home", "wl_home", "home_win", "is_bubble_season"]
+
+
+@query(f"""WITH {CLEANED}, t AS (SELECT *, upper(trim(team_abbreviation_home)) AS team_abbr_home FROM cleaned),
+  r AS ({_sql_not_null(_GAME_COLUMNS)} UNION ALL {_sql_unique('game_id')}
+    UNION ALL SELECT 'accepted_values', 'wl_home', COUNT(*) FILTER (WHERE wl_home NOT IN ('W', 'L')) FROM t) {_STATUS}""")
+def staged_games_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_report(stage_games(spark, sf_dir), quality.staged_games_checks())

@@ -25,9 +25,5 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def sql_money_sum(column: str) -> str:
-    return sql_fixed_sum(column, 2)
-
-
-def sql_fixed_sum(column: str, digits: int) -> str:
-    units = 10**digits
-    return f"(CAST(SUM(CAST(ROUND({column} * {units}) AS BIGINT)) AS DOUBLE) / {units})"
+    """The sum as a warehouse with a numeric type gives it."""
+    return f"CAST(SUM(CAST({column} AS DECIMAL(38, 9))) AS DOUBLE)"

@@ -6,6 +6,9 @@ returns a read of it.
 
 from __future__ import annotations
 
+import datetime as dt
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,7 +21,8 @@ from wayfare.schemas import PAYMENT_LOOKUP, ddl
 from wayfare.sinks import incremental, tables
 from wayfare.sources import files, months
 
-ORDER_TEXT = ddl("o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderpriority string")
+ORDER_TEXT = ddl("""o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double,
+    o_orderdate timestamp_ntz, o_orderpriority string""")
 ORDER_COLUMNS = ORDER_TEXT.names
 
 
@@ -36,9 +40,14 @@ def _orders_csv(spark: SparkSession, sf_dir: str, **options: str) -> str:
 
 
 @query("""SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey,
-    o_orderstatus, o_orderpriority FROM orders""")
+    o_orderstatus, printf('%.2f', o_totalprice) AS o_totalprice,
+    strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.000') AS o_orderdate, o_orderpriority FROM orders""")
 def csv_all_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return files.csv_strings(spark, _orders_csv(spark, sf_dir)).drop("o_totalprice")
+    """Every column as the text that stands in the file; amounts were written with two decimals."""
+    path = fresh_path(spark, "orders-csv")
+    amounts = F.format_string("%.2f", "o_totalprice")
+    _orders(spark, sf_dir).withColumn("o_totalprice", amounts).write.options(header=True).csv(path)
+    return files.csv_strings(spark, path)
 
 
 @query(f"SELECT {', '.join(ORDER_COLUMNS)} FROM orders")
@@ -46,10 +55,11 @@ def csv_gzip_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.csv_typed(spark, _orders_csv(spark, sf_dir, compression="gzip"), ORDER_TEXT, spread=8)
 
 
-@query("SELECT CAST(o_orderkey AS INTEGER) AS o_orderkey, o_orderstatus, o_totalprice FROM orders")
+@query("""SELECT CAST(o_orderkey AS INTEGER) AS o_orderkey, CAST(o_custkey AS INTEGER) AS o_custkey, o_orderstatus,
+    o_totalprice, o_orderdate, o_orderpriority FROM orders""")
 def csv_inferred_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     read = files.csv_inferred(spark, _orders_csv(spark, sf_dir))
-    return read.select("o_orderkey", "o_orderstatus", "o_totalprice")
+    return read.withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp_ntz"))
 
 
 @query("SELECT CAST(c_custkey AS INTEGER) AS payment_type_id, c_name AS payment_type_name FROM customer")
@@ -83,23 +93,85 @@ def merged_schema_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.parquet_merged(spark, [left, right], ddl("id long, amount double, kind string"))
 
 
-@query("""SELECT ts AS pickup_datetime, CAST(user_id AS INTEGER) AS passenger_count, value AS trip_distance,
-      value AS fare_amount, 'green' AS taxi_type FROM events WHERE ts >= '2023-12-01' AND ts < '2024-03-01'
-    UNION ALL SELECT l_shipdate, l_linenumber, l_quantity, l_extendedprice, 'yellow' FROM lineitem
-      WHERE l_shipdate >= '2023-12-01' AND l_shipdate < '2024-03-01'""")
+EXTRACTED = "2024-03-01 06:00:00"
+
+
+@query(f"""SELECT ts AS pickup_datetime, CAST(user_id AS INTEGER) AS passenger_count, value AS trip_distance,
+      value AS fare_amount, 'green' AS taxi_type, TIMESTAMP '{EXTRACTED}' AS extracted_at
+    FROM events WHERE ts >= '2024-01-01' AND ts < '2024-02-01'
+    UNION ALL SELECT l_shipdate, l_linenumber, l_quantity, l_extendedprice, 'yellow', TIMESTAMP '{EXTRACTED}'
+    FROM lineitem WHERE l_shipdate >= '1998-02-01' AND l_shipdate < '1998-04-01'""")
 def month_range_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Of two services with monthly files, the months that overlap a range."""
+    """Monthly files of two services; a range of each, absent months skipped."""
     root = fresh_path(spark, "months")
-    b.table(spark, sf_dir, "events").select(
+    green = b.table(spark, sf_dir, "events").select(
         F.col("ts").alias("lpep_pickup_datetime"), F.col("user_id").alias("passenger_count"),
         F.col("value").alias("trip_distance"), F.col("value").alias("fare_amount"),
-    ).write.parquet(months.month_paths(root, "green", "2024-01-01", "2024-02-01")[0])
-    b.table(spark, sf_dir, "lineitem").select(
+    )
+    yellow = b.table(spark, sf_dir, "lineitem").select(
         F.col("l_shipdate").alias("tpep_pickup_datetime"), F.col("l_linenumber").alias("passenger_count"),
         F.col("l_quantity").alias("trip_distance"), F.col("l_extendedprice").alias("fare_amount"),
-    ).write.parquet(months.month_paths(root, "yellow", "2001-11-01", "2001-12-01")[0])
-    found = months.ingest_trips(spark, root, ["green", "yellow"], "2023-12-01", "2024-03-01")
-    return found.drop("extracted_at").withColumn("pickup_datetime", F.col("pickup_datetime").cast("timestamp_ntz"))
+    )
+    for rows, service, time, month, following in (
+        (green, "green", "lpep_pickup_datetime", "2024-01-01", "2024-02-01"),
+        (yellow, "yellow", "tpep_pickup_datetime", "1998-02-01", "1998-03-01"),
+        (yellow, "yellow", "tpep_pickup_datetime", "1998-03-01", "1998-04-01"),
+    ):
+        path = months.month_paths(root, service, month, following)[0]
+        rows.filter(times.in_interval(time, month, following)).write.parquet(path)
+    at = dt.datetime.fromisoformat(EXTRACTED)
+    found = months.ingest_trips(spark, root, ["green"], "2023-12-01", "2024-03-01", extracted_at=at).unionByName(
+        months.ingest_trips(spark, root, ["yellow"], "1997-12-01", "1998-04-01", extracted_at=at))
+    return found.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("pickup_datetime", "extracted_at")})
+
+
+_LOCATED_RANGE = "1998-02-10 06:00:00", "1998-03-20"
+
+
+@query(f"""SELECT l_shipdate AS pickup_datetime, l_shipdate + INTERVAL 1 HOUR AS dropoff_datetime,
+      CAST(l_suppkey % 25 AS INTEGER) AS pickup_location_id, CAST(l_partkey % 25 AS INTEGER) AS dropoff_location_id,
+      l_extendedprice + extra AS fare_amount, l_linenumber AS payment_type, taxi_type
+    FROM lineitem, (VALUES ('green', 0), ('yellow', 1)) AS services(taxi_type, extra)
+    WHERE l_linenumber <> 3 AND l_shipdate >= '{_LOCATED_RANGE[0]}' AND l_shipdate < '{_LOCATED_RANGE[1]}'""")
+def located_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stricter ingest: two services, every month there, rows without a drop-off time left out."""
+    root = fresh_path(spark, "located")
+    lineitem = b.table(spark, sf_dir, "lineitem")
+    hour = F.col("l_shipdate") + F.expr("INTERVAL 1 HOUR")
+    for service, prefix, extra in (("green", "l", 0), ("yellow", "t", 1)):
+        rows = lineitem.select(
+            F.col("l_shipdate").alias(f"{prefix}pep_pickup_datetime"),
+            F.when(F.col("l_linenumber") != 3, hour).alias(f"{prefix}pep_dropoff_datetime"),
+            (F.col("l_suppkey") % 25).alias("PULocationID"), (F.col("l_partkey") % 25).alias("DOLocationID"),
+            (F.col("l_extendedprice") + extra).alias("fare_amount"), F.col("l_linenumber").alias("payment_type"),
+        )
+        for month, following in (("1998-02-01", "1998-03-01"), ("1998-03-01", "1998-04-01")):
+            path = months.month_paths(root, service, month, following)[0]
+            rows.filter(times.in_interval(f"{prefix}pep_pickup_datetime", month, following)).write.parquet(path)
+    found = months.ingest_located_trips(spark, root, ["green", "yellow"], *_LOCATED_RANGE)
+    return found.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("pickup_datetime", "dropoff_datetime")})
+
+
+@query("SELECT o_orderstatus, COUNT(*) AS n FROM orders GROUP BY 1")
+def view_over_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A view created over a written table and asked in SQL; a second write of the table is refused."""
+    path = fresh_path(spark, "orders")
+    tables.write_parquet(_orders(spark, sf_dir), path)
+    try:
+        tables.write_parquet(_orders(spark, sf_dir).limit(0), path)
+    except AnalysisException:
+        pass  # the default mode keeps what is there
+    view = path.rsplit("/", 1)[1].replace("-", "_")
+    tables.create_view(files.parquet(spark, path), view)
+    return spark.sql(f"SELECT o_orderstatus, COUNT(*) AS n FROM {view} GROUP BY 1")
+
+
+@query("SELECT c_custkey AS payment_type_id, c_name AS payment_type_name FROM customer")
+def empty_then_filled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An empty table of a declared schema, and the rows that join it."""
+    schema = ddl("payment_type_id long, payment_type_name string")
+    rows = b.table(spark, sf_dir, "customer").toDF(*["payment_type_id", "payment_type_name", "a", "b", "c"])
+    return files.empty(spark, schema).unionByName(rows.select(*schema.names))
 
 
 @query("SELECT o_orderstatus, COUNT(*) AS n, MAX(o_totalprice) AS largest FROM orders GROUP BY 1")
@@ -150,15 +222,16 @@ def integer_range_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "by-year")
     seasons = b.table(spark, sf_dir, "lineitem").select("l_suppkey", F.year("l_shipdate").alias("season_year"))
     tables.write_by_integer_range(seasons, path, "season_year", 1946, 2030, ["l_suppkey"])
-    kept = files.parquet(spark, path).filter(F.col("season_year").between(1997, 1999))
+    years = F.col("season_year").between(1997, 1999) & F.col("season_year_from").between(1997, 1999)
+    kept = files.parquet(spark, path).filter(years)
     return kept.groupBy("l_suppkey").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("SELECT o_orderkey, o_custkey, o_orderstatus, -o_totalprice AS o_totalprice, o_orderpriority FROM orders")
+@query("SELECT o_orderkey, o_custkey, o_orderstatus, -o_totalprice AS o_totalprice, o_orderdate, o_orderpriority FROM orders")
 def table_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table created from a query, replaced by another, emptied and filled again."""
-    orders, name = _orders(spark, sf_dir), "wayfare_orders"
-    where = fresh_path(spark, "table")
+    orders, where = _orders(spark, sf_dir), fresh_path(spark, "table")
+    name = where.rsplit("/", 1)[1].replace("-", "_")  # as unique as the folder: runs on one catalog don't meet
     tables.create_table(orders.select("o_orderkey"), name, location=where)
     tables.create_table(orders, name, location=where)
     negative = orders.withColumn("o_totalprice", -F.col("o_totalprice")).select(*reversed(ORDER_COLUMNS))
@@ -237,7 +310,7 @@ def upsert_newest(spark: SparkSession, sf_dir: str) -> DataFrame:
     new = events.select(
         F.col("user_id").alias("event_id"), "ts", "event_type", "value", F.col("event_id").alias("number")
     )
-    newest = changes.latest_per_key(new, ["event_id"], [F.col("ts").desc(), "number"]).drop("number")
+    newest = staging.first_per_key(new, ["event_id"], [F.col("ts").desc(), "number"]).drop("number")
     return changes.upsert(_events(spark, sf_dir), newest, ["event_id"])
 
 
@@ -251,6 +324,19 @@ def upsert_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stored(spark, path)
 
 
+@query(f"""{_OLD} WHERE event_id % 3 <> 0
+    UNION ALL SELECT event_id, ts + INTERVAL 2 DAY, event_type, -value FROM events WHERE event_id % 3 = 0""")
+def upsert_moved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A third of the keys come again two days later: the old rows leave their partitions."""
+    path = _store_events(spark, sf_dir)
+    moved = _events(spark, sf_dir).filter("event_id % 3 = 0").withColumns(
+        {"ts": F.col("ts") + F.expr("INTERVAL 2 DAYS"), "value": -F.col("value")})
+    moved = moved.withColumn("ts_date", F.to_date("ts"))
+    for _ in range(2):
+        incremental.upsert(path, moved, ["event_id"], "ts_date")
+    return _stored(spark, path)
+
+
 _DELETE_INSERT = f"""{_OLD} WHERE event_type NOT IN ('view', 'click')
     UNION ALL SELECT event_id, ts, 'view', value FROM events UNION ALL SELECT event_id, ts, 'click', value FROM events"""
 

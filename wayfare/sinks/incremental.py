@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -107,23 +108,23 @@ def upsert(
     path: str, new: DataFrame, keys: Sequence[str], partition: str, *,
     newest: Sequence[Column | str] | None = None, cluster: Sequence[str] = (),
 ) -> None:
-    """Replace rows of equal key and add the others, in the partitions they touch.
+    """Replace rows of equal key and add the others: one row per key, wherever the key lay before.
 
-    The partition column must be one of the keys or derive from them, so that
-    a row never changes partition.
+    Where the partition column is a key, a row can't change partition and only
+    the partitions of the new rows are looked at; else the keys of the whole
+    table are read (no other column) to find the partitions that hold them.
     """
-    _rewrite(path, new, partition, cluster, lambda old, rows: changes.upsert(old, rows, keys, newest))
+    _rewrite(path, new, keys, partition, cluster, lambda old, rows: changes.upsert(old, rows, keys, newest))
 
 
 def delete_insert(
     path: str, new: DataFrame, keys: Sequence[str], partition: str, cluster: Sequence[str] = ()
 ) -> None:
-    """Drop the rows of every key value found in ``new`` and add all new rows;
-    the partition column must derive from the keys."""
-    _rewrite(path, new, partition, cluster, lambda old, rows: changes.delete_insert(old, rows, keys))
+    """Drop the rows of every key value found in ``new``, in any partition, and add all new rows."""
+    _rewrite(path, new, keys, partition, cluster, lambda old, rows: changes.delete_insert(old, rows, keys))
 
 
-def _rewrite(path: str, new: DataFrame, partition: str, cluster: Sequence[str], change) -> None:
+def _rewrite(path: str, new: DataFrame, keys: Sequence[str], partition: str, cluster: Sequence[str], change) -> None:
     spark = new.sparkSession
     finish(spark, path)
     target = read_table(spark, path)
@@ -132,18 +133,26 @@ def _rewrite(path: str, new: DataFrame, partition: str, cluster: Sequence[str],
     # Written once, so an expensive or unrepeatable input is computed once.
     new.write.mode("overwrite").parquet(f"{path}/{INCOMING}")
     rows = spark.read.schema(new.schema).parquet(f"{path}/{INCOMING}")
+    places = rows.select(partition)
+    if target is not None:
+        typed = spark.read.schema(new.schema).parquet(path).select(*new.columns)
+        if partition not in keys:
+            places = places.unionByName(changes.with_keys_of(typed, rows, keys).select(partition))
     # No more values than the table has folders: what a listing would return.
-    touched = [r[0] for r in rows.select(partition).distinct().collect()]
+    touched = [r[0] for r in places.distinct().collect()]
     if touched:
-        if target is None:
-            old = rows.filter(F.lit(False))
-        else:
-            typed = spark.read.schema(new.schema).parquet(path).select(*new.columns)
-            old = _in_partitions(typed, partition, touched)
-        _stage(change(old, rows), path, partition, cluster)
+        old = rows.filter(F.lit(False)) if target is None else _in_partitions(typed, partition, touched)
+        _stage(change(old, rows), path, partition, cluster, _folders_of(Storage(spark), path, touched))
     finish(spark, path)
 
 
+def _folders_of(storage: Storage, path: str, values: Sequence) -> set[str]:
+    """The table's folders of some partition values."""
+    names = {"__HIVE_DEFAULT_PARTITION__" if v is None or v == "" else str(v).lower() if isinstance(v, bool) else str(v)
+             for v in values}
+    return {f for f in _partition_folders(storage, path) if unquote(f.split("=", 1)[1]) in names}
+
+
 def load(
     path: str, new: DataFrame, key: str, start: Moment, end: Moment, *, full_refresh: bool = False,
     cluster: Sequence[str] = (),

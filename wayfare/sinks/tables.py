@@ -53,18 +53,16 @@ def write_by_integer_range(
     df: DataFrame, path: str, column: str, low: int, high: int, cluster: Sequence[str] = (), step: int = 1,
     mode: str = "overwrite",
 ) -> None:
-    """Partition by an integer column, in steps from ``low`` to ``high``.
+    """Partition by an integer column, in steps from ``low`` up to but not including ``high``.
 
-    Steps of one partition by the column itself, wider ones by the first value
-    of the step in ``<column>_from``.  Values out of range share the NULL
-    partition of a stepped column, and keep their own where steps are one.
+    The partition column is ``<column>_from``, the first value of the step.
+    Values out of range and NULL share its NULL partition; the column itself
+    keeps every value.
     """
-    if step == 1:
-        write_partitioned(df, path, column, cluster, mode)
-        return
     value = F.col(column)
     first = (F.floor((value - low) / step) * step + low).cast("int")
-    ranged = df.withColumn(f"{column}_from", F.when(value.between(low, high - 1), first))
+    inside = (value >= low) & (value < high)
+    ranged = df.withColumn(f"{column}_from", F.when(inside, first))
     write_partitioned(ranged, path, f"{column}_from", [column, *cluster], mode)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -26,9 +26,14 @@ def bad_records(parsed: DataFrame) -> DataFrame:
     return parsed.filter(F.col(BAD_RECORD).isNotNull()).select(BAD_RECORD)
 
 
+def record_of(*columns: str) -> Column:
+    """The columns of a row as one JSON text."""
+    return F.to_json(F.struct(*columns))
+
+
 def to_records(df: DataFrame) -> DataFrame:
     """One JSON text per row, in column ``value``: what a topic sink takes."""
-    return df.select(F.to_json(F.struct(*df.columns)).alias("value"))
+    return df.select(record_of(*df.columns).alias("value"))
 
 
 def topic(

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
 
 from wayfare.session import prepare_streams
 from wayfare.sinks import incremental
@@ -74,11 +75,36 @@ def finish(query: StreamingQuery) -> StreamingQuery:
     return query
 
 
-def dropped_late_rows(query: StreamingQuery) -> int:
-    """Rows left out because their window had closed, over the kept progress reports."""
-    return sum(
-        op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"]
-    )
+class DropCounter(StreamingQueryListener):
+    """Adds up the rows that the session's streams leave out because their window had closed.
+
+    Every progress report is counted as it comes: a query itself keeps only
+    the last of them.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.dropped, self.running = spark, 0, set()
+        spark.streams.addListener(self)
+
+    def onQueryStarted(self, event) -> None:
+        self.running.add(event.id)
+
+    def onQueryProgress(self, event) -> None:
+        self.dropped += sum(op.numRowsDroppedByWatermark for op in event.progress.stateOperators)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self.running.discard(event.id)
+
+    def stop(self, patience: float = 30.0) -> int:
+        """The rows so far, after the reports of the queries that have ended."""
+        until = time.monotonic() + patience
+        while self.running and time.monotonic() < until:
+            time.sleep(0.05)
+        self.spark.streams.removeListener(self)
+        return self.dropped
 
 
 def drain_to_files(stream: DataFrame, path: str, checkpoint: str) -> DataFrame:

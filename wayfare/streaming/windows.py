@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from wayfare.functions.numbers import money_sum
 from wayfare.functions.times import from_millis, parse_time
 
 EVENT_TIME = "event_timestamp"
@@ -57,12 +58,12 @@ def trips_per_window(events: DataFrame, size: str, zone: str = "PULocationID", *
 
 
 def revenue_per_hour(events: DataFrame, zone: str = "PULocationID", amount: str = "total_amount", **options) -> DataFrame:
-    aggregates = {"num_trips": F.count(F.lit(1)), "total_revenue": F.sum(amount)}
+    aggregates = {"num_trips": F.count(F.lit(1)), "total_revenue": money_sum(amount)}
     return tumbling(events, "1 hour", [zone], aggregates, **options)
 
 
 def tips_per_hour(events: DataFrame, tip: str = "tip_amount", **options) -> DataFrame:
-    return tumbling(events, "1 hour", [], {"total_tip_amount": F.sum(tip)}, **options)
+    return tumbling(events, "1 hour", [], {"total_tip_amount": money_sum(tip)}, **options)
 
 
 def sessions(events: DataFrame, gap: str, keys: Sequence[str], *, time: str = EVENT_TIME) -> DataFrame:
