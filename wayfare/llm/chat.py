@@ -34,7 +34,9 @@ CONTROL = (TURN, END, "<|endoftext|>", "<|startoftext|>", "<|im_start|>", "<|im_
 #: Roles whose texts are learned.
 LEARNED = ("assistant",)
 
-_RISKY = re.compile("|".join(["\\\\", *map(re.escape, sorted(CONTROL, key=len, reverse=True))]))
+#: Pattern of what an escape goes to.
+RISKY = "|".join(["\\\\", *map(re.escape, sorted(CONTROL, key=len, reverse=True))])
+_RISKY = re.compile(RISKY)
 _ESCAPED = re.compile(r"\\(.)", re.S)
 _TURN = re.compile(re.escape(TURN) + r"((?:[^\\\n]|\\.)*)\n(.*?)" + re.escape(END) + "\n", re.S)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wayfare.llm import chat, contamination, fields, licenses, near, pieces, rules, substrings, suffixes, urls
+from wayfare.llm import chat, contamination, fields, licenses, near, oracles, pieces, rules, substrings, suffixes, urls
 from wayfare.llm.registry import query, table
 
 
@@ -19,7 +19,7 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *counts, "base_failed", "kept", "rejecting_rule")
 
 
-@query()
+@query(oracles.DECONTAMINATION)
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scanned = contamination.scan(docs, table(spark, sf_dir, "benchmark"))
@@ -31,14 +31,14 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query()
+@query(oracles.SUBSTRING_DEDUP)
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     cut = substrings.deduplicate(docs)
     return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
-@query()
+@query(oracles.BYTE_DEDUP)
 def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     cut = suffixes.deduplicate(docs)
@@ -56,20 +56,20 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query()
+@query(oracles.NEAR_DEDUP)
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = near.classes(docs, shingle=4)
     return found.select("doc_id", "n_shingles", "component_id", (F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("kept"))
 
 
-@query()
+@query(oracles.CHAT_FORMATTING)
 def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = "</s>[INST] ok [/INST]"
     more = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], rows.schema)
     formatted = chat.format_conversations(rows.unionByName(more), public_tokenizers.path("byte_bpe_50k.json"))
-    return chat.read_back(formatted)
+    return chat.read_back(formatted).drop("n_tokens", "n_learned_tokens")
 
 
 #: Rules of the URL query: host and path prefix, longest wins.
