@@ -34,7 +34,7 @@ GRAIN = 10
 
 def repeated(docs: DataFrame, key: str, text: str, length: int = LENGTH, grain: int = GRAIN) -> DataFrame:
     """Stretches that also start in a document with a smaller id: key, ``_row`` (a hash of the text) and ``owners``."""
-    seeds = docs.mapInArrow(
+    seeds = docs.select(key, "_row", text).mapInArrow(
         anchors.emit(anchors.of_words, text, [key, "_row"], length, grain),
         T.StructType([docs.schema[key], docs.schema["_row"], *SEED_FIELDS]),
     )
@@ -97,7 +97,8 @@ def deduplicate(
     """Documents with ``n_words``, ``n_removed`` and the kept words, joined by one space, in ``kept``."""
     docs = docs.drop("n_words", "n_removed", kept).withColumn("_row", F.hash(text))
     known, unknown = docs.where(F.col(key).isNotNull()), docs.where(F.col(key).isNull())
-    found = repeated(known.select(key, "_row", text), key, text, length, grain)
+    # The same rows join the seeds' edges and the spans, so that their texts are shuffled once.
+    found = repeated(known, key, text, length, grain)
     spans = anchors.anew(found.groupBy(key, "_row").agg(F.collect_set("owners").alias("_owners")), "_row")
     joined = known.join(spans, [key, "_row"], "left").select(*docs.columns, "_owners")
     joined = joined.unionByName(unknown.withColumn("_owners", F.lit(None).cast("array<bigint>")))
