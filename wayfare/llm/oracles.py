@@ -28,8 +28,10 @@ FROM docs LEFT JOIN hit_words USING (r) LEFT JOIN hit_items USING (r)"""
 BYTE_DEDUP = """
 WITH docs AS (SELECT row_number() OVER () AS r, doc_id, hex(COALESCE(text, '')) AS h, strlen(COALESCE(text, '')) AS n
   FROM documents),
-places AS (SELECT r, k, md5(substr(h, 2 * k + 1, 400)) AS s
-  FROM (SELECT r, h, UNNEST(range(0, n - 199)) AS k FROM docs WHERE n >= 200)),
+blocks AS (SELECT r, j, substr(h, 400 * j + 1, 800) AS two
+  FROM (SELECT r, h, UNNEST(range(0, n // 200 + 1)) AS j FROM docs WHERE n >= 200)),
+places AS (SELECT r, 200 * j + o AS k, md5(substr(two, 2 * o + 1, 400)) AS s
+  FROM (SELECT r, j, two, UNNEST(range(0, 200)) AS o FROM blocks) WHERE strlen(two) >= 2 * o + 400),
 again AS (SELECT r, k FROM places SEMI JOIN (SELECT s FROM places GROUP BY s HAVING COUNT(*) > 1) USING (s)),
 opened AS (SELECT *, COALESCE(lag(k) OVER (PARTITION BY r ORDER BY k) + 200 < k, TRUE)::INTEGER AS opens FROM again),
 numbered AS (SELECT *, SUM(opens) OVER (PARTITION BY r ORDER BY k ROWS UNBOUNDED PRECEDING) AS span FROM opened),
@@ -85,3 +87,62 @@ SELECT conv_id, COUNT(*) AS n_turns,
   CAST(SUM({len(chat.TURN) + len(chat.END) + 2} + {_escaped_length('role', '|' + chr(92) + 'n')}
     + {_escaped_length('text')}) AS BIGINT) AS formatted_chars
 FROM said GROUP BY conv_id"""
+
+
+def url_filter(rules: list, order: int) -> str:
+    """Rules, then both models order by order, then the threshold."""
+
+    def chosen(value: str) -> str:
+        """The longest rule that fits; of equally long ones a block."""
+        ranked = sorted(rules, key=lambda r: (-len(r.text), r.verdict != "block", r.text))
+        cases = []
+        for rule in ranked:
+            host, _, path = rule.text.partition("/")
+            fits = f"(host = '{host}' OR ends_with(host, '.{host}')) AND starts_with(path, '/{path}')"
+            cases.append(f"WHEN {fits} THEN '{getattr(rule, value)}'")
+        return f"CASE {' '.join(cases)} END"
+
+    start, stop = f"repeat(chr(2), {order})", "chr(3)"
+    models = []
+    for n in range(order + 1):
+        before = "SELECT gram, 1.0::DOUBLE / letters AS pa, 1.0::DOUBLE / letters AS pb FROM wanted, alphabet" if n == 0 \
+            else f"SELECT * FROM model{n - 1}"
+        blended = ", ".join(
+            f"CASE WHEN n{k} > 0 THEN (COALESCE({k}, 0) + kinds{k} * p{k}) / (n{k} + kinds{k}) ELSE p{k} END AS p{k}" for k in "ab")
+        models.append(f"""
+seen{n} AS (SELECT substr(gram, {order + 1 - n}, {n + 1}) AS tail, SUM(a)::DOUBLE AS a, SUM(b)::DOUBLE AS b FROM counts GROUP BY 1),
+contexts{n} AS (SELECT substr(tail, 1, {n}) AS context, SUM(a) AS na, SUM(b) AS nb, COUNT(*) FILTER (WHERE a > 0) AS kindsa,
+  COUNT(*) FILTER (WHERE b > 0) AS kindsb FROM seen{n} GROUP BY 1),
+model{n} AS (SELECT gram, {blended} FROM ({before}) m
+  LEFT JOIN seen{n} ON substr(gram, {order + 1 - n}, {n + 1}) = tail
+  LEFT JOIN contexts{n} ON substr(gram, {order + 1 - n}, {n}) = context)""")
+    return f"""
+WITH rests AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest
+  FROM pages),
+named AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')
+    AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM rests),
+ruled AS (SELECT *, host || path AS text, {chosen('text')} AS rule, {chosen('verdict')} AS kind FROM named),
+texts AS (SELECT text, COUNT(*) FILTER (WHERE kind = 'allow') AS a, COUNT(*) FILTER (WHERE kind = 'block') AS b,
+  ascii(substr(md5(text), 32, 1)) % 5 = 0 AS held FROM ruled GROUP BY text),
+marked AS (SELECT * FROM texts WHERE a + b > 0),
+sides AS (SELECT COUNT(*) = 2 AND MIN(LEAST(a, b)) > 0 AS parted
+  FROM (SELECT held, SUM(a) AS a, SUM(b) AS b FROM marked GROUP BY held)),
+training AS (SELECT text, a, b FROM marked, sides WHERE NOT (parted AND held)),
+unseen AS (SELECT text, a, b FROM marked, sides WHERE NOT parted OR held),
+places AS (SELECT text, substr({start} || text || {stop}, p, {order + 1}) AS gram
+  FROM (SELECT text, UNNEST(range(1, len(text) + 2)) AS p FROM texts)),
+counts AS (SELECT gram, SUM(a) AS a, SUM(b) AS b FROM places JOIN training USING (text) GROUP BY gram),
+alphabet AS (SELECT COUNT(DISTINCT substr(gram, {order + 1}, 1)) + 1 AS letters FROM counts),
+wanted AS (SELECT DISTINCT gram FROM places),{','.join(models)},
+ratios AS (SELECT gram, CAST(ROUND((ln(pa) - ln(pb)) * 1000000000) AS BIGINT) AS ratio FROM model{order}),
+scores AS (SELECT text, SUM(ratio)::DOUBLE / (len(text) + 1) / 1000000000 AS score
+  FROM places JOIN ratios USING (gram) GROUP BY text),
+bins AS (SELECT GREATEST(-2000, LEAST(2000, CAST(floor(score * 100) AS INTEGER))) AS place, SUM(a) AS a, SUM(b) AS b
+  FROM scores JOIN unseen USING (text) GROUP BY 1),
+errors AS (SELECT place, COALESCE(SUM(a) OVER below, 0)::DOUBLE / NULLIF(SUM(a) OVER (), 0)
+    - COALESCE(SUM(b) OVER below, 0)::DOUBLE / NULLIF(SUM(b) OVER (), 0) AS error
+  FROM bins WINDOW below AS (ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+bound AS (SELECT (SELECT place / 100.0::DOUBLE FROM errors WHERE error IS NOT NULL ORDER BY error, place LIMIT 1) AS bound)
+SELECT page_id, host, path, rule,
+  COALESCE(kind, CASE WHEN score < bound THEN 'block' ELSE 'allow' END) AS verdict
+FROM ruled LEFT JOIN scores USING (text), bound"""

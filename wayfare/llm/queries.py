@@ -79,7 +79,7 @@ URL_RULES = [
 ]
 
 
-@query()
+@query(oracles.url_filter(URL_RULES, urls.ORDER))
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return urls.judge(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
