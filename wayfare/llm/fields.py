@@ -27,7 +27,7 @@ from wayfare.llm import flat
 #: Labelled documents that the field is fitted to at most, the first by a hash of their id, and bytes of their whole
 #: texts together.
 SAMPLE_DOCUMENTS = 4000
-SAMPLE_BYTES = 24 << 20
+SAMPLE_BYTES = 16 << 20
 
 ROUNDS = 60
 PENALTY = 1e-3
@@ -87,6 +87,14 @@ def lines_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.clip(measures, 0, 10), first, length
 
 
+def lines_in_chunks(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The same for any number of texts, in the memory of a few."""
+    parts = [lines_of(rows.column("t")) for rows in flat.chunks(iter([pa.record_batch([texts], ["t"])]), "t", 1 << 20)]
+    starts = np.cumsum([0, *(first[-1] for _, first, _ in parts)])
+    first = np.concatenate([f[:-1] + start for (_, f, _), start in zip(parts, starts)] + [starts[-1:]])
+    return np.concatenate([m for m, _, _ in parts]), first, np.concatenate([n for _, _, n in parts])
+
+
 def _met_before(hashes: np.ndarray, starts: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
     """True for each item inside a run of ``length`` items that its text had earlier."""
     n = len(hashes)
@@ -165,7 +173,7 @@ class Field:
 
     def raw_scores(self, texts: pa.Array) -> np.ndarray:
         """Length-weighted mean of the marginals, as log odds."""
-        measures, first, length = lines_of(texts)
+        measures, first, length = lines_in_chunks(texts)
         lines = (neighbouring(measures, first) - self.centre) / self.spread
         marginal, _, _ = forward_backward(lines @ self.weights, self.links, first)
         weight = length + 1
@@ -186,7 +194,7 @@ def fit(texts: pa.Array, labels: np.ndarray) -> Field | None:
     fitted = np.arange(len(labels)) % 5 != 0
     if len(set(labels[fitted].tolist())) < 2 or len(set(labels[~fitted].tolist())) < 2:
         fitted = np.ones(len(labels), bool)
-    measures, first, length = lines_of(texts.filter(pa.array(fitted)))
+    measures, first, _ = lines_in_chunks(texts.filter(pa.array(fitted)))
     sizes = np.diff(first)
     lines = neighbouring(measures, first)
     centre, spread = lines.mean(axis=0), lines.std(axis=0) + 1e-6
