@@ -8,10 +8,11 @@ import __spark_entry__ as spark_entry
 from wayfare.functions import times
 from wayfare.operators import games
 from wayfare.plans import bindings as b
+from wayfare.plans.registry import QUERIES
 from wayfare.sinks import tables
 
 SF_DIR = "/root/testdata/sf0.001"
-BATCH = [n for n in spark_entry.queries() if not n.startswith(("stream_", "tip_", "line_"))]
+BATCH = [n for n in QUERIES if not n.startswith(("stream_", "tip_", "line_", "category_"))]
 
 
 def plan(df) -> str:
@@ -41,6 +42,19 @@ def test_projection_and_filter_reach_the_scan(spark):
     assert "LessThan(ts,2024-01-16T00:00)" in named(spark, "date_equality")
 
 
+@pytest.mark.parametrize("name, first, last", [
+    ("trips_in_month", "1999-10-01", "1999-11-01"), ("revenue_by_year_top1", "1998-01-01", "1999-01-01"),
+])
+def test_months_asked_for_reach_the_scan(spark, name, first, last):
+    text = named(spark, name)
+    assert f"GreaterThanOrEqual(l_shipdate,{first}T00:00)" in text and f"LessThan(l_shipdate,{last}T00:00)" in text
+
+
+def test_origin_filters_trips_before_the_aggregate(spark):
+    text = named(spark, "role_join_max")
+    assert "LeftSemi" in text and text.index("HashAggregate") < text.index("LeftSemi")
+
+
 def test_mart_reads_games_once(spark):
     game = spark.read.parquet(f"{SF_DIR}/lineitem.parquet")
     bound = b.staged_games(spark, SF_DIR)

@@ -103,6 +103,9 @@ def test_integer_range_partitions(spark, tmp_path):
     tables.write_by_integer_range(spark.range(0, 50).withColumnRenamed("id", "n"), path, "n", 10, 40, step=10)
     counts = {r.n_from: r["count"] for r in spark.read.parquet(path).groupBy("n_from").count().collect()}
     assert counts == {10: 10, 20: 10, 30: 10, None: 20}
+    tables.write_by_integer_range(spark.range(0, 50).withColumnRenamed("id", "n"), path, "n", 10, 13)
+    rows = {(r.n_from, r.n) for r in spark.read.parquet(path).collect()}
+    assert rows == {(n if 10 <= n < 13 else None, n) for n in range(50)}
 
 
 def test_views_and_sql(spark):

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -75,10 +77,22 @@ def parquet_merged(spark: SparkSession, paths: Paths, schema: StructType | None
     """
     if schema is None:
         return spark.read.option("mergeSchema", True).parquet(*_list(paths))
-    by_schema: dict[str, list[str]] = {}
-    for path in _list(paths):
-        by_schema.setdefault(spark.read.parquet(path).schema.json(), []).append(path)
-    return union_by_name([cast_to(spark.read.parquet(*group), schema) for group in by_schema.values()])
+    groups = paths_by_schema(spark, _list(paths))
+    return union_by_name([cast_to(spark.read.parquet(*group), schema) for group in groups])
+
+
+#: Footer reads that the driver has under way at a time.
+FOOTER_READS = 16
+
+
+def paths_by_schema(spark: SparkSession, paths: Sequence[str]) -> list[list[str]]:
+    """The paths in groups of equal schema; their footers are read side by side, not one after another."""
+    with ThreadPoolExecutor(FOOTER_READS) as pool:
+        schemas = list(pool.map(lambda path: spark.read.parquet(path).schema.json(), paths))
+    groups: dict[str, list[str]] = {}
+    for path, schema in zip(paths, schemas):
+        groups.setdefault(schema, []).append(path)
+    return list(groups.values())
 
 
 def external_table(spark: SparkSession, name: str, pattern: str) -> DataFrame:

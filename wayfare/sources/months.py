@@ -70,11 +70,9 @@ def read_months(
         raise FileNotFoundError(", ".join(sorted(set(wanted) - set(paths))))
     if not paths:
         return None
-    by_schema: dict[str, list[str]] = {}
-    for path in paths:
-        by_schema.setdefault(spark.read.parquet(path).schema.json(), []).append(path)
     frames = [
-        cast_to(resolve_aliases(spark.read.parquet(*group), aliases), schema) for group in by_schema.values()
+        cast_to(resolve_aliases(spark.read.parquet(*group), aliases), schema)
+        for group in files.paths_by_schema(spark, paths)
     ]
     return union_by_name(frames)
 
