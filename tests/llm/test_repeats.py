@@ -6,7 +6,7 @@ import pytest
 
 from tests.llm import brute
 from tests.llm.brute import in_order
-from wayfare.llm import contamination, near, queries, substrings, suffixes
+from wayfare.llm import contamination, near, queries, rules, substrings, suffixes
 
 SMALL = "/root/testdata/sf0.001"
 ODD = [(None, "a b c"), (0, None), (1, ""), (2, "a"), (3, " \n\t")]
@@ -120,6 +120,24 @@ def test_empty_tables(spark, run):
     assert run(empty, spark.createDataFrame([(1, "a b")], "item_id long, text string")).count() == 0
 
 
+def test_filters_keep_columns_with_the_operators_names(spark):
+    passage = " ".join(f"w{i}" for i in range(60))
+    names = ["_row", "_found", "kept", "n_words", "n_removed", "_owners", "component", "statistics", "_node", "_own", "rule"]
+    rows = spark.createDataFrame([(1, passage), (2, "x " + passage), (3, "some other words")], "doc_id long, text string")
+    rows = rows.selectExpr("'first' AS _kept", "text", "doc_id", *(f"'{n}' AS `{n}`" for n in names))
+    item = spark.createDataFrame([(1, "some other words")], "item_id long, text string")
+    for out, left in (
+        (near.deduplicate(rows), {1: passage, 3: "some other words"}),
+        (substrings.cleaned(rows), {1: passage, 2: "x", 3: "some other words"}),
+        (contamination.remove_contaminated(rows, item), {1: passage, 2: "x " + passage}),
+        (rules.keep(rows, rules.DecisionList(())), {1: passage, 2: "x " + passage}),
+    ):
+        assert out.columns == rows.columns
+        got = out.collect()
+        assert {r.doc_id: r.text for r in got} == left
+        assert all(r[n] == n for r in got for n in names) and {r["_kept"] for r in got} == {"first"}
+
+
 def test_a_document_longer_than_a_chunk(spark):
     text = " ".join(f"w{i % 5000}" for i in range(500_000))
     rows = [(1, text), (2, "w0 w1 " + " ".join(f"w{i}" for i in range(100, 200)))]

@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from wayfare.llm import flat
+from wayfare.llm import carried, flat
 from wayfare.scratch import fresh_path
 
 WINDOW = 10
@@ -298,6 +298,9 @@ def found_items(found: str = "found") -> Column:
     return F.array_sort(F.array_distinct(F.col(f"{found}.matches.item_id")))
 
 
-def remove_contaminated(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
+def remove_contaminated(
+    docs: DataFrame, items: DataFrame, *, key: str = "doc_id", text: str = "text", **options
+) -> DataFrame:
     """Documents without any window of any item, with their own columns."""
-    return scan(docs, items, out="_found", **options).where(F.size("_found.spans") == 0).select(*docs.columns)
+    scanned = scan(carried.packed(docs, key, text), items, text=carried.TEXT, out="_found", **options)
+    return carried.unpacked(scanned.where(F.size("_found.spans") == 0), docs, key, text)

@@ -33,7 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from wayfare.llm import anchors, flat
+from wayfare.llm import anchors, carried, flat
 from wayfare.llm.anchors import written
 from wayfare.llm.components import components
 
@@ -255,9 +255,9 @@ def classes(
         F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES).cast("int").alias("_blocks"))
     block = F.pmod(F.xxhash64("_node"), F.col("_blocks")).cast("int")
     placed = inside.join(anchors.anew(sizes, "_half"), ["_half", "component"]).select(
-        F.col(key).alias("_key"), F.col("_row").alias("_text_row"), "_node", "component", "_blocks", block.alias("_block"),
+        F.col(key).alias("_placed"), F.col("_row").alias("_text_row"), "_node", "component", "_blocks", block.alias("_block"),
     )
-    here = docs[key].eqNullSafe(F.col("_key")) & (docs["_row"] == F.col("_text_row"))
+    here = docs[key].eqNullSafe(F.col("_placed")) & (docs["_row"] == F.col("_text_row"))
     texts = docs.join(placed, here).select("_node", "component", "_blocks", "_block", text)
     # Repeated rows bring a text again, sorted next to each other by the join.
     texts = texts.mapInArrow(lambda batches: anchors.unlike_neighbours(batches, ["_node"]), texts.schema)
@@ -292,13 +292,15 @@ def deduplicate(docs: DataFrame, *, key: str = "doc_id", text: str = "text", **o
 
     Rows that repeat both id and text count as one row.
     """
-    found = classes(docs, key=key, text=text, **options)
-    leaders = found.where((F.col("n_shingles") > 0) & F.col(key).eqNullSafe(F.col("component_id")))
-    leaders = leaders.groupBy("component").agg(F.min_by(F.struct(key, "_row"), "_row").alias("_one")).select("_one.*")
-    stay = leaders.union(found.where("n_shingles = 0").select(key, "_row")).select(
-        F.col(key).alias("_key"), F.col("_row").alias("_text_row")
+    rows = carried.packed(docs, key, text)
+    key_, text_ = carried.KEY, carried.TEXT
+    found = classes(rows, key=key_, text=text_, **options)
+    leaders = found.where((F.col("n_shingles") > 0) & F.col(key_).eqNullSafe(F.col("component_id")))
+    leaders = leaders.groupBy("component").agg(F.min_by(F.struct(key_, "_row"), "_row").alias("_one")).select("_one.*")
+    stay = leaders.union(found.where("n_shingles = 0").select(key_, "_row")).select(
+        F.col(key_).alias("_stay"), F.col("_row").alias("_text_row")
     ).distinct()
-    named = docs.withColumn("_row", F.xxhash64(text))
-    here = named[key].eqNullSafe(F.col("_key")) & (named["_row"] == F.col("_text_row"))
-    kept = named.join(stay, here, "left_semi").dropDuplicates([key, "_row"])
-    return kept.select(*docs.columns)
+    named = rows.withColumn("_row", F.xxhash64(text_))
+    here = named[key_].eqNullSafe(F.col("_stay")) & (named["_row"] == F.col("_text_row"))
+    kept = named.join(stay, here, "left_semi").dropDuplicates([key_, "_row"])
+    return carried.unpacked(kept, docs, key, text)

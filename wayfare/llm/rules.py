@@ -22,7 +22,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from wayfare.llm import flat
+from wayfare.llm import carried, flat
 
 COUNTS = (
     "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_chars", "n_upper", "n_digits",
@@ -255,11 +255,17 @@ def base_failed(statistics: str = "statistics") -> Column:
     return (words < 50) | (100 * repeated > 50 * words)
 
 
-def judge(docs: DataFrame, rules: DecisionList, text: str = "text", out: str = "statistics") -> DataFrame:
+def judge(docs: DataFrame, decisions: DecisionList, text: str = "text", out: str = "statistics") -> DataFrame:
     """Documents with their statistics, ``base_failed``, the rule that rejects them, and ``kept``."""
     judged = with_statistics(docs.drop("base_failed", "rejecting_rule", "kept"), text, out)
     return (
         judged.withColumn("base_failed", base_failed(out))
-        .withColumn("rejecting_rule", rules.rejecting_rule(out))
+        .withColumn("rejecting_rule", decisions.rejecting_rule(out))
         .withColumn("kept", ~F.col("base_failed") & (F.col("rejecting_rule") == 0))
     )
+
+
+def keep(docs: DataFrame, decisions: DecisionList, *, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Documents that neither the base rule nor the list rejects, with their own columns."""
+    judged = judge(carried.packed(docs, key, text), decisions, text=carried.TEXT)
+    return carried.unpacked(judged.where("kept"), docs, key, text)

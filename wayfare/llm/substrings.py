@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from wayfare.llm import anchors, flat
+from wayfare.llm import anchors, carried, flat
 from wayfare.llm.anchors import SEED_FIELDS, written
 
 LENGTH = 50
@@ -148,6 +148,7 @@ def cleaned(docs: DataFrame, *, key: str = "doc_id", text: str = "text", **optio
     A text that loses nothing stays as it is; of others the kept words are
     joined by one space.  A document that loses all its words goes.
     """
-    cut = deduplicate(docs, key=key, text=text, kept="_kept", **options)
+    cut = deduplicate(carried.packed(docs, key, text), key=carried.KEY, text=carried.TEXT, kept="_kept", **options)
     cut = cut.where("n_removed = 0 or n_removed < n_words")
-    return cut.withColumn(text, F.when(F.col("n_removed") > 0, F.col("_kept")).otherwise(F.col(text))).select(*docs.columns)
+    new = F.when(F.col("n_removed") > 0, F.col("_kept")).otherwise(F.col(carried.TEXT))
+    return carried.unpacked(cut, docs, key, text, new)
