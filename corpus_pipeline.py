@@ -17,8 +17,7 @@ from wayfare.scratch import fresh_path
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that neither the base rule nor the learned list rejects."""
-    judged = rules.judge(docs, rules.learn(docs, table(spark, sf_dir, "labels")), out="_statistics")
-    return judged.where("kept").select(*docs.columns)
+    return rules.keep(docs, rules.learn(docs, table(spark, sf_dir, "labels")))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
