@@ -46,16 +46,14 @@ def with_keys_of(target: DataFrame, new: DataFrame, keys: Sequence[str]) -> Data
 def single_per_key(new: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The same rows; the job fails when a key comes twice.
 
-    Rows keep their columns as one struct per key, so counting and taking the
-    row is one aggregation with map-side combine.
+    Only keys are counted, with map-side combine; the rows themselves are
+    neither moved nor sorted for it.
     """
-    rest = F.struct(*new.columns)
-    grouped = new.groupBy(*keys).agg(F.first(rest).alias("_row"), F.count(F.lit(1)).alias("_n"))
-    checked = F.when(
-        F.col("_n") > 1,
-        F.raise_error(F.concat(F.lit("duplicate key in new rows: "), F.to_json(F.struct(*keys)))),
-    ).otherwise(F.col("_row"))
-    return grouped.select(checked.alias("_row")).select("_row.*")
+    again = new.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    named = again.agg(F.min(F.to_json(F.struct(*keys))).alias("_key")).scalar()
+    return new.filter(
+        F.when(named.isNotNull(), F.raise_error(F.concat(F.lit("duplicate key in new rows: "), named))).otherwise(F.lit(True))
+    )
 
 
 def upsert(
