@@ -122,6 +122,31 @@ def test_scores_of_odd_texts(spark):
     assert fields.train(empty.drop("quality"), empty.drop("text")) is None
 
 
+def test_long_texts_pass_in_stretches_as_in_one(monkeypatch):
+    draw = np.random.default_rng(3)
+    first = np.array([0, 1, 4, 5, 42, 45, 100])
+    energy, links = draw.normal(size=100), draw.normal(size=(2, 2))
+    whole = fields.forward_backward(energy, links, first)
+    monkeypatch.setattr(fields, "STRETCH", 4)
+    for got, wanted in zip(fields.forward_backward(energy, links, first), whole):
+        assert got == pytest.approx(wanted)
+
+
+def test_a_long_labelled_text_neither_empties_the_fit_nor_takes_it_over(spark):
+    good = "some fine words stand here in one plain line of text, and a few more of them\n"
+    bad = "BAD!! #### 123 BAD!! BAD!! #### 123 BAD!! BAD!! #### 123 BAD!! #### 123 BAD!!\n"
+    ids = [i for i in range(100) if zlib.crc32(str(i).encode()) % 5]
+    keys = spark.createDataFrame([(i,) for i in ids], "doc_id long")
+    first = keys.orderBy(F.xxhash64("doc_id")).first().doc_id  # the first in the sample
+    rows = [(i, (bad if i % 2 else good) * (3 + i % 4), 1 - i % 2) for i in ids if i != first]
+    rows.append((first, (bad if first % 2 else good) * ((20 << 20) // len(bad if first % 2 else good)), 1 - first % 2))
+    df = spark.createDataFrame(rows, "doc_id long, text string, quality int")
+    field = fields.train(df.drop("quality"), df.drop("text"))
+    assert field is not None
+    scores = field.scores(pa.array([text * n for text in (good, bad) for n in (3, 4, 5, 6)]))
+    assert min(scores[:4]) > 0.9 and max(scores[4:]) < 0.1
+
+
 # Tokens
 
 

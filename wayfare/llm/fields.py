@@ -2,8 +2,10 @@
 
 Every line is good or bad.  Its measures and those of the lines before and
 after it speak for its own label, and each label for that of the next line.
-The field is fitted to labelled documents, whose lines take the document's
-label, on a bounded sample.  A document's score is the mean of its lines'
+The field is fitted to a sample of labelled documents, whose lines take the
+document's label, whole and however long: tasks measure the sample's lines once
+and add up every round's gradients, each document counting the same, so the
+driver sees labels and gradients but no text.  A document's score is the mean of its lines'
 forward-backward marginals, weighted by their lengths, put on the scale of the
 labels by a logistic curve over held-out sample documents.
 
@@ -15,19 +17,24 @@ the added one is replaced.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from wayfare.llm import flat
+from wayfare.scratch import fresh_path
 
-#: Labelled documents that the field is fitted to at most, the first by a hash of their id, and bytes of their whole
-#: texts together.
+#: Labelled documents that the field is fitted to at most, the first by a hash of their id.
 SAMPLE_DOCUMENTS = 4000
-SAMPLE_BYTES = 16 << 20
+
+#: Lines that follow one another in one pass; longer texts are passed in stretches, side by side.
+STRETCH = 512
+
+#: Measures of the sample's lines that a task has in memory, in bytes; one longer text is taken alone.
+MEASURED_BYTES = 4 << 20
 
 ROUNDS = 60
 PENALTY = 1e-3
@@ -132,19 +139,66 @@ def _steps(first: np.ndarray) -> list[np.ndarray]:
     return [starts[: np.searchsorted(-falling, -step, "left")] + step for step in range(falling[0] if len(falling) else 0)]
 
 
-def forward_backward(energy: np.ndarray, links: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Marginals of good, expected pairs of neighbouring labels over all texts, and the log-partition of each text.
+def _stretches(first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each stretch of a text starts, and the number of each text's first stretch (one more at the ends)."""
+    counts = -(-np.diff(first) // STRETCH)
+    starts = np.repeat(first[:-1], counts) + STRETCH * flat.ragged_arange(np.zeros_like(counts), counts)
+    return np.append(starts, first[-1]), np.concatenate(([0], np.cumsum(counts)))
 
-    ``energy`` is what speaks for good over bad for each line, ``links`` the
-    2 x 2 weights of neighbouring labels.
+
+def _transfers(own: np.ndarray, links: np.ndarray, starts: np.ndarray, sizes: np.ndarray, opening: np.ndarray) -> np.ndarray:
+    """For each stretch, log weights from the label of the line before it to the label of its last line.
+
+    A text's first stretch has no line before it; it is as if that line were bad and linked to nothing.
     """
-    steps = _steps(first)
+    out = own[starts][:, None, :] + np.where(opening[:, None, None], np.array([[0, 0], [-np.inf, -np.inf]]), links)
+    order = np.argsort(-sizes, kind="stable")
+    falling = sizes[order]
+    for step in range(1, falling[0] if len(falling) else 0):
+        which = order[: np.searchsorted(-falling, -step, "left")]
+        before = out[which]
+        out[which] = own[starts[which] + step][:, None, :] + np.logaddexp(
+            before[:, :, :1] + links[0], before[:, :, 1:] + links[1])
+    return out
+
+
+def _messages(own: np.ndarray, links: np.ndarray, cut: np.ndarray, of_text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What each stretch hears from the last line before it, and its last line from the stretches behind it."""
+    n = len(cut) - 1
+    counts = np.diff(of_text)
+    split = np.flatnonzero(np.repeat(counts > 1, counts))
+    opening = np.zeros(n, bool)
+    opening[of_text[:-1]] = True
+    across = np.zeros((n, 2, 2))
+    across[split] = _transfers(own, links, cut[split], np.diff(cut)[split], opening[split])
+    heard, after = np.zeros((n, 2)), np.zeros((n, 2))
+    heard[opening] = 0, -np.inf
+    turns = _steps(of_text)
+    for which in turns[1:]:
+        before = heard[which - 1][:, :, None] + across[which - 1]
+        heard[which] = np.logaddexp(before[:, 0], before[:, 1])
+    for which in reversed(turns[1:]):
+        behind = across[which] + after[which][:, None, :]
+        after[which - 1] = np.logaddexp(behind[:, :, 0], behind[:, :, 1])
+    return heard, after
+
+
+def _passes(energy: np.ndarray, links: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Marginals of good, of each line's label and the one before (zeros for first lines), and each text's log-partition."""
+    cut, of_text = _stretches(first)
+    steps = _steps(cut)
     own = np.stack([np.zeros(len(energy)), energy], axis=1)
     ahead, behind = np.zeros_like(own), np.zeros_like(own)
+    heard, after = _messages(own, links, cut, of_text)
+    later = np.ones(len(cut) - 1, bool)
+    later[of_text[:-1]] = False
     for number, lines in enumerate(steps):
         ahead[lines] = own[lines]
         if number:
             ahead[lines] += np.logaddexp(ahead[lines - 1, 0][:, None] + links[0], ahead[lines - 1, 1][:, None] + links[1])
+        else:
+            ahead[cut[:-1][later]] += np.logaddexp(heard[later, :1] + links[0], heard[later, 1:] + links[1])
+    behind[cut[1:] - 1] = after
     for lines in reversed(steps[1:]):
         message = behind[lines] + own[lines]
         behind[lines - 1] = np.logaddexp(message[:, 0][:, None] + links[:, 0], message[:, 1][:, None] + links[:, 1])
@@ -156,8 +210,19 @@ def forward_backward(energy: np.ndarray, links: np.ndarray, first: np.ndarray) -
     inner[first[:-1]] = False
     at = np.flatnonzero(inner)
     message = behind[at] + own[at]
-    pairs = ahead[at - 1][:, :, None] + links + message[:, None, :] - per_line[at][:, None, None]
-    return marginal, np.exp(pairs).sum(axis=0), total
+    pairs = np.zeros((len(energy), 2, 2))
+    pairs[at] = np.exp(ahead[at - 1][:, :, None] + links + message[:, None, :] - per_line[at][:, None, None])
+    return marginal, pairs, total
+
+
+def forward_backward(energy: np.ndarray, links: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Marginals of good, expected pairs of neighbouring labels over all texts, and the log-partition of each text.
+
+    ``energy`` is what speaks for good over bad for each line, ``links`` the
+    2 x 2 weights of neighbouring labels.
+    """
+    marginal, pairs, total = _passes(energy, links, first)
+    return marginal, pairs.sum(axis=0), total
 
 
 @dataclass(frozen=True)
@@ -173,9 +238,11 @@ class Field:
 
     def raw_scores(self, texts: pa.Array) -> np.ndarray:
         """Length-weighted mean of the marginals, as log odds."""
-        measures, first, length = lines_in_chunks(texts)
+        return self.raw_scores_of(*lines_in_chunks(texts))
+
+    def raw_scores_of(self, measures: np.ndarray, first: np.ndarray, length: np.ndarray) -> np.ndarray:
         lines = (neighbouring(measures, first) - self.centre) / self.spread
-        marginal, _, _ = forward_backward(lines @ self.weights, self.links, first)
+        marginal, _, _ = _passes(lines @ self.weights, self.links, first)
         weight = length + 1
         total = np.concatenate(([0], np.cumsum(weight * marginal)))
         sizes = np.concatenate(([0], np.cumsum(weight)))
@@ -187,43 +254,78 @@ class Field:
         return 1 / (1 + np.exp(-(self.slope * self.raw_scores(texts) + self.shift)))
 
 
+#: From the measures of some texts' lines, their first lines and line lengths: one row of numbers for each text.
+PerText = Callable[[np.ndarray, np.ndarray, np.ndarray], np.ndarray]
+
+
+def per_text(values: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Sums over each text's lines."""
+    return np.add.reduceat(values.reshape(len(values), -1), first[:-1], axis=0)
+
+
 def fit(texts: pa.Array, labels: np.ndarray) -> Field | None:
     """A field for documents labelled 0 or 1; None if only one label occurs."""
+    fitted = parts(labels)
+    if fitted is None:
+        return None
+    measured = lines_in_chunks(texts)
+    return learn(lambda work: work(*measured), labels, fitted.astype(int), (~fitted).astype(int))
+
+
+def parts(labels: np.ndarray) -> np.ndarray | None:
+    """True for the documents that weights are fitted to; the others set the curve.  None if only one label occurs."""
     if len(set(labels.tolist())) < 2:
         return None
     fitted = np.arange(len(labels)) % 5 != 0
     if len(set(labels[fitted].tolist())) < 2 or len(set(labels[~fitted].tolist())) < 2:
         fitted = np.ones(len(labels), bool)
-    measures, first, _ = lines_in_chunks(texts.filter(pa.array(fitted)))
-    sizes = np.diff(first)
-    lines = neighbouring(measures, first)
-    centre, spread = lines.mean(axis=0), lines.std(axis=0) + 1e-6
-    centre[-1], spread[-1] = 0, 1
-    lines = (lines - centre) / spread
-    own = labels[fitted].astype(float)
-    target = np.repeat(own, sizes)
+    return fitted
+
+
+def learn(over: Callable[[PerText], np.ndarray], labels: np.ndarray, fitted: np.ndarray, held: np.ndarray) -> Field:
+    """The field of texts that ``over`` passes to a function, given each text's label and copies in either part."""
+    def means(measures, first, length):
+        sizes = np.diff(first)
+        return np.column_stack([per_text(neighbouring(measures, first), first) / sizes[:, None], sizes])
+
+    def squares(measures, first, length):
+        return per_text((neighbouring(measures, first) - centre) ** 2, first) / np.diff(first)[:, None]
+
     # every document counts the same, however many lines it has
-    share = 1 / len(own)
-    per_line = np.repeat(share / sizes, sizes)
-    weights, links = np.zeros(lines.shape[1]), np.zeros((2, 2))
+    share = fitted / fitted.sum()
+    own, sizes = np.split(over(means), [-1], axis=1)
+    centre = share @ own
+    spread = np.sqrt(share @ over(squares)) + 1e-6
+    centre[-1], spread[-1] = 0, 1
+    weights, links = np.zeros(len(centre)), np.zeros((2, 2))
     same = np.zeros((2, 2))
-    pairs_of = (sizes - 1) / sizes * share
-    same[1, 1], same[0, 0] = (pairs_of * own).sum(), (pairs_of * (1 - own)).sum()
+    pairs_of = (sizes[:, 0] - 1) / sizes[:, 0] * share
+    same[1, 1], same[0, 0] = pairs_of @ labels, pairs_of @ (1 - labels)
+    wanted = (share * labels) @ ((own - centre) / spread)
+
+    def expected(measures, first, length):
+        """Means over each text of its lines times their marginals, of the marginals, and of its pairs."""
+        lines, slopes = neighbouring(measures, first), weights / spread
+        marginal, pairs, _ = _passes(lines @ slopes - centre @ slopes, links, first)
+        met = np.stack([marginal[a:b] @ lines[a:b] for a, b in zip(first[:-1], first[1:])])
+        return np.concatenate([met, per_text(marginal, first), per_text(pairs, first)], axis=1) / np.diff(first)[:, None]
+
     # gradient steps with momentum per weight (Adam)
     state = np.zeros((2, len(weights) + 4))
     for step in range(1, ROUNDS + 1):
-        marginal, pairs, _ = forward_backward(lines @ weights, links, first)
+        met, marginal, pairs = np.split(over(expected), [len(weights), len(weights) + 1], axis=1)
         gradient = np.concatenate([
-            lines.T @ (per_line * (target - marginal)) - PENALTY * weights,
-            (same - pairs * (same.sum() / max(pairs.sum(), 1e-9)) - PENALTY * links).ravel(),
+            wanted - share @ ((met - marginal * centre) / spread) - PENALTY * weights,
+            same.ravel() - share @ pairs - PENALTY * links.ravel(),
         ])
         state[0] = 0.9 * state[0] + 0.1 * gradient
         state[1] = 0.99 * state[1] + 0.01 * gradient**2
         move = 0.1 * (state[0] / (1 - 0.9**step)) / (np.sqrt(state[1] / (1 - 0.99**step)) + 1e-8)
         weights, links = weights + move[:-4], links + move[-4:].reshape(2, 2)
     field = Field(weights, links, centre, spread, 1.0, 0.0)
-    held = ~fitted if (~fitted).any() else fitted
-    slope, shift = _curve(field.raw_scores(texts.filter(pa.array(held))), labels[held].astype(float))
+    raw = over(lambda *measured: field.raw_scores_of(*measured)[:, None])[:, 0]
+    counted = held if held.any() else fitted
+    slope, shift = _curve(np.repeat(raw, counted), np.repeat(labels, counted).astype(float))
     return Field(weights, links, centre, spread, slope, shift)
 
 
@@ -245,25 +347,64 @@ def held_out(key: str = "doc_id") -> Column:
 
 def train(
     docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", label: str = "quality",
-    sample_documents: int = SAMPLE_DOCUMENTS, sample_bytes: int = SAMPLE_BYTES,
+    sample_documents: int = SAMPLE_DOCUMENTS,
 ) -> Field | None:
-    """Fit a field to at most ``sample_documents`` labelled documents, ``sample_bytes`` in all, that aren't held out."""
+    """Fit a field to at most ``sample_documents`` labelled documents that aren't held out."""
     marked = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull() & ~held_out(key))
     marked = marked.select(key, F.col(label).alias("_label")).dropDuplicates()
     sample = marked.orderBy(F.xxhash64(key), F.col(key), "_label").limit(sample_documents)
-    rows = docs.select(key, text).join(F.broadcast(sample), key)
-    # Ids may repeat among the documents: the bounds hold for rows again.
-    place = [F.xxhash64(key), F.col(key), F.col("_label"), F.xxhash64(text)]
-    rows = rows.orderBy(*place).limit(sample_documents)
-    so_far = F.sum(F.octet_length(F.coalesce(text, F.lit("")))).over(Window.orderBy(*place))
-    rows = rows.withColumn("_bytes", so_far).where(F.col("_bytes") <= sample_bytes)
-    rows = rows.select(F.col(key).alias("_key"), "_label", F.col(text).alias("_text")).toArrow()
-    rows = rows.combine_chunks()
-    if not rows.num_rows:
-        return None
+    # Ids may repeat among the documents: the bound holds for rows again.
+    known = docs.select(key, F.xxhash64(text).alias("_hash")).join(F.broadcast(sample), key)
+    known = known.orderBy(F.xxhash64(key), key, "_label", "_hash").limit(sample_documents)
+    rows = known.select(F.col(key).alias("_key"), "_label", "_hash").toArrow().combine_chunks()
     order = np.lexsort((rows["_label"].to_numpy(), rows["_key"].to_numpy()))
-    rows = rows.take(pa.array(order))
-    return fit(rows["_text"].combine_chunks(), rows["_label"].to_numpy())
+    rows = rows.take(pa.array(order, pa.int64()))
+    fitted = parts(rows["_label"].to_numpy())
+    if fitted is None:
+        return None
+    # equal rows are measured once, and count as often as they occur in the sample
+    rows = rows.append_column("_fitted", pa.array(fitted.astype(np.int64)))
+    rows = rows.append_column("_held", pa.array((~fitted).astype(np.int64)))
+    rows = rows.group_by(["_key", "_label", "_hash"], use_threads=False).aggregate([("_fitted", "sum"), ("_held", "sum")])
+    numbers = rows.select(["_key", "_hash"]).append_column("_number", pa.array(np.arange(rows.num_rows)))
+    return learn(
+        measured_texts(docs.select(F.col(key).alias("_key"), text), numbers, text),
+        rows["_label"].to_numpy(), rows["_fitted_sum"].to_numpy(), rows["_held_sum"].to_numpy(),
+    )
+
+
+def measured_texts(docs: DataFrame, numbers: pa.Table, text: str) -> Callable[[PerText], np.ndarray]:
+    """Measures of the numbered documents, written once; what it returns runs a function over them, rows by number."""
+    spark = docs.sparkSession
+    docs = docs.withColumn("_hash", F.xxhash64(text))
+    chosen = docs.join(F.broadcast(spark.createDataFrame(numbers)), ["_key", "_hash"])
+    chosen = chosen.select("_number", text).dropDuplicates(["_number"])
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in flat.chunks(batches, text):
+            measures, first, length = lines_of(rows.column(text))
+            lines = np.column_stack([measures, length])
+            data = [lines[a:b].tobytes() for a, b in zip(first[:-1], first[1:])]
+            yield pa.record_batch([rows.column("_number"), pa.array(data, pa.binary())], ["_number", "_lines"])
+
+    path = fresh_path(spark, "measured-lines")
+    chosen.mapInArrow(measure, "_number long, _lines binary").write.parquet(path)
+    measured = spark.read.parquet(path)
+
+    def over(work: PerText) -> np.ndarray:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for rows in flat.chunks(batches, "_lines", MEASURED_BYTES):
+                raw, at = flat.flat_bytes(rows.column("_lines"))
+                lines = np.frombuffer(raw, np.float64).reshape(-1, MEASURES + 1)
+                out = work(lines[:, :-1], at // (8 * (MEASURES + 1)), lines[:, -1])
+                yield pa.record_batch(
+                    [rows.column("_number"), pa.array(list(out), pa.list_(pa.float64()))], ["_number", "_found"])
+
+        found = measured.mapInArrow(run, "_number long, _found array<double>").toArrow().combine_chunks()
+        found = found.take(pa.array(np.argsort(found["_number"].to_numpy())))
+        return found["_found"].combine_chunks().flatten().to_numpy().reshape(found.num_rows, -1)
+
+    return over
 
 
 def classify(docs: DataFrame, field: Field | None, *, text: str = "text", out: str = "score") -> DataFrame:
