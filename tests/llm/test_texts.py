@@ -215,6 +215,28 @@ def test_licenses_equal_windows_by_hand(spark):
     assert licenses.scan(df.limit(0)).count() == 0
 
 
+def test_notices_and_texts_are_told_apart(spark):
+    gnu = ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU {}General "
+           "Public License as published by the Free Software Foundation, either version {} of the License, or (at your "
+           "option) any later version.")
+    notices = {
+        "GPL-2.0-or-later": gnu.format("", 2), "GPL-3.0-or-later": gnu.format("", 3), "LGPL-2.1-or-later": gnu.format("Lesser ", "2.1"),
+        "LGPL-2.0-or-later": gnu.format("Library ", 2), "LGPL-3.0-or-later": gnu.format("Lesser ", 3),
+        "AGPL-3.0-or-later": gnu.format("Affero ", 3),
+        "BSD-2-Clause": "* in the documentation and/or other materials provided with the distribution.\n\n * THIS SOFTWARE IS "
+                        "PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS",
+        "BSD-3-Clause": "in the documentation and/or other materials provided with the distribution. * Neither the name of the "
+                        "copyright holder nor the names of its contributors may be used to endorse or promote products derived "
+                        "from this software without specific prior written permission. THIS SOFTWARE IS PROVIDED BY THE "
+                        "COPYRIGHT HOLDERS AND CONTRIBUTORS",
+    }
+    of_their_own = {name: text for name, text in licenses.TEMPLATES if name not in notices}
+    rows = list((notices | of_their_own).items())
+    got = licenses.scan(spark.createDataFrame(rows, "name string, text string")).collect()
+    assert {r.name: [m.license for m in r.licenses] for r in got} == {name: [name] for name, _ in rows}
+    assert {"ISC-text", "CC0-1.0", "EPL-2.0", "GPL-3.0-text", "Apache-2.0-text"} <= set(of_their_own)
+
+
 def test_license_query(spark):
     got = {r.doc_id: (r.n_words, r.licenses) for r in queries.op7_license_scan(spark, SMALL).collect()}
     for doc, text in documents(spark):

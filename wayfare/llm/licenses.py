@@ -31,7 +31,7 @@ SHINGLE = 5
 CONTAINED = 80  # percent
 MISS = 1e-6
 
-#: License notices as they stand in files and on pages.  Fixed values.
+#: License notices as they stand in files and on pages, and sentences of the licenses' texts.  Fixed values.
 TEMPLATES = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("MIT", "Released under the MIT License."),
@@ -45,6 +45,59 @@ TEMPLATES = (
     ("MIT-text", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
                  "associated documentation files"),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    # Notices of one family are cut to the words that tell them apart: one other word leaves less than 80 % of the shingles.
+    ("GPL-2.0-or-later", "terms of the GNU General Public License as published by the Free Software Foundation, either "
+                         "version 2 of the License"),
+    ("GPL-3.0-or-later", "terms of the GNU General Public License as published by the Free Software Foundation, either "
+                         "version 3 of the License"),
+    ("LGPL-2.0-or-later", "terms of the GNU Library General Public License as published by the Free Software Foundation, "
+                          "either version 2 of the License"),
+    ("LGPL-2.1-or-later", "terms of the GNU Lesser General Public License as published by the Free Software Foundation, "
+                          "either version 2.1 of the License"),
+    ("LGPL-3.0-or-later", "terms of the GNU Lesser General Public License as published by the Free Software Foundation, "
+                          "either version 3 of the License"),
+    ("AGPL-3.0-or-later", "terms of the GNU Affero General Public License as published by the Free Software Foundation, "
+                          "either version 3 of the License"),
+    ("CC-BY-ND-4.0", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."),
+    ("CC-BY-NC-SA-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 "
+                        "International License."),
+    ("CC-BY-NC-ND-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 "
+                        "International License."),
+    ("CC0-1.0", "To the extent possible under law, the author(s) have dedicated all copyright and related and neighboring "
+                "rights to this software to the public domain worldwide."),
+    ("CC0-1.0-waiver", "has waived all copyright and related or neighboring rights to"),
+    ("EPL-1.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public "
+                "License v1.0 which accompanies this distribution"),
+    ("EPL-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public "
+                "License 2.0 which is available at"),
+    ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0."),
+    # Sentences of the licenses' own texts.
+    ("Apache-2.0-text", "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/ TERMS AND CONDITIONS FOR "
+                        "USE, REPRODUCTION, AND DISTRIBUTION"),
+    ("GPL-2.0-text", "This General Public License applies to most of the Free Software Foundation's software and to any "
+                     "other program whose authors commit to using it."),
+    ("GPL-3.0-text", "We, the Free Software Foundation, use the GNU General Public License for most of our software; it "
+                     "applies also to any other work released this way by its authors."),
+    ("LGPL-2.1-text", "This license, the Lesser General Public License, applies to some specially designated software "
+                      "packages--typically libraries--of the Free Software Foundation and other authors who decide to use it."),
+    ("LGPL-3.0-text", "This version of the GNU Lesser General Public License incorporates the terms and conditions of "
+                      "version 3 of the GNU General Public License, supplemented by the additional permissions listed below."),
+    ("AGPL-3.0-text", "specifically designed to ensure cooperation with the community in the case of network server software"),
+    ("MPL-2.0-text", "means each individual or legal entity that creates, contributes to the creation of, or owns Covered "
+                     "Software."),
+    ("EPL-text", "any use, reproduction or distribution of the program constitutes recipient's acceptance of this agreement."),
+    ("ISC-text", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
+                 "hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    ("BSD-2-Clause", "in the documentation and/or other materials provided with the distribution. This software is provided "
+                     "by the copyright holders"),
+    ("BSD-3-Clause", "nor the names of its contributors may be used to endorse or promote products derived from this "
+                     "software without specific prior written permission."),
+    ("BSD-4-Clause", "All advertising materials mentioning features or use of this software must display the following "
+                     "acknowledgement"),
+    ("Zlib-text", "This software is provided 'as-is', without any express or implied warranty. In no event will the authors "
+                  "be held liable for any damages arising from the use of this software."),
+    ("BSL-1.0-text", "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the "
+                     "software and accompanying documentation covered by this license"),
 )
 
 MATCHES = T.ArrayType(T.StructType([
