@@ -37,10 +37,10 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Training samples: the whole text as ids with an end id, and their number."""
+    """Training samples: the whole text as ids with an end id, their number, and the text that the ids decode to."""
     encoded = pieces.encode(docs, public_tokenizers.path("piece_bpe_32k.model"))
     return encoded.select(
-        "doc_id", "text", "lang", "source", F.size("token_ids").cast("long").alias("n_tokens"), "token_ids"
+        "doc_id", "text", "lang", "source", F.size("token_ids").cast("long").alias("n_tokens"), "token_ids", "decoded_text"
     )
 
 
@@ -56,10 +56,14 @@ STAGES = [
 ORACLE_SQL = None
 
 
+#: Columns of the samples that ``run`` returns; the encoding stage itself also returns ``decoded_text``.
+SAMPLE = ["doc_id", "text", "lang", "source", "n_tokens", "token_ids"]
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         path = fresh_path(spark, "pipeline-" + name.replace(" ", "-"))
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
-    return STAGES[-1][1](spark, docs, sf_dir)
+    return STAGES[-1][1](spark, docs, sf_dir).select(*SAMPLE)

@@ -47,3 +47,10 @@ def test_every_stage_does_its_work_on_what_the_last_one_kept(spark, tmp_path):
 def test_run_equals_the_stages(spark):
     out = corpus_pipeline.run(spark, SF_DIR)
     assert out.columns == ["doc_id", "text", "lang", "source", "n_tokens", "token_ids"] and out.count() > 100
+
+
+def test_encoding_returns_what_the_ids_decode_to(spark):
+    library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    rows = corpus_pipeline.encoding(spark, docs, SF_DIR).select("token_ids", "decoded_text").collect()
+    assert rows and all(r.decoded_text == library.decode(r.token_ids) for r in rows)
