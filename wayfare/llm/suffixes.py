@@ -1,9 +1,9 @@
-"""Exact substring deduplication by prefix doubling over byte positions.
+"""Exact substring deduplication by seeds and one comparison, in place of prefix doubling over byte positions.
 
 Every byte of a ``length``-byte string that also starts anywhere else, in the
-same document or another, is removed.  Positions are ranked by growing
-prefixes, a rank being the fingerprint of the prefix, and Spark brings equal
-ranks together:
+same document or another, is removed.  There are no doubling rounds: positions
+are ranked by a short prefix, the seed, and once more by the whole length, a
+rank being the fingerprint of the prefix, and Spark brings equal ranks together:
 
 1. The first rank covers ``grain`` bytes.  Only sampled positions take part
    (``anchors.py``): one lies in every ``length``-byte string, at a place that
