@@ -18,4 +18,4 @@ def test_equals_sql(spark, name):
 def test_every_operator_and_the_pipeline_are_registered():
     names = set(spark_entry.queries())
     assert set(QUERIES) | {"pipeline"} <= names
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))

@@ -13,6 +13,12 @@ def packed(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.select(F.col(key).alias(KEY), F.col(text).alias(TEXT), (F.struct(*rest) if rest else F.lit(0)).alias(REST))
 
 
+def columns(docs: DataFrame, key: str, text: str) -> list[Column]:
+    """The documents' own columns, taken out of packed rows."""
+    own = {key: F.col(KEY), text: F.col(TEXT)}
+    return [(own[c] if c in own else F.col(REST)[c]).alias(c) for c in docs.columns]
+
+
 def unpacked(rows: DataFrame, docs: DataFrame, key: str, text: str, new_text: Column | None = None) -> DataFrame:
     """Back to the columns of the documents, with another text where one is given."""
     own = {key: F.col(KEY), text: F.col(TEXT) if new_text is None else new_text}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from wayfare.llm.anchors import written
+from wayfare.llm.anchors import anew, written
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -33,3 +33,18 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         labels = moved.select("node", "component")
         if not moved.where("changed").limit(1).count():
             return labels
+
+
+def from_heads(links: DataFrame) -> DataFrame:
+    """``node`` and ``component`` from rows of ``head`` and ``node``, a few for each node.
+
+    The heads of one node are one component.  Only links between heads are
+    followed further: a group of any size with a few heads is a few links.
+    Heads that are not nodes themselves are not returned.
+    """
+    links = links.groupBy("node").agg(F.collect_set("head").alias("heads"))
+    met = written(links.select("node", "heads", F.array_min("heads").alias("least")), "heads")
+    pairs = met.select(F.col("least").alias("a"), F.explode(F.filter("heads", lambda h: h != F.col("least"))).alias("b"))
+    joined = components(pairs.distinct()).withColumnRenamed("node", "least").withColumn("half", F.xxhash64("least"))
+    found = met.select("node", "least", F.xxhash64("least").alias("half")).join(anew(joined, "half"), ["half", "least"], "left")
+    return found.select("node", F.coalesce("component", "least").alias("component"))

@@ -1,9 +1,12 @@
 """Benchmark decontamination with suffix arrays of the training text.
 
 Every task sorts the suffixes of its shard of training words and binary-
-searches every suffix of the benchmark items in them: the interval where a
-suffix stops narrowing holds its longest verbatim matches, the interval at the
-window length all places of that window.  No training text is shuffled; the
+searches every suffix of the benchmark items in them: the interval at the
+window length holds all places of that window.  Rows that have one are searched
+once more, each in its own part of the array, for the suffixes whose windows it
+has: where such a suffix stops narrowing are its longest verbatim matches.
+Hits are counted by covered places, so a text that repeats a window costs what
+its length costs, however often the item repeats it too.  No training text is shuffled; the
 items reach the tasks in blocks of a checked size, one pass each.
 
 Words are runs of ASCII digits, ASCII letters (lower-cased) and characters
@@ -16,7 +19,6 @@ the documents pass through, but one named like an added column is replaced.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -32,6 +34,9 @@ WINDOW = 10
 #: Text of the items that one pass over the documents takes to every task, at most.
 BLOCK_BYTES = 8 << 20
 
+#: Slots in which the items' bytes are counted.
+ITEM_SLOTS = 4096
+
 #: Training text whose suffixes are sorted together.
 SHARD_BYTES = 16 << 20
 
@@ -119,28 +124,31 @@ def _bound(words, order, low, high, depth, wanted, right: bool) -> np.ndarray:
     return low
 
 
-def search(words: np.ndarray, order: np.ndarray, block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For every suffix of the block: words of its longest match, and the interval of its window (empty if none)."""
-    n = len(block.starts)
-    longest = np.zeros(n, np.int64)
-    window_low, window_high = np.zeros(n, np.int64), np.zeros(n, np.int64)
-    active = np.arange(n)
-    low, high = np.zeros(n, np.int64), np.full(n, len(order), np.int64)
-    padded = np.append(words, np.zeros(1, words.dtype))
-    depth = 0
-    while len(active):
-        wanted = block.words[block.starts[active] + depth]
-        new_low = _bound(padded, order, low, high, depth, wanted, False)
-        new_high = _bound(padded, order, new_low, high, depth, wanted, True)
+def search(
+    words: np.ndarray, order: np.ndarray, block: Block, suffixes: np.ndarray, low: np.ndarray, high: np.ndarray,
+    depth: int | None = None,
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For every asked suffix of the block, within its interval of ``order``: how many words match at most, and where.
+
+    The places are an interval of ``order`` again.  With a ``depth`` the search
+    ends where a suffix's window is whole, and gives no interval to others.
+    """
+    longest = np.zeros(len(suffixes), np.int64)
+    met_low, met_high = np.zeros(len(suffixes), np.int64), np.zeros(len(suffixes), np.int64)
+    active = np.arange(len(suffixes))
+    padded = np.append(words, np.zeros(len(block.words) + 1, words.dtype))
+    at = 0
+    while len(active) and at != depth:
+        wanted = block.words[block.starts[suffixes[active]] + at]
+        new_low = _bound(padded, order, low, high, at, wanted, False)
+        new_high = _bound(padded, order, new_low, high, at, wanted, True)
         goes_on = (wanted > 0) & (new_low < new_high)
         active, low, high = active[goes_on], new_low[goes_on], new_high[goes_on]
-        depth += 1
-        longest[active] = depth
-        at_window = block.needs[active] == depth
-        window_low[active[at_window]], window_high[active[at_window]] = low[at_window], high[at_window]
-        if len(padded) < len(words) + depth + 1:
-            padded = np.append(padded, np.zeros(depth, words.dtype))
-    return longest, window_low, window_high
+        at += 1
+        longest[active] = at
+        told = block.needs[suffixes[active]] == at if depth is not None else slice(None)
+        met_low[active[told]], met_high[active[told]] = low[told], high[told]
+    return longest, met_low, met_high
 
 
 def find(texts: pa.Array, block: Block | None) -> tuple[np.ndarray, list[list], list[list]]:
@@ -178,43 +186,73 @@ def find(texts: pa.Array, block: Block | None) -> tuple[np.ndarray, list[list],
     words[np.cumsum(size + 1) - 1] = 0
 
     order = suffix_array(words, int(np.diff(np.append(block.text_starts, len(block.words))).max()))
-    _, low, high = search(words, order, block)
-    hits = np.flatnonzero(high > low)
-    suffix = np.repeat(hits, high[hits] - low[hits])
-    place = order[flat.ragged_arange(low[hits], high[hits] - low[hits])]
-    length = _extend(words, place, block, suffix)
-    word = source[place]
-    _collect(spans, row_of[word], word - first[row_of[word]], block.needs[suffix])
-    rows, inner, text = row_of[word], word - first[row_of[word]], block.texts[suffix]
-    item_word = block.starts[suffix] - block.text_starts[text]
-    best = np.lexsort((item_word, inner, -length, text, rows))
-    keep = np.ones(len(best), bool)
-    keep[1:] = (rows[best][1:] != rows[best][:-1]) | (text[best][1:] != text[best][:-1])
-    for i in best[keep]:
-        matches[rows[i]] += [
-            {"item_id": item, "item_word": int(item_word[i]), "word": int(inner[i]), "length": int(length[i])}
-            for item in block.ids[text[i]]
-        ]
+    everywhere = np.zeros(len(block.starts), np.int64)
+    asked = np.arange(len(block.starts))
+    _, low, high = search(words, order, block, asked, everywhere, everywhere + len(order), int(block.needs.max()))
+    # Windows of one length that are equal have one interval, others have disjoint ones: each place counts once.
+    hits = np.flatnonzero((block.needs > 0) & (high > low))
+    if not len(hits):
+        return n_words, spans, matches
+    _, one, window_of = np.unique(np.stack([block.needs[hits], low[hits]]), axis=1, return_index=True, return_inverse=True)
+    windows = hits[one]
+    count = high[windows] - low[windows]
+    place = order[flat.ragged_arange(low[windows], count)]
+    begin = source[place]
+    hit = flat.covered(begin, begin + np.repeat(block.needs[windows], count), len(known))
+    _list_spans(spans, hit, first)
+
+    # Which rows have which windows, and so which suffixes each row is searched for.
+    pairs = np.unique(np.stack([np.repeat(np.arange(len(windows)), count), row_of[begin]]), axis=1)
+    by_window = np.argsort(window_of, kind="stable")
+    stops = np.concatenate(([0], np.cumsum(np.bincount(window_of, minlength=len(windows)))))
+    many = np.diff(stops)[pairs[0]]
+    suffix = hits[by_window[flat.ragged_arange(stops[pairs[0]], many)]]
+    rows = np.repeat(pairs[1], many)
+    for i, text, length, word, item_word in zip(*_longest(words, order, block, suffix, rows, row_of[np.minimum(source, len(known) - 1)])):
+        inner = int(source[word] - first[i])
+        matches[i] += [
+            {"item_id": item, "item_word": item_word, "word": inner, "length": length} for item in block.ids[text]]
     return n_words, spans, matches
 
 
-def _extend(words: np.ndarray, place: np.ndarray, block: Block, suffix: np.ndarray) -> np.ndarray:
-    """How many words match from each place on."""
-    length = block.needs[suffix].copy()
-    active = np.arange(len(place))
-    while len(active):
-        wanted = block.words[block.starts[suffix[active]] + length[active]]
-        there = words[np.minimum(place[active] + length[active], len(words) - 1)]
-        active = active[(wanted > 0) & (there == wanted)]
-        length[active] += 1
-    return length
-
-
-def _collect(spans: list[list], rows: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> None:
-    """Put the union of the stretches into the list of each row."""
-    order = np.lexsort((starts, rows))
-    for row, start, size in zip(rows[order].tolist(), starts[order].tolist(), lengths[order].tolist()):
-        _join(spans[row], start, start + size)
+def _longest(words, order, block: Block, suffix: np.ndarray, rows: np.ndarray, row_of: np.ndarray) -> list[list[int]]:
+    """Row, text, length, place and item word of the longest match of each text in each row, by row, then text.
+
+    Of equally long matches the first place in the row counts, then the first
+    word of the item.  ``row_of`` has the row of each place in ``words``.
+    """
+    by_row = order[np.argsort(row_of[order], kind="stable")]
+    row_starts = np.searchsorted(row_of[by_row], np.arange(int(row_of.max()) + 2))
+    length, low, high = search(words, by_row, block, suffix, row_starts[rows], row_starts[rows + 1])
+    text = block.texts[suffix]
+    group = np.lexsort((text, rows))
+    opens = np.ones(len(group), bool)
+    opens[1:] = (np.diff(rows[group]) != 0) | (np.diff(text[group]) != 0)
+    most = np.maximum.reduceat(length[group], np.flatnonzero(opens))
+    best = group[length[group] == most[np.cumsum(opens) - 1]]
+    # Equal matches share an interval, and unlike ones of a length have disjoint ones.
+    _, one, of = np.unique(np.stack([low[best], high[best]]), axis=1, return_index=True, return_inverse=True)
+    sizes = high[best[one]] - low[best[one]]
+    places = by_row[flat.ragged_arange(low[best[one]], sizes)]
+    least = np.minimum.reduceat(places, np.concatenate(([0], np.cumsum(sizes)[:-1])))[of]
+    item_word = block.starts[suffix[best]] - block.text_starts[text[best]]
+    ranked = np.lexsort((item_word, least, text[best], rows[best]))
+    keep = np.ones(len(ranked), bool)
+    keep[1:] = (np.diff(rows[best][ranked]) != 0) | (np.diff(text[best][ranked]) != 0)
+    ranked = ranked[keep]
+    return [x[ranked].tolist() for x in (rows[best], text[best], length[best], least, item_word)]
+
+
+def _list_spans(spans: list[list], hit: np.ndarray, first: np.ndarray) -> None:
+    """The stretches of hit words, for each row."""
+    edge = np.zeros(len(hit) + 1, bool)
+    edge[first] = True
+    before, after = np.append(False, hit), np.append(hit, False)
+    opens = np.flatnonzero(after & (~before | edge))
+    closes = np.flatnonzero(before & (~after | edge))
+    row = np.searchsorted(first, opens, "right") - 1
+    for i, start, end in zip(row.tolist(), (opens - first[row]).tolist(), (closes - first[row]).tolist()):
+        spans[i].append({"start": start, "end": end})
 
 
 def _join(spans: list, start: int, end: int) -> None:
@@ -233,12 +271,23 @@ def _union(a: list, b: list) -> list:
 
 
 def blocks_of(items: DataFrame, item_id: str, text: str, window: int, block_bytes: int) -> Iterator[Block | None]:
-    """The items in blocks whose texts are measured before any is collected."""
+    """The distinct items in blocks whose texts are measured before any is collected.
+
+    Bytes are counted in ``ITEM_SLOTS`` slots by hash, and blocks are made of
+    whole slots, so only a slot that is larger than a block makes one larger.
+    """
     rows = items.select(F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("i"), F.col(text).alias("t"))
-    size = rows.agg(F.coalesce(F.sum(F.octet_length("t")), F.lit(0))).first()[0]
-    count = max(1, math.ceil(size / block_bytes))
-    for number in range(count):
-        part = rows if count == 1 else rows.where(F.pmod(F.xxhash64("i", "t"), F.lit(count)) == number)
+    rows = rows.dropDuplicates().withColumn("slot", F.pmod(F.xxhash64("i", "t"), F.lit(ITEM_SLOTS)))
+    sizes = rows.groupBy("slot").agg(F.coalesce(F.sum(F.octet_length("t")), F.lit(0)).alias("size")).orderBy("slot").collect()
+    begin, filled = 0, 0
+    bounds = []
+    for slot, size in sizes:
+        if filled and filled + size > block_bytes:
+            bounds.append((begin, slot))
+            begin, filled = slot, 0
+        filled += size
+    for low, high in [*bounds, (begin, ITEM_SLOTS)]:
+        part = rows.where(F.col("slot").between(low, high - 1)) if bounds else rows
         yield block_of([(r.i, r.t) for r in part.collect()], window)
 
 

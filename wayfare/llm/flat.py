@@ -1,9 +1,10 @@
 """Texts of an Arrow batch as one flat byte array: words, hashes and windows without a loop over rows.
 
 Everything here runs inside a task on one bounded chunk of rows.  Hashes of
-windows are polynomials modulo 2**64 over random odd symbol values; a window
-is at most a few hundred symbols, far below the length at which such hashes
-have constructed collisions.
+windows are polynomials modulo 2**64 over random odd symbol values.  Such sums
+have constructed collisions from 1,024 symbols on (Thue-Morse sequences), so
+windows stay within a few hundred symbols, and words, which have no bound, are
+hashed by another function where they are longer than ``LONG_WORD`` bytes.
 """
 
 from __future__ import annotations
@@ -13,10 +14,14 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 
 #: Rows of a chunk hold about so many bytes of text; one longer text is a chunk of its own.
 CHUNK_BYTES = 2 << 20
 
+#: Bytes of a word up to which its hash is a polynomial.
+LONG_WORD = 256
+
 U64 = np.uint64
 _RANDOM = np.random.default_rng(20240229)
 BYTE_VALUES = _RANDOM.integers(0, 2**64, 256, dtype=U64) | U64(1)
@@ -131,8 +136,13 @@ class Windows:
 
 
 def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, values: np.ndarray = BYTE_VALUES) -> np.ndarray:
-    """A 64-bit hash of every word."""
-    return Windows(values[raw]).of(starts, ends) if len(starts) else np.zeros(0, U64)
+    """A 64-bit hash of every word, equal for words whose bytes have equal ``values``."""
+    if not len(starts):
+        return np.zeros(0, U64)
+    hashes = Windows(values[raw]).of(starts, ends)
+    for i in np.flatnonzero(ends - starts > LONG_WORD):
+        hashes[i] = xxhash.xxh3_64_intdigest(values[raw[starts[i] : ends[i]]])
+    return hashes
 
 
 def ragged_arange(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -151,16 +161,20 @@ def covered(starts: np.ndarray, ends: np.ndarray, n: int) -> np.ndarray:
 
 
 def minimizers(hashes: np.ndarray, window: int) -> np.ndarray:
-    """For each run of ``window`` hashes, the place of its smallest one, the leftmost among equals."""
+    """For each run of ``window`` hashes, the place of its smallest one, the leftmost among equals.
+
+    The choice depends on the hashes inside the run alone: they are compared
+    by their upper 32 bits, then by place, whatever array they lie in.
+    """
     count = len(hashes) - window + 1
     if count <= 0:
         return np.zeros(0, np.int64)
-    bits = U64(max(20, int(len(hashes)).bit_length()))
-    least = (hashes >> bits << bits) | np.arange(len(hashes), dtype=U64)
+    place_bits = U64(32)
+    least = (hashes >> place_bits << place_bits) | np.arange(len(hashes), dtype=U64)
     length = 1
     while 2 * length <= window:
         least = np.minimum(least[: len(least) - length], least[length:])
         length *= 2
     rest = window - length
     least = np.minimum(least[:count], least[rest : rest + count])
-    return (least & ((U64(1) << bits) - U64(1))).astype(np.int64)
+    return (least & U64(0xFFFFFFFF)).astype(np.int64)

@@ -4,20 +4,25 @@
    a MinHash signature.  Equal sets are one class from here on, so exact copies
    never meet each other.
 2. The forest: ``TREES`` orders of the classes, each sorted by its own sequence
-   of signature values.  Neighbours in an order that share at least ``DEPTH``
-   leading values are candidates if their signatures agree often enough.  Where
-   many classes share a prefix, sorting by the following values makes the
-   neighbours those with the longest common prefix: the depth adapts to the
-   region.  Candidates only gather classes into clusters.
+   of signature values, so that those with the longest common prefix are
+   neighbours.  Classes that share a prefix are a region.  Its depth adapts:
+   ``SHALLOW`` values where no more than ``SPARSE`` classes share them, else
+   ``DEPTH``.  All pairs of a region are candidates whose signatures agree
+   often enough.  A region of more than ``REGION`` classes, and one that a
+   border between sorted partitions may cut, is not searched but taken
+   whole: its classes all count as candidates of each other, so no pair is
+   lost to size or borders.  A region gives each of its classes one row, the
+   class and a head that stands for all it is linked with, however many pairs
+   there are.  Candidates only gather classes into clusters.
 3. Inside each cluster every pair is compared that its signatures allow, on the
    full sets, save those already linked to each other by confirmed links.
    Clusters beyond a size are cut into blocks, and every pair of blocks is a
-   task; no cluster is dropped or sampled, and no task emits more links than a
-   spanning forest has.
+   task; no cluster is dropped or sampled, and a task too gives each class one
+   row at most.
 4. Confirmed links join into components.
 
-A pair at the threshold misses all orders with probability (1 - 0.8**3)**16,
-about 1e-5, if it is the only one of its cluster, and far less in larger ones.
+A pair at the threshold shares no region with probability (1 - 0.8**3)**16,
+about 1e-5, at depth 3 and 1e-7 where regions are sparse.
 
 Null or empty texts have an empty set and are linked with nothing.  A text
 shorter than a shingle is one shingle of all its words.  Rows with equal ids
@@ -35,7 +40,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from wayfare.llm import anchors, carried, flat
 from wayfare.llm.anchors import written
-from wayfare.llm.components import components
+from wayfare.llm.components import from_heads
 
 SHINGLE = 5
 SIMILARITY = 80  # percent
@@ -45,7 +50,12 @@ DEPTH = 3
 VALUES = TREES * DEPTH
 #: Signature values that an order sorts by.
 SORTED = 6
-#: Neighbours that each class looks at in each order.
+#: Values that a region shares where it has no more than SPARSE classes.
+SHALLOW = 2
+SPARSE = 64
+#: Classes up to which a region's pairs are searched.
+REGION = 2048
+#: Neighbours that are compared all at once; the rest of larger regions follows class by class.
 REACH = 4
 #: Agreeing values of a pair at least; a link at the threshold has 38 on average and fewer than 26 once in 1e5.
 AGREEING = 26
@@ -133,41 +143,127 @@ def _orders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _agreement(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return (a == b).sum(axis=-1)
+    return np.count_nonzero(a == b, axis=-1)
 
 
-def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Candidates among the rows of a sorted partition."""
+def _opens(prefix: np.ndarray) -> np.ndarray:
+    """True for each row whose prefix differs from the row before."""
+    out = np.ones(len(prefix), bool)
+    out[1:] = (prefix[1:] != prefix[:-1]).any(axis=1)
+    return out
+
+
+def _regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Head and class for the candidates of each region of a sorted partition."""
     held: pa.RecordBatch | None = None
-    for rows in batches:
+    begun = False
+    dense = large = b""  # prefixes of held rows whose regions are known to be so
+    for rows, last in _with_last(batches):
         if held is not None:
             rows = pa.concat_batches([held, rows])
         n = rows.num_rows
-        values = flat.flat_bytes(rows.column("_order"))[0].reshape(n, -1)[:, : 1 + 4 * DEPTH]
-        low = flat.flat_bytes(rows.column("_low"))[0].reshape(n, VALUES)
-        a, b = [], []
-        for step in range(1, REACH + 1):
-            if n <= step:
-                break
-            alike = np.flatnonzero((values[step:] == values[:-step]).all(axis=1))
-            alike = alike[_agreement(low[alike], low[alike + step]) >= AGREEING]
-            a.append(alike)
-            b.append(alike + step)
-        if a:
-            node = rows.column("_node")
-            yield pa.record_batch([node.take(pa.array(np.concatenate(x))) for x in (a, b)], names=["a", "b"])
-        held = rows.slice(max(0, n - REACH))
+        if not n:
+            continue
+        order = flat.flat_bytes(rows.column("_order"))[0].reshape(n, -1)
+        deep, shallow = order[:, : 1 + 4 * DEPTH], order[:, : 1 + 4 * SHALLOW]
+        opens_deep, opens_shallow = _opens(deep), _opens(shallow)
+        of_deep, of_shallow = np.cumsum(opens_deep) - 1, np.cumsum(opens_shallow) - 1
+        is_dense = np.bincount(of_shallow) > SPARSE
+        is_dense[0] |= shallow[0].tobytes() == dense
+        whole = np.bincount(of_deep) > REGION
+        whole[0] |= not begun or deep[0].tobytes() == large
+        whole[-1] |= last
+        begun = True
+        # What a following batch may go on with waits for it.
+        cut = n if last else int(np.flatnonzero(opens_deep if is_dense[-1] else opens_shallow)[-1])
+        dense = shallow[-1].tobytes() if is_dense[-1] else b""
+        large = deep[-1].tobytes() if whole[-1] and is_dense[-1] else b""
+        if large:
+            cut = n
+        held = rows.slice(cut) if cut < n else None
+        node = rows.column("_node").to_numpy(zero_copy_only=False)
+        taken = np.flatnonzero(whole[of_deep[:cut]])
+        heads = [b"R" + deep[i].tobytes() for i in taken]
+        opens = np.where(is_dense[of_shallow], opens_deep, opens_shallow)[:cut]
+        low = flat.flat_bytes(rows.column("_low"))[0].reshape(n, VALUES)[:cut]
+        head, member = _forest(np.flatnonzero(opens), low)
+        yield pa.record_batch(
+            [pa.array([*heads, *node[head]], pa.binary()), pa.array([*node[taken], *node[member]], pa.binary())],
+            names=["head", "node"])
+
+
+def _with_last(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, bool]]:
+    """Each batch, and whether it is the last one."""
+    before = None
+    for rows in batches:
+        if before is not None:
+            yield before, False
+        before = rows
+    if before is not None:
+        yield before, True
+
+
+def _forest(opens: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Row and head of every row that is linked with another one of its region; regions are sorted rows.
+
+    Regions of more than REGION rows are left out: they count as linked anyway.
+    """
+    n = len(low)
+    sizes = np.diff(np.append(opens, n))
+    region = np.repeat(np.arange(len(opens)), sizes)
+    a, b = [], []
+    for step in range(1, min(REACH, n - 1) + 1):
+        near = np.flatnonzero(region[step:] == region[:-step])
+        near = near[sizes[region[near]] <= REGION]
+        near = near[_agreement(low[near], low[near + step]) >= AGREEING]
+        a.append(near)
+        b.append(near + step)
+    label = _joined(n, np.concatenate(a), np.concatenate(b)) if a else np.arange(n)
+    for k in np.flatnonzero((sizes > REACH + 1) & (sizes <= REGION)):
+        rows = slice(opens[k], opens[k] + sizes[k])
+        _join_rest(label[rows], low[rows])
+    times = np.bincount(label, minlength=n)
+    member = np.flatnonzero(times[label] > 1)
+    return label[member], member
+
+
+def _joined(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The least row that each row is linked with over the links a-b."""
+    label = np.arange(n)
+    while True:
+        before = label.copy()
+        least = np.minimum(label[a], label[b])
+        np.minimum.at(label, before[a], least)
+        np.minimum.at(label, before[b], least)
+        label = np.minimum(label, label[label])
+        if (label == before).all():
+            return label
+
+
+def _join_rest(label: np.ndarray, low: np.ndarray) -> None:
+    """Join the labels of all rows of a region that agree; rows of the largest group meet the others from there."""
+    values, times = np.unique(label, return_counts=True)
+    largest = values[times.argmax()]
+    for i in np.flatnonzero(label != largest):
+        if label[i] == largest:
+            continue
+        met = np.unique(label[_agreement(low, low[i]) >= AGREEING])
+        if len(met) > 1:
+            to = met.min()
+            label[np.isin(label, met)] = to
+            largest = to if largest in met else largest
 
 
 def _confirm(text: str, size: int, percent: int):
-    """Links between the classes of each task, confirmed on full sets: a spanning forest."""
+    """Head and class for the classes of each task that confirmed links connect."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _tasks(anchors.unlike_neighbours(batches, ["_task", "_node"])):
             sets = ShingleSets(rows.column(text), size)
-            a, b = _links(sets, rows.column("_side").to_numpy(), percent)
+            label = _links(sets, rows.column("_side").to_numpy(), percent)
+            member = np.flatnonzero(np.bincount(label, minlength=len(label))[label] > 1)
             node = rows.column("_node")
-            yield pa.record_batch([node.take(pa.array(x)) for x in (a, b)], names=["a", "b"])
+            yield pa.record_batch([node.take(pa.array(x)) for x in (label[member], member)], names=["head", "node"])
 
     return run
 
@@ -190,14 +286,13 @@ def _tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.concat_batches(held)
 
 
-def _links(sets: ShingleSets, side: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of rows that span what the confirmed links connect; only pairs of unlike sides, or all of side 0."""
+def _links(sets: ShingleSets, side: np.ndarray, percent: int) -> np.ndarray:
+    """A label for each row, equal for rows that confirmed links connect; only pairs of unlike sides, or all of side 0."""
     n = len(side)
     low = (sets.signatures() & np.uint32(0xFF)).astype(np.uint8)
     sizes = np.diff(sets.at)
     label = np.arange(n)
     cross = bool(len(side)) and side.max() > side.min()
-    a, b = [], []
     for i in range(n):
         others = np.arange(i + 1, n)
         fits = label[others] != label[i]
@@ -216,12 +311,9 @@ def _links(sets: ShingleSets, side: np.ndarray, percent: int) -> tuple[np.ndarra
         met = np.concatenate(([0], np.cumsum(own[place] == theirs)))
         common = met[stops[1:]] - met[stops[:-1]]
         linked = others[100 * common >= percent * (sizes[i] + sizes[others] - common)]
-        _, once = np.unique(label[linked], return_index=True)
-        for j in linked[once]:
-            a.append(i)
-            b.append(int(j))
-            label[label == label[j]] = label[i]
-    return np.array(a, np.int64), np.array(b, np.int64)
+        if len(linked):
+            label[np.isin(label, label[linked])] = label[i]
+    return label
 
 
 def classes(
@@ -244,9 +336,9 @@ def classes(
     orders = sets.select("_node", "_signature").mapInArrow(_orders, T.StructType(
         [T.StructField(c, T.BinaryType(), False) for c in ("_order", "_node", "_low")]
     ))
-    pair = T.StructType([T.StructField(c, T.BinaryType(), False) for c in ("a", "b")])
+    pair = T.StructType([T.StructField(c, T.BinaryType(), False) for c in ("head", "node")])
     ordered = orders.repartitionByRange("_order", "_node").sortWithinPartitions("_order", "_node")
-    clusters = components(ordered.mapInArrow(_neighbours, pair)).withColumnRenamed("node", "_node")
+    clusters = from_heads(ordered.mapInArrow(_regions, pair)).withColumnRenamed("node", "_node")
 
     gathered = clusters.count()
     inside = sets.select("_node", key, "_row", "n_shingles").join(clusters, "_node")
@@ -269,7 +361,7 @@ def classes(
     )
     tasks = texts.repartition("_task").sortWithinPartitions("_task", "_node")
     links = tasks.mapInArrow(_confirm(text, shingle, percent), pair)
-    joined = components(links).withColumnRenamed("node", "_node")
+    joined = from_heads(links).withColumnRenamed("node", "_node")
 
     linked = written(sets.select("_node", "_least").join(joined, "_node").withColumn("_half", F.xxhash64("component")),
                      "linked", gathered)

@@ -146,3 +146,87 @@ bound AS (SELECT (SELECT place / 100.0::DOUBLE FROM errors WHERE error IS NOT NU
 SELECT page_id, host, path, rule,
   COALESCE(kind, CASE WHEN score < bound THEN 'block' ELSE 'allow' END) AS verdict
 FROM ruled LEFT JOIN scores USING (text), bound"""
+
+
+#: Unsigned CRC-32 of a blob's bytes, its table made by the rule: x is halved eight times, xor the polynomial where odd.
+_CRC_TABLE = """SELECT list(x ORDER BY i) AS crcs FROM (SELECT i, list_reduce(range(0, 8), lambda x, y:
+  CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END, i) AS x FROM range(0, 256) t(i))"""
+
+
+def _crc(text: str) -> str:
+    """CRC-32 of a text; ``crcs`` is the table."""
+    values = f"list_transform(regexp_extract_all(hex({text}), '..'), lambda two: ('0x' || two)::BIGINT)"
+    step = "xor(crcs[xor(x, y) % 256 + 1], x // 256)"
+    return f"xor(list_reduce({values}, lambda x, y: {step}, 4294967295::BIGINT), 4294967295::BIGINT)"
+
+
+# Runs of period q are the stretches over which three words equal those q words on; of the periods that a stretch
+# has, the smallest counts.
+PERIODIC_RUNS = f"""
+WITH crc AS ({_CRC_TABLE}),
+docs AS (SELECT row_number() OVER () AS r, doc_id, {_PLAIN.format("COALESCE(text, '')")} AS w,
+  {_crc("COALESCE(CAST(doc_id AS VARCHAR), '')")} AS h FROM documents, crc),
+laid AS (SELECT *, len(w) AS n, h // 10 AS g, CASE WHEN h % 10 = 0 AND len(w) > 0 AND doc_id IS NOT NULL
+  THEN (h // 10) % len(w) END AS a FROM docs),
+placed AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM laid),
+planted AS (SELECT r, doc_id, n, CASE WHEN a IS NULL THEN w ELSE
+  list_transform(range(0, n), lambda i: w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % p END]) END AS w FROM placed),
+words AS (SELECT r, n, UNNEST(range(0, n)) AS i, UNNEST(w) AS word FROM planted),
+triples AS (SELECT r, n, i, word || ' ' || lead(word, 1) OVER o || ' ' || lead(word, 2) OVER o AS t
+  FROM words WINDOW o AS (PARTITION BY r ORDER BY i)),
+pairs AS (SELECT x.r, x.i, y.i - x.i AS q FROM triples x JOIN triples y USING (r, t)
+  WHERE y.i > x.i AND 4 * (y.i - x.i) <= x.n),
+islands AS (SELECT r, q, i, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS island FROM pairs),
+periodic AS (SELECT r, q, MIN(i) AS s, COUNT(*) + q + 2 AS l FROM islands GROUP BY r, q, island
+  HAVING COUNT(*) + q + 2 >= GREATEST(6, 4 * q)),
+runs AS (SELECT * FROM periodic x WHERE NOT EXISTS (FROM periodic y
+  WHERE y.r = x.r AND y.q < x.q AND y.s <= x.s AND y.s + y.l >= x.s + x.l)),
+listed AS (SELECT r, COUNT(*) AS n_runs, string_agg(s || ',' || l || ',' || q || chr(10), '' ORDER BY s, q) AS runs
+  FROM runs GROUP BY r),
+best AS (SELECT r, s, l, q FROM runs x WHERE NOT EXISTS (FROM runs y WHERE y.r = x.r AND
+  (y.l * x.q > x.l * y.q OR (y.l * x.q = x.l * y.q AND (y.s, y.q) < (x.s, x.q))))),
+gone AS (SELECT DISTINCT r, UNNEST(range(s + q, s + l)) AS i FROM runs),
+kept AS (SELECT r, string_agg(word, ' ' ORDER BY i) AS kept FROM words ANTI JOIN gone USING (r, i) GROUP BY r)
+SELECT doc_id, COALESCE(n_runs, 0) AS n_runs, s AS start, l AS length, q AS period, 1000 * l // q AS exponent_milli,
+  sha256(COALESCE(runs, '')) AS runs_sha256, sha256(COALESCE(kept, '')) AS collapsed_sha256
+FROM planted LEFT JOIN listed USING (r) LEFT JOIN best USING (r) LEFT JOIN kept USING (r)"""
+
+FILL_IN_MIDDLE = """
+WITH docs AS (SELECT doc_id, COALESCE(text, '') AS text, regexp_extract_all(COALESCE(text, ''), '[^\\n]*\\n|[^\\n]+') AS u,
+  sha256('7:' || COALESCE(CAST(doc_id AS VARCHAR), '')) AS d FROM documents),
+drawn AS (SELECT *, len(u) AS n, [('0x' || substr(d, 8 * k + 1, 8))::BIGINT for k in range(0, 4)] AS h FROM docs),
+cut AS (SELECT *, LEAST(h[1] % (n + 1), h[2] % (n + 1)) AS a, GREATEST(h[1] % (n + 1), h[2] % (n + 1)) AS b,
+  CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h[3] % 100 >= 100
+  THEN 'plain' WHEN h[4] % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM drawn),
+parts AS (SELECT *, array_to_string(u[1:a], '') AS prefix, array_to_string(u[a + 1:b], '') AS middle,
+  array_to_string(u[b + 1:], '') AS suffix FROM cut)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN len(prefix) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN len(middle) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM parts"""
+
+
+def sharding(shards: int, slots: int, pieces: int) -> str:
+    """Slots by digest, heavy ones in parts, then one unit after another to the least filled shard."""
+    return f"""
+WITH RECURSIVE crc AS ({_CRC_TABLE}),
+docs AS (SELECT row_number() OVER () AS r, doc_id, strlen(COALESCE(text, '')) + 8 AS size, {_crc("COALESCE(text, '')")} AS c
+  FROM documents, crc),
+digests AS (SELECT *, md5(COALESCE(CAST(doc_id AS VARCHAR), '') || ':' || size || ':' || c) AS d FROM docs),
+slotted AS (SELECT *, ('0x' || substr(d, 1, 8))::BIGINT % {slots} AS v FROM digests),
+seated AS (SELECT *, row_number() OVER (PARTITION BY v ORDER BY d, r) - 1 AS seat,
+  COUNT(*) OVER (PARTITION BY v) AS n, SUM(size) OVER (PARTITION BY v) AS b, SUM(size) OVER () AS total FROM slotted),
+parted AS (SELECT *, seat % LEAST(n, ceil(b / (total / {shards * pieces}::DOUBLE))::BIGINT) AS part,
+  LEAST(n, ceil(b / (total / {shards * pieces}::DOUBLE))::BIGINT) AS parts FROM seated),
+units AS (SELECT v, part, COUNT(*) AS n, SUM(size)::BIGINT AS b, row_number() OVER (ORDER BY SUM(size) DESC, v, part) AS k
+  FROM parted GROUP BY v, part),
+dealt AS (SELECT 0::BIGINT AS k, 0::BIGINT AS shard, [0::BIGINT for i in range(0, {shards})] AS loads
+  UNION ALL SELECT k, shard, list_transform(loads, lambda x, i: CASE WHEN i = shard + 1 THEN x + b ELSE x END)
+  FROM (SELECT units.k, units.b, loads, list_position(loads, list_min(loads)) - 1 AS shard FROM dealt JOIN units ON units.k = dealt.k + 1)),
+map AS (SELECT v, part, shard, COALESCE(SUM(n) OVER (PARTITION BY shard ORDER BY v, part
+  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM units JOIN dealt USING (k))
+SELECT doc_id, size, c AS text_crc32, 'bytes' AS law, CAST(shard AS INTEGER) AS shard,
+  CAST(start + seat // parts AS BIGINT) AS slot, CAST(NULL AS INTEGER) AS grown_shard, CAST(v AS INTEGER) AS virtual_slot
+FROM parted JOIN map USING (v, part)"""

@@ -1,11 +1,13 @@
-"""The ten operators bound to the test tables."""
+"""The thirteen operators bound to the test tables."""
 
 from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wayfare.llm import chat, contamination, fields, licenses, near, oracles, pieces, rules, substrings, suffixes, urls
+from wayfare.llm import (
+    chat, contamination, fields, licenses, middles, near, oracles, periodic, pieces, rules, shards, substrings, suffixes, urls,
+)
 from wayfare.llm.registry import query, table
 
 
@@ -104,3 +106,49 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat_ws(",", F.transform("licenses", lambda m: F.concat_ws(
             ":", *(m[c].cast("string") for c in ("word", "n_found", "n_shingles"))))).alias("places"),
     )
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """The contract's rewriting: a tenth of the documents, by checksum of the id, end in a repeated stretch of their words."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    docs = docs.withColumn("w", F.when(h % 10 == 0, words)).withColumns({"n": F.size("w"), "g": F.floor(h / 10)})
+    a = F.pmod(F.col("g"), F.col("n"))
+    p = 1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))
+    docs = docs.withColumn("a", F.when(F.col("n") > 0, a)).withColumn("p", p)
+    place = F.expr("transform(sequence(0L, n - 1L), i -> if(i < a, i, a + (i - a) % p))")
+    planted = F.concat_ws(" ", F.transform(place, lambda i: F.get("w", i.cast("int"))))
+    return docs.select("doc_id", F.when(F.col("n") > 0, planted).otherwise(F.col("text")).alias("text"))
+
+
+@query(oracles.PERIODIC_RUNS)
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scanned = periodic.scan(with_planted_runs(docs)).withColumn("best", periodic.strongest())
+    listed = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return scanned.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).cast("long").alias("exponent_milli"),
+        F.sha2(F.concat_ws("", listed), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+@query(oracles.FILL_IN_MIDDLE)
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    cut = middles.transform(docs)
+    return cut.select(
+        "doc_id", F.col("n_units").alias("n"), "form", "prefix_chars", "middle_chars",
+        F.sha2("fim_text", 256).alias("output_sha256"),
+        F.sha2(middles.restored(F.col("fim_text"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
+@query(oracles.sharding(24, shards.SLOTS, shards.PIECES))
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = shards.measured(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+    placed, _ = shards.assign(docs, 24)
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"), "virtual_slot",
+    )

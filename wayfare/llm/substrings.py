@@ -31,12 +31,16 @@ from wayfare.llm.anchors import SEED_FIELDS, written
 LENGTH = 50
 GRAIN = 10
 
+#: Columns that name a row beside its id: 96 bits of its text's hashes.
+ROW = ["_row", "_copy"]
+
 
 def repeated(docs: DataFrame, key: str, text: str, length: int = LENGTH, grain: int = GRAIN) -> DataFrame:
-    """Stretches that also start in a document with a smaller id: key, ``_row`` (a hash of the text) and ``owners``."""
-    seeds = docs.select(key, "_row", text).mapInArrow(
-        anchors.emit(anchors.of_words, text, [key, "_row"], length, grain),
-        T.StructType([docs.schema[key], docs.schema["_row"], *SEED_FIELDS]),
+    """Stretches that also start in a document with a smaller id: key, two hashes of the text, and ``owners``."""
+    name = [key, *ROW]
+    seeds = docs.select(*name, text).mapInArrow(
+        anchors.emit(anchors.of_words, text, name, length, grain),
+        T.StructType([*(docs.schema[c] for c in name), *SEED_FIELDS]),
     )
     spread = seeds.groupBy("seed").agg(F.min(key).alias("_least"), F.max(key).alias("_most"))
     spread = spread.where("_least < _most").drop("_most")
@@ -50,23 +54,23 @@ def repeated(docs: DataFrame, key: str, text: str, length: int = LENGTH, grain:
         .join(anchors.anew(mixed, "seed"), "seed"),
         "members",
     )
-    later = members.where(F.col(key) > F.col("_first")).select(key, "_row", "owners")
+    later = members.where(F.col(key) > F.col("_first")).select(*name, "owners")
     edges = members.where(F.col("_mixed") & (F.col(key) == F.col("_first")))
-    asked = anchors.anew(edges.groupBy(key, "_row").agg(F.collect_set(F.struct("owners", "seed")).alias("_asked")), "_row")
-    stretches = docs.join(asked, [key, "_row"]).mapInArrow(
-        _stretches(key, text, length),
-        T.StructType([docs.schema[key], docs.schema["_row"], *SEED_FIELDS]),
+    asked = anchors.anew(edges.groupBy(*name).agg(F.collect_set(F.struct("owners", "seed")).alias("_asked")), "_row")
+    stretches = docs.join(asked, name).mapInArrow(
+        _stretches(name, text, length), T.StructType([*(docs.schema[c] for c in name), *SEED_FIELDS]),
     )
     first = stretches.groupBy("seed", "span").agg(F.min(key).alias("_first"))
-    single = stretches.join(anchors.anew(first, "seed"), ["seed", "span"]).where(F.col(key) > F.col("_first")).select(key, "_row", "owners")
+    single = stretches.join(anchors.anew(first, "seed"), ["seed", "span"])
+    single = single.where(F.col(key) > F.col("_first")).select(*name, "owners")
     return later.unionByName(single)
 
 
-def _stretches(key: str, text: str, length: int):
+def _stretches(name: list[str], text: str, length: int):
     """One row for each stretch of the asked owners, with the hash of its words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in flat.chunks(anchors.unlike_neighbours(batches, [key, "_row"]), text):
+        for rows in flat.chunks(anchors.unlike_neighbours(batches, name), text):
             values, at = anchors.of_words(rows.column(text))
             asked = rows.column("_asked")
             sizes = np.diff(asked.offsets.to_numpy())
@@ -80,11 +84,11 @@ def _stretches(key: str, text: str, length: int):
             span = flat.Windows(values).of(at[row] + start, at[row] + start + length).view(np.int64)
             for part in range(0, len(row), 1 << 18):
                 piece = slice(part, part + (1 << 18))
-                taken = [rows.column(k).take(pa.array(row[piece])) for k in (key, "_row")]
+                taken = [rows.column(k).take(pa.array(row[piece])) for k in name]
                 yield pa.record_batch(
                     [*taken, pa.array(seed[piece]), pa.array(span[piece]),
                      pa.array(anchors.pack(start[piece], start[piece]))],
-                    names=[key, "_row", "seed", "span", "owners"],
+                    names=[*name, "seed", "span", "owners"],
                 )
 
     return run
@@ -95,34 +99,33 @@ def deduplicate(
     kept: str = "kept_text",
 ) -> DataFrame:
     """Documents with ``n_words``, ``n_removed`` and the kept words, joined by one space, in ``kept``."""
-    docs = docs.drop("n_words", "n_removed", kept).withColumn("_row", F.hash(text))
-    known, unknown = docs.where(F.col(key).isNotNull()), docs.where(F.col(key).isNull())
+    own = docs.drop(*({"n_words", "n_removed", kept} - {key, text}))
+    key_, text_ = carried.KEY, carried.TEXT
+    rows = carried.packed(own, key, text).withColumns({"_row": F.xxhash64(text_), "_copy": F.hash(text_)})
+    known, unknown = rows.where(F.col(key_).isNotNull()), rows.where(F.col(key_).isNull())
     # The same rows join the seeds' edges and the spans, so that their texts are shuffled once.
-    found = repeated(known, key, text, length, grain)
-    spans = anchors.anew(found.groupBy(key, "_row").agg(F.collect_set("owners").alias("_owners")), "_row")
-    joined = known.join(spans, [key, "_row"], "left").select(*docs.columns, "_owners")
-    joined = joined.unionByName(unknown.withColumn("_owners", F.lit(None).cast("array<bigint>")))
-    columns = [c for c in docs.columns if c != "_row"]
-    schema = T.StructType([*(docs.schema[c] for c in columns), T.StructField("n_words", T.LongType(), False),
-                           T.StructField("n_removed", T.LongType(), False), T.StructField(kept, T.StringType(), False)])
-    return joined.mapInArrow(_cut(columns, text, length, kept), schema)
-
-
-def _cut(columns: list[str], text: str, length: int, kept: str):
+    found = repeated(known, key_, text_, length, grain)
+    spans = anchors.anew(found.groupBy(key_, *ROW).agg(F.collect_set("owners").alias("_owners")), "_row")
+    packed = [key_, text_, carried.REST]
+    joined = known.join(spans, [key_, *ROW], "left").select(*packed, "_owners")
+    joined = joined.unionByName(unknown.select(*packed, F.lit(None).cast("array<bigint>").alias("_owners")))
+    added = [T.StructField("_n_words", T.LongType(), False), T.StructField("_n_removed", T.LongType(), False),
+             T.StructField("_kept", T.StringType(), False)]
+    cut = joined.mapInArrow(_cut(packed, text_, length, added), T.StructType([*(rows.schema[c] for c in packed), *added]))
+    return cut.select(*carried.columns(own, key, text), F.col("_n_words").alias("n_words"),
+                      F.col("_n_removed").alias("n_removed"), F.col("_kept").alias(kept))
+
+
+def _cut(columns: list[str], text: str, length: int, added: list[T.StructField]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in flat.chunks(batches, text):
             raw, at = flat.flat_bytes(rows.column(text))
             starts, ends, first = flat.word_spans(raw, at, flat.PLAIN_WORD)
             gone = anchors.removed(rows.column("_owners"), first, length)
             gone_before = np.concatenate(([0], np.cumsum(gone)))
-            out = rows.select(columns)
-            for name, column in (
-                ("n_words", pa.array(np.diff(first))),
-                ("n_removed", pa.array(np.diff(gone_before[first]))),
-                (kept, joined_words(raw, starts[~gone], ends[~gone], (first - gone_before[first]))),
-            ):
-                out = out.append_column(name, column)
-            yield out
+            new = [pa.array(np.diff(first)), pa.array(np.diff(gone_before[first])),
+                   joined_words(raw, starts[~gone], ends[~gone], (first - gone_before[first]))]
+            yield pa.record_batch([*(rows.column(c) for c in columns), *new], names=[*columns, *(f.name for f in added)])
 
     return run
 

@@ -34,7 +34,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from wayfare.llm import anchors, flat
+from wayfare.llm import anchors, carried, flat
 from wayfare.llm.anchors import SEED_FIELDS, written
 
 LENGTH = 200
@@ -201,20 +201,22 @@ def deduplicate(
     kept: str = "kept_bytes",
 ) -> DataFrame:
     """Documents with ``n_bytes``, ``n_removed``, ``n_spans`` and the remaining bytes in ``kept``."""
-    docs = docs.drop("n_bytes", "n_removed", "n_spans", kept)
+    own = docs.drop(*({"n_bytes", "n_removed", "n_spans", kept} - {text}))
+    text_ = carried.TEXT
     # Rows with one text lose the same bytes, so a text's two hashes name its rows.
-    docs = docs.withColumn("_row", F.xxhash64(text)).withColumn("_copy", F.hash(text))
-    spans = repeated(docs.select("_row", "_copy", text), text, length, grain, group_rows)
+    rows = carried.packed(own, text, text).withColumns({"_row": F.xxhash64(text_), "_copy": F.hash(text_)})
+    spans = repeated(rows.select("_row", "_copy", text_), text_, length, grain, group_rows)
     spans = anchors.anew(spans.groupBy("_row", "_copy").agg(F.collect_set("owners").alias("_owners")), "_row")
-    columns = [c for c in docs.columns if c not in ("_row", "_copy")]
-    joined = docs.join(spans, ["_row", "_copy"], "left").select(*columns, "_owners")
-    schema = T.StructType([*(docs.schema[c] for c in columns), *(
-        T.StructField(c, T.LongType(), False) for c in ("n_bytes", "n_removed", "n_spans")
-    ), T.StructField(kept, T.BinaryType(), False)])
-    return joined.mapInArrow(_cut(columns, text, length, kept), schema)
+    packed = [text_, carried.REST]
+    joined = rows.join(spans, ["_row", "_copy"], "left").select(*packed, "_owners")
+    added = [*(T.StructField(c, T.LongType(), False) for c in ("_n_bytes", "_n_removed", "_n_spans")),
+             T.StructField("_kept", T.BinaryType(), False)]
+    cut = joined.mapInArrow(_cut(packed, text_, length, added), T.StructType([*(rows.schema[c] for c in packed), *added]))
+    return cut.select(*carried.columns(own, text, text), *(F.col(f"_{c}").alias(c) for c in ("n_bytes", "n_removed", "n_spans")),
+                      F.col("_kept").alias(kept))
 
 
-def _cut(columns: list[str], text: str, length: int, kept: str):
+def _cut(columns: list[str], text: str, length: int, added: list[T.StructField]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in flat.chunks(batches, text):
             raw, at = flat.flat_bytes(rows.column(text))
@@ -225,13 +227,8 @@ def _cut(columns: list[str], text: str, length: int, kept: str):
             gone_before, opened = (np.concatenate(([0], np.cumsum(x))) for x in (gone, opens))
             offsets = (at - gone_before[at]).astype(np.int32)
             data = np.ascontiguousarray(raw[~gone])
-            out = rows.select(columns)
-            for name, column in (
-                ("n_bytes", pa.array(np.diff(at))), ("n_removed", pa.array(np.diff(gone_before[at]))),
-                ("n_spans", pa.array(np.diff(opened[at]))),
-                (kept, pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(offsets), pa.py_buffer(data)])),
-            ):
-                out = out.append_column(name, column)
-            yield out
+            new = [pa.array(np.diff(at)), pa.array(np.diff(gone_before[at])), pa.array(np.diff(opened[at])),
+                   pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(offsets), pa.py_buffer(data)])]
+            yield pa.record_batch([*(rows.column(c) for c in columns), *new], names=[*columns, *(f.name for f in added)])
 
     return run

@@ -149,9 +149,11 @@ def split(marked: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def judge(pages: DataFrame, rules: list[Rule], *, url: str = "url", order: int = ORDER) -> DataFrame:
     """Pages with ``host``, ``path``, the deciding ``rule`` (null if none), ``score`` (of those) and ``verdict``."""
-    pages = pages.drop("host", "path", "rule", "score", "verdict").withColumn("_url", F.col(url))
+    added = ["host", "path", "rule", "score", "verdict"]
+    own = [c for c in pages.columns if c not in added or c == url]
+    pages = pages.select(F.col(f"`{url}`").alias("_url"), F.struct(*(F.col(f"`{c}`") for c in own)).alias("_rest"))
     host, path = parts(F.col("_url"))
-    pages = pages.withColumns({"host": F.coalesce(host, F.lit("")), "path": F.coalesce(path, F.lit(""))}).drop("_url")
+    pages = pages.select("_rest", F.coalesce(host, F.lit("")).alias("host"), F.coalesce(path, F.lit("")).alias("path"))
     by = {name: first_rule(rules, F.col("host"), F.col("path"), field) for name, field in (("rule", "text"), ("_rule", "verdict"))}
     pages = pages.withColumns(by).withColumn("_text", F.concat("host", "path"))
 
@@ -166,5 +168,5 @@ def judge(pages: DataFrame, rules: list[Rule], *, url: str = "url", order: int =
     limit = threshold(scored.join(unseen, "_text"))
     scored = scored.withColumn("_guess", F.when(F.col("score") < limit, "block").otherwise("allow")
                                if limit is not None else F.lit("allow"))
-    judged = pages.join(scored, "_text", "left")
-    return judged.withColumn("verdict", F.coalesce("_rule", "_guess")).drop("_text", "_rule", "_guess")
+    judged = pages.join(scored, "_text", "left").withColumn("verdict", F.coalesce("_rule", "_guess"))
+    return judged.select(*(F.col("_rest")[c].alias(c) for c in own), *(c for c in added if c not in own))
