@@ -1,10 +1,11 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from wayfare.operators import changes
-from wayfare.sinks import incremental
+from wayfare.sinks import incremental, manifest
 from wayfare.sources.storage import Storage
 
 D = dt.datetime
@@ -55,7 +56,15 @@ def stored(spark, path):
 
 
 def leftovers(path):
-    return [p.name for p in path.iterdir() if p.name.startswith("_") and p.is_dir()]
+    """Folders beside the data and the versions, and version files that were not finished."""
+    beside = [p.name for p in path.iterdir() if p.is_dir() and p.name not in (manifest.DATA, manifest.VERSIONS) and "=" not in p.name]
+    return beside + [p.name for p in path.glob(".versions/*") if not p.name.endswith((".json", ".crc"))]
+
+
+def files(path, *days):
+    """Times of the live files of some days."""
+    live = manifest.version(SparkSession.active(), str(path)).live
+    return {p: p.stat().st_mtime_ns for d in days for p in (path / live[f"t_date={d}"]).glob("*.parquet")}
 
 
 def test_stored_interval_at_the_edges(spark, tmp_path):
@@ -71,7 +80,7 @@ def test_stored_interval_at_the_edges(spark, tmp_path):
     for _ in range(2):
         incremental.load(path, new, "t", "2024-01-02 09:00:00", "2024-01-04 09:00:00")
         assert stored(spark, path) == wanted
-    assert not (table / "t_date=2024-01-03").exists() and not leftovers(table)
+    assert "t_date=2024-01-03" not in manifest.version(spark, path).live and not leftovers(table)
 
 
 def test_first_load_and_empty_interval(spark, tmp_path):
@@ -86,49 +95,72 @@ def test_first_load_and_empty_interval(spark, tmp_path):
 def test_untouched_partitions_are_not_rewritten(spark, tmp_path):
     table = tmp_path / "t"
     incremental.load(str(table), frame(spark, *OLD), "t", "2024-01-01", "2024-02-01", full_refresh=True)
-    before = {p: p.stat().st_mtime_ns for p in table.glob("t_date=2024-01-0[13]/*.parquet")}
+    before = files(table, "2024-01-01", "2024-01-03")
     incremental.replace_interval(str(table), frame(spark, (D(2024, 1, 2), 7, "n")), "t", "2024-01-02", "2024-01-03")
-    assert before == {p: p.stat().st_mtime_ns for p in table.glob("t_date=2024-01-0[13]/*.parquet")}
+    assert before and before == files(table, "2024-01-01", "2024-01-03")
 
 
-@pytest.mark.parametrize("moved", [0, 1, 2])
-def test_a_run_that_dies_while_moving_is_finished(spark, tmp_path, monkeypatch, moved):
+@pytest.mark.parametrize("step", ["write_partitioned", "write", "rename"])
+def test_a_run_that_dies_changes_nothing_and_can_be_run_again(spark, tmp_path, monkeypatch, step):
     path = str(tmp_path / "t")
     incremental.load(path, frame(spark, *OLD), "t", "2024-01-01", "2024-02-01", full_refresh=True)
     new = frame(spark, (D(2024, 1, 1, 20), 1, "n"), (D(2024, 1, 3), 3, "n"))
-    rename, done = Storage.rename, []
 
-    def failing(self, source, target):
-        if len(done) == moved:
-            raise OSError("killed")
-        done.append(target)
-        rename(self, source, target)
+    def failing(*_):
+        raise OSError("killed")
 
-    monkeypatch.setattr(Storage, "rename", failing)
-    wanted = sorted([OLD[0], (D(2024, 1, 1, 20), 1, "n"), (D(2024, 1, 3), 3, "n"), OLD[3]], key=str)
-    if moved < 2:
-        with pytest.raises(OSError):
-            incremental.replace_interval(path, new, "t", "2024-01-01 06:00:00", "2024-01-04")
-    else:
+    monkeypatch.setattr(incremental if step == "write_partitioned" else Storage, step, failing)
+    with pytest.raises(OSError):
         incremental.replace_interval(path, new, "t", "2024-01-01 06:00:00", "2024-01-04")
     monkeypatch.undo()
-    incremental.finish(spark, path)
-    assert stored(spark, path) == wanted
+    assert stored(spark, path) == sorted(OLD, key=str)
+    incremental.replace_interval(path, new, "t", "2024-01-01 06:00:00", "2024-01-04")
+    assert stored(spark, path) == sorted([OLD[0], (D(2024, 1, 1, 20), 1, "n"), (D(2024, 1, 3), 3, "n"), OLD[3]], key=str)
+    manifest.vacuum(spark, path)
+    assert not leftovers(tmp_path / "t") and len(manifest.versions(spark, path)) == 1
+    assert len(stored(spark, path)) == 4
 
 
-def test_a_run_that_dies_before_moving_changes_nothing(spark, tmp_path, monkeypatch):
+def test_a_reader_keeps_its_version_and_sees_none_in_between(spark, tmp_path, monkeypatch):
     path = str(tmp_path / "t")
     incremental.load(path, frame(spark, *OLD), "t", "2024-01-01", "2024-02-01", full_refresh=True)
+    bound, seen = incremental.read_table(spark, path), []
+    rename = Storage.rename
 
-    def failing(self, path):
-        raise OSError("killed")
+    def looking(self, source, target):
+        seen.append(stored(spark, path))
+        rename(self, source, target)
+        seen.append(stored(spark, path))
 
-    monkeypatch.setattr(Storage, "make", failing)
-    with pytest.raises(OSError):
-        incremental.replace_interval(path, frame(spark, *OLD), "t", "2024-01-01", "2024-01-04")
+    monkeypatch.setattr(Storage, "rename", looking)
+    new = [(D(2024, 1, 1, 20), 1, "n"), (D(2024, 1, 3), 3, "n")]
+    incremental.replace_interval(path, frame(spark, *new), "t", "2024-01-01", "2024-01-04")
     monkeypatch.undo()
-    incremental.finish(spark, path)
-    assert stored(spark, path) == sorted(OLD, key=str) and not leftovers(tmp_path / "t")
+    after = sorted([*new, OLD[3]], key=str)
+    assert seen == [sorted(OLD, key=str), after], "one rename for any number of partitions"
+    assert rows(bound) == sorted(OLD, key=str) and stored(spark, path) == after
+    assert rows(incremental.read_table(spark, path, 1)) == sorted(OLD, key=str)
+
+
+def test_two_writers_of_one_version(spark, tmp_path):
+    path = str(tmp_path / "t")
+    incremental.load(path, frame(spark, *OLD), "t", "2024-01-01", "2024-02-01", full_refresh=True)
+    old = manifest.version(spark, path)
+    incremental.replace_interval(path, frame(spark), "t", "2024-01-01", "2024-01-02")
+    with pytest.raises(OSError, match="there already"):
+        manifest.commit(spark, path, old, old.schema, manifest.new_change(path), [])
+    assert stored(spark, path) == sorted(OLD[1:], key=str)
+
+
+def test_a_plain_table_is_version_zero(spark, tmp_path):
+    path = str(tmp_path / "t")
+    frame(spark, *OLD).withColumn("t_date", F.to_date("t")).write.partitionBy("t_date").parquet(path)
+    assert manifest.version(spark, path).number == 0 and stored(spark, path) == sorted(OLD, key=str)
+    new = (D(2024, 1, 2, 20), 2, "n")
+    incremental.replace_interval(path, frame(spark, new), "t", "2024-01-02 10:00:00", "2024-01-03")
+    assert stored(spark, path) == sorted([*OLD, new], key=str)
+    manifest.vacuum(spark, path)
+    assert stored(spark, path) == sorted([*OLD, new], key=str) and not (tmp_path / "t" / "t_date=2024-01-02").exists()
 
 
 def test_stored_upsert_twice_is_once(spark, tmp_path):
@@ -168,4 +200,4 @@ def test_stored_upsert_moves_a_key_to_another_partition(spark, tmp_path):
         incremental.upsert(path, spark.createDataFrame(again, kind), ["k"], "day")
     rows = incremental.read_table(spark, path).select("k", "day", "v").collect()
     assert sorted(map(tuple, rows), key=str) == sorted([again[0], again[1], again[2], first[1]], key=str)
-    assert not (tmp_path / "t" / "day=2024-01-01").exists()
+    assert "day=2024-01-01" not in manifest.version(spark, path).live

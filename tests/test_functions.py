@@ -1,6 +1,7 @@
 import datetime as dt
 import decimal
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -77,6 +78,31 @@ def test_one_nan_makes_the_sum_nan(spark):
     assert math.isnan(df.agg(numbers.money_sum("d").alias("s")).first().s)
 
 
+INF, NAN = float("inf"), float("nan")
+
+
+@pytest.mark.parametrize("amounts, total", [
+    ([INF, 1.0], INF), ([-INF, 4.0], -INF), ([INF, -INF], NAN), ([NAN, INF], NAN), ([1e30, 1.0], 1e30), ([9e28] * 20, math.fsum([9e28] * 20)),
+    ([-1e30, 1.0, 1e30, 2.5], 3.5), ([1e18, -1e18, 0.3], 0.3), ([2.0**60, 2.0**61, -5.0], 3 * 2.0**60), ([0.1, 0.2], 0.3),
+    ([-0.5, 0.25], -0.25), ([1e300, 5.0], 1e300), ([1e15, 1e15, 0.25], 2e15 + 0.25), ([None], None), ([], None), ([-1e-9] * 3, -3e-9),
+])
+def test_money_of_any_size(spark, amounts, total):
+    df = spark.createDataFrame([(a,) for a in amounts], "d double")
+    got = df.agg(numbers.money_sum("d").alias("s")).first().s
+    assert repr(got) == repr(total)
+
+
+def test_large_money_is_free_of_order(spark):
+    draw = random.Random(3)
+    amounts = [draw.uniform(-1, 1) * 10 ** draw.randint(-3, 29) for _ in range(2000)]
+    totals = set()
+    for _ in range(4):
+        draw.shuffle(amounts)
+        df = spark.createDataFrame([(a,) for a in amounts], "d double").repartition(draw.randint(1, 6))
+        totals.add(df.agg(numbers.money_sum("d").alias("s")).first().s)
+    assert len(totals) == 1 and totals.pop() == pytest.approx(math.fsum(amounts), rel=1e-15)
+
+
 def test_cents_round_away_from_zero(spark):
     for amount, wanted in ((1.005, "1.01"), (1.01, "1.01"), (-2.345, "-2.35")):
         assert one(spark, numbers.cents("d"), d=amount) == decimal.Decimal(wanted)

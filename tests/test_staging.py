@@ -134,3 +134,15 @@ def test_monthly_fact_reads(spark, ts):
     assert named.count() == 6
     assert tuple(trips.top_zone_of_year(named, "green", 2020).first()) == ("A", 15.5)
     assert trips.trips_in_month(named, "green", 2020, 1).first().total_trips == 1
+
+
+def test_fares_without_cents_stay_apart(spark):
+    at, inf, nan = dt.datetime(2024, 1, 5, 8), float("inf"), float("nan")
+    fares = [None, None, nan, nan, inf, -inf, 1e40, 2e40, 2e40, 1.001, 1.004]
+    trips = spark.createDataFrame(
+        [(at, at, 1, 2, f, "1", "green") for f in fares],
+        "pickup_datetime timestamp, dropoff_datetime timestamp, pickup_location_id int, dropoff_location_id int, "
+        "fare_amount double, payment_type string, taxi_type string")
+    lookup = spark.createDataFrame([(1, "card")], "payment_type_id int, payment_type_name string")
+    got = staging.stage_trips_keyed(trips, lookup, "2024-01-01", "2024-02-01").collect()
+    assert sorted(repr(r.fare_amount) for r in got) == sorted(map(repr, [None, nan, inf, -inf, 1e40, 2e40, 1.001]))

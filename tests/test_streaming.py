@@ -192,3 +192,25 @@ def test_batches_are_handed_to_a_writer(spark, feed, tmp_path):
     queries.finish(queries.for_each_batch(passed, write, str(tmp_path / "checkpoint"), drain=True))
     counts = {r.batch: r["count"] for r in spark.read.parquet(path).groupBy("batch").count().collect()}
     assert counts == {0: 2, 1: 1}
+
+
+@pytest.mark.parametrize("slots", [1, 3, 4096])
+def test_sessions_across_ranges(spark, monkeypatch, slots):
+    monkeypatch.setattr(windows, "SLOTS_PER_RANGE", slots)
+    draw, begin = random.Random(slots), dt.datetime(2024, 1, 1)
+    rows, wanted = [], []
+    for key in ("a", "b", None):
+        at, times = begin, []
+        for _ in range(400):
+            at += dt.timedelta(seconds=draw.choice([0, 1, 4, 9, 10, 11, 30]))
+            times.append(at)
+        rows += [(key, t) for t in times]
+        runs = [[times[0], times[0], 0]]
+        for t in times:
+            if t - runs[-1][1] > dt.timedelta(seconds=10):
+                runs.append([t, t, 0])
+            runs[-1][1:] = [t, runs[-1][2] + 1]
+        wanted += [(a, b + dt.timedelta(seconds=10), key, n) for a, b, n in runs]
+    events = spark.createDataFrame(rows, "k string, t timestamp_ntz")
+    got = [tuple(r) for r in windows.sessions(events, "10 seconds", ["k"], time="t").collect()]
+    assert sorted(got, key=str) == sorted(wanted, key=str)

@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from wayfare.operators import tips
+from wayfare.operators import ranks, tips
 
 KIND = "id long, x double, y double, c string, tip_amount double"
 
@@ -117,3 +117,33 @@ def test_tuning(rows):
     assert len(log) == tips.TRIALS and all(0 <= t["l1_reg"] <= 20 and t["l2_reg"] in tips.L2_CANDIDATES for t in log)
     assert tips.predict(model, rows).count() == 2000
     assert tips.elastic_net(2.0, 1.0) == (4.0, 0.5) and tips.elastic_net(0.0, 0.0) == (0.0, 0.0)
+
+
+@pytest.mark.parametrize("last", [ranks.LAST, 1])
+def test_exact_quantiles(spark, monkeypatch, last):
+    monkeypatch.setattr(ranks, "LAST", last)
+    monkeypatch.setattr(ranks, "BINS", 64)
+    rng = np.random.default_rng(4)
+    inf, nan = float("inf"), float("nan")
+    samples = {
+        "spread": rng.normal(0, 1, 500) * 10.0 ** rng.integers(-300, 300, 500), "whole": rng.integers(0, 5, 501).astype(float),
+        "same": np.full(300, 3.5), "two": np.array([1.0, 1e308] * 100), "tiny": rng.integers(1, 9, 400) * 5e-324,
+        "wide": np.array([-1.7e308, 1.7e308, 0.0, 5.0]), "odd": np.array([-inf, inf, inf, nan, 1.0]), "one": np.array([2.0]),
+        "nan": np.array([nan, nan]),
+    }
+    n = max(map(len, samples.values()))
+    rows = [tuple(float(v[i]) if i < len(v) else None for v in samples.values()) for i in range(n)]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in samples)).withColumn("none", F.lit(None).cast("double"))
+    for share in (0.5, 0.01, 1.0):
+        got = ranks.quantile(df, {c: F.col(c) for c in df.columns}, share)
+        for c, v in samples.items():
+            assert repr(got[c]) == repr(float(np.sort(v)[int(np.ceil(share * len(v))) - 1])), (c, share)
+        assert got["none"] is None
+
+
+def test_median_of_two_million_rows(spark):
+    df = spark.range(2_000_000).select(((F.col("id") * 1_234_577 % 2_000_003) / 7).alias("x"))
+    wanted = np.sort(np.arange(2_000_000) * 1_234_577 % 2_000_003)[999_999] / 7
+    assert ranks.quantile(df, {"x": F.col("x")}) == {"x": wanted}
+    info = tips.feature_info(df, ["x"], [])
+    assert info.first()["median"] == wanted

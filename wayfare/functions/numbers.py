@@ -18,16 +18,32 @@ def cents(amount: Column | str) -> Column:
     return F.round(as_column(amount), 2).try_cast("decimal(38,9)")
 
 
+#: Amounts below go in whole units and billionths; larger ones in multiples of this and a rest.
+_UNIT_RANGE = 2.0**50
+_MULTIPLE_RANGE = 2.0**100
+
+
 def money_sum(amount: Column | str) -> Column:
     """Sum of amounts with up to nine decimals, exact and free of order.
 
     Adding doubles gives another last digit whenever rows arrive in another
-    order, as after a lost executor.  Decimals of a warehouse's numeric type
-    add up the same in any order.  As with doubles, one NaN makes the sum NaN.
+    order, as after a lost executor.  Here every amount is split into whole
+    numbers, which add up the same in any order: units and billionths in two
+    long lanes, and multiples of 2**50 (1.1e15) in a lane of doubles, where
+    whole numbers are exact as long as such amounts come to less than 1e31.
+    That lane also takes what is larger than 2**100 or not finite: an infinite
+    amount, both infinities or one NaN have the effect that they have on a sum
+    of doubles.  Units beyond the range of a long are an error.
     """
-    value = as_column(amount)
-    total = F.sum(value.try_cast("decimal(38,9)")).cast("double")
-    return F.when(F.bool_or(F.isnan(value.cast("double"))), F.lit(float("nan"))).otherwise(total)
+    value = as_column(amount).cast("double")
+    size = F.abs(value)  # NaN counts as larger than any number
+    rest = F.when(size < _UNIT_RANGE, value).when(size < _MULTIPLE_RANGE, value % _UNIT_RANGE)
+    units = rest.cast("long")
+    low, parts = F.sum(units), F.sum(F.rint((rest - units) * 1e9).cast("long"))
+    multiples = F.sum(F.when(size >= _UNIT_RANGE, (value - F.coalesce(rest, F.lit(0.0))) / _UNIT_RANGE))
+    near = (low + parts * F.lit("0.000000001").cast("decimal(9,9)")).cast("double")
+    far = multiples * _UNIT_RANGE
+    return F.when(multiples.isNull(), near).otherwise(F.coalesce(far + near, far))
 
 
 def money_avg(amount: Column | str) -> Column:

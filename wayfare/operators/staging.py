@@ -67,7 +67,8 @@ def stage_trips_distinct(
 def stage_trips_keyed(trips: DataFrame, lookup: DataFrame, start: Moment, end: Moment) -> DataFrame:
     """Trips of the interval, one per times, places and fare rounded to cents.
 
-    Of several, the first by service, payment name and exact fare stays.
+    A fare that has no cents (NaN, infinite, beyond the numeric type) counts as
+    it is, so it equals neither NULL nor another such fare.  Of several, the first by service, payment name and exact fare stays.
     """
     named = lookup_left(
         trips.filter(in_interval("pickup_datetime", start, end)),
@@ -76,9 +77,11 @@ def stage_trips_keyed(trips: DataFrame, lookup: DataFrame, start: Moment, end: M
         "pickup_datetime", "dropoff_datetime", "pickup_location_id", "dropoff_location_id",
         "fare_amount", "taxi_type", "payment_type_name",
     )
+    fare = cents("fare_amount")
     return first_per_key(
         named,
-        ["pickup_datetime", "dropoff_datetime", "pickup_location_id", "dropoff_location_id", cents("fare_amount")],
+        ["pickup_datetime", "dropoff_datetime", "pickup_location_id", "dropoff_location_id", fare,
+         F.when(fare.isNull(), F.col("fare_amount"))],
         ["taxi_type", "payment_type_name", "fare_amount"],
     )
 

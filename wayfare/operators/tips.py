@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wayfare.functions.numbers import safe_divide
+from wayfare.operators import ranks
 
 # The columns of the training table.
 NUMERIC = ("passenger_count", "trip_distance", "fare_amount", "tolls_amount")
@@ -42,15 +43,16 @@ def tip_features(trips: DataFrame) -> DataFrame:
 
 def feature_info(
     df: DataFrame, numeric: Sequence[str] = NUMERIC, categorical: Sequence[str] = CATEGORICAL,
-    median_accuracy: int = 10_000,
 ) -> DataFrame:
     """One row per feature.
 
     Numbers and categories are read in a pass each over their own columns:
     in one pass every row would be repeated for each column whose values are
-    counted.  The median is a value of the column whose rank is off by at most
-    one in ``median_accuracy`` of all rows; everything else is exact.
+    counted.  The median is the lower one and exact at any number of rows; it
+    is found here, by a few passes over the numbers.
     """
+    medians = ranks.quantile(df, {c: F.col(c) for c in numeric}) if numeric else {}
+
     def row(name: str, measures: dict[str, Column], categories: Column, nulls: Column) -> Column:
         measured = [m.cast("double").alias(n) for n, m in measures.items()]
         return F.struct(
@@ -64,7 +66,7 @@ def feature_info(
     numbers = df.agg(*[
         row(c, {
             "min": F.min(c), "max": F.max(c), "mean": F.avg(c),
-            "median": F.percentile_approx(c, 0.5, median_accuracy), "stddev": F.stddev_samp(c),
+            "median": F.lit(medians[c]), "stddev": F.stddev_samp(c),
         }, F.lit(None), nulls(c)).alias(c)
         for c in numeric
     ]).select(F.inline(F.array(*numeric)))
@@ -225,19 +227,19 @@ def predict(model: TipModel, df: DataFrame) -> DataFrame:
     return scored.select(*df.columns, _total(model, shares))
 
 
-def evaluate(
-    predicted: DataFrame, label: str = LABEL, prediction: str | None = None, median_accuracy: int = 10_000
-) -> DataFrame:
-    """One row of error measures over the rows whose label is known."""
+def evaluate(predicted: DataFrame, label: str = LABEL, prediction: str | None = None) -> DataFrame:
+    """One row of error measures over the rows whose label is known; the median error is exact."""
     y, p = F.col(label), F.col(prediction or f"predicted_{label}")
     error = y - p
     # log(1 + x) exists for values above -1 only; elsewhere the row is left out.
     log_error = F.when((y > -1) & (p > -1), F.log1p(y) - F.log1p(p))
-    return predicted.filter(y.isNotNull() & p.isNotNull()).agg(
+    known = predicted.filter(y.isNotNull() & p.isNotNull())
+    median = ranks.quantile(known, {"error": F.abs(error)})["error"]
+    return known.agg(
         F.avg(F.abs(error)).alias("mean_absolute_error"),
         F.avg(error * error).alias("mean_squared_error"),
         F.avg(log_error * log_error).alias("mean_squared_log_error"),
-        F.percentile_approx(F.abs(error), 0.5, median_accuracy).alias("median_absolute_error"),
+        F.lit(median).cast("double").alias("median_absolute_error"),
         (1 - safe_divide(F.avg(error * error), F.var_pop(y))).alias("r2_score"),
         (1 - safe_divide(F.var_pop(error), F.var_pop(y))).alias("explained_variance"),
     )

@@ -154,12 +154,26 @@ _MART_COLUMNS = ["season_year", "team_abbr", "team_name", "is_bubble_season", "h
 
 
 @query(f"""WITH {b.MART}, t AS (SELECT * FROM mart), r AS ({_sql_not_null(_MART_COLUMNS)}
-    UNION ALL {_sql_unique('team_abbr,season_year,team_name,is_bubble_season')}) {_STATUS}""")
+    UNION ALL {_sql_unique('team_abbr,season_year')}) {_STATUS}""")
 def mart_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mart's own set of checks, its grain among them."""
     return quality.quality_report(home_advantage_mart(spark, sf_dir), quality.home_advantage_checks())
 
 
+_RENAMED = f"""{b.STAGED_GAMES.replace('stg_games AS', 'first_names AS')},
+stg_games AS (SELECT * REPLACE (CASE WHEN team_abbr_home = 'NATION_3' AND home_win = 1 THEN 'a new name'
+    ELSE team_name_home END AS team_name_home) FROM first_names), {b.MART_OF_STAGED}"""
+
+
+@query(f"""WITH {_RENAMED}, t AS (SELECT * FROM mart), r AS ({_sql_not_null(_MART_COLUMNS)}
+    UNION ALL {_sql_unique('team_abbr,season_year')}) {_STATUS}""")
+def renamed_mart_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A team that goes by two names within a season has two rows there: the mart's claim fails."""
+    renamed = F.when((F.col("team_abbr_home") == "NATION_3") & (F.col("home_win") == 1), "a new name")
+    staged = b.staged_games(spark, sf_dir).withColumn("team_name_home", renamed.otherwise(F.col("team_name_home")))
+    return quality.quality_report(games.home_advantage_mart(staged), quality.home_advantage_checks())
+
+
 _GAME_COLUMNS = ["game_id", "game_date", "season_year", "team_abbr_home", "wl_home", "home_win", "is_bubble_season"]
 
 

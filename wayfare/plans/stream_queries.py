@@ -6,6 +6,7 @@ ends, so the SQL of those leaves out windows that end after the watermark.
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -191,3 +192,36 @@ def stream_dropped_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         _record_hours(spark, sf_dir), fresh_path(spark, "sink"), fresh_path(spark, "checkpoint"), drain=True))
     # One row of its own; the number was counted while the records were worked off.
     return spark.range(1).select(F.lit(counter.stop()).cast("long").alias("dropped"))
+
+
+class _Stopped(RuntimeError):
+    """Stands for an executor or driver that is lost between two batches."""
+
+
+@query(f"""WITH {b.RECORDS} SELECT hour AS window_start, user_id AS "PULocationID", COUNT(*) AS num_trips,
+    {sql_money_sum('value')} AS total_revenue FROM records
+    WHERE NOT lost AND hour + INTERVAL 1 HOUR <= {CLOSED} GROUP BY 1, 2""")
+def stream_restarted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stopped in the third of its batches, after that batch was written, and started again from the checkpoint.
+
+    State and offsets go on where the last complete batch ended; the batch
+    that was written but not complete comes again and replaces its own rows.
+    """
+    path, checkpoint = fresh_path(spark, "restarted"), fresh_path(spark, "checkpoint")
+    hours = _record_hours(spark, sf_dir)
+
+    def write(batch: DataFrame, number: int, stop_at: int | None) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+        if number == stop_at:
+            raise _Stopped(f"stopped in batch {number}")
+
+    first = streams.for_each_batch(hours, lambda df, n: write(df, n, 2), checkpoint, drain=True)
+    try:
+        streams.finish(first)
+    except StreamingQueryException as error:
+        if "stopped in batch 2" not in str(error):
+            raise
+    else:
+        raise AssertionError("the first run was to be stopped")
+    streams.finish(streams.for_each_batch(hours, lambda df, n: write(df, n, None), checkpoint, drain=True))
+    return _plain_time(spark.read.schema(hours.schema).parquet(f"{path}/batch=*"))

@@ -289,6 +289,28 @@ def least_frequent_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trips.least_frequent_zone(b.trips(spark, sf_dir), b.zones(spark, sf_dir))
 
 
+# Amounts that are not finite, and some far beyond any money; all sums of doubles here are exact, so plain ones serve.
+_EDGE_AMOUNT = """CASE WHEN l_suppkey % 7 = 1 AND l_linenumber = 1 THEN CAST('Infinity' AS DOUBLE)
+    WHEN l_suppkey % 7 = 2 AND l_linenumber <= 2 THEN CAST('Infinity' AS DOUBLE) * (3 - 2 * l_linenumber)
+    WHEN l_suppkey % 7 = 3 AND l_linenumber = 1 THEN CAST('NaN' AS DOUBLE)
+    WHEN l_suppkey % 7 = 4 THEN l_quantity * CAST(1125899906842624 AS DOUBLE) * CAST(1125899906842624 AS DOUBLE)
+    WHEN l_suppkey % 7 = 5 THEN l_quantity * CAST(1125899906842624 AS DOUBLE) * 4
+    ELSE l_quantity / 4 END"""
+
+
+@query(f"""SELECT l_suppkey % 7 AS kind, SUM({_EDGE_AMOUNT}) AS total, COUNT(*) AS n FROM lineitem GROUP BY 1""")
+def money_sum_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sums with infinite, undefined and very large amounts, as a sum of doubles has them."""
+    amounts = b.table(spark, sf_dir, "lineitem").select((F.col("l_suppkey") % 7).alias("kind"), F.expr(_EDGE_AMOUNT).alias("amount"))
+    return amounts.groupBy("kind").agg(numbers.money_sum("amount").alias("total"), F.count(F.lit(1)).alias("n"))
+
+
+@query(f"SELECT LEAST(COUNT(*), 100) AS n FROM {b.TRIPS}")
+def sample_size(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many rows a look at a table shows."""
+    return trips.count_rows(topk.sample_rows(b.trips(spark, sf_dir), 100), name="n")
+
+
 # The monthly table and reads of it
 
 _MONTHLY = f"""SELECT "PULocationID" AS revenue_zone, date_trunc('month', pickup_datetime)::TIMESTAMP AS revenue_month,

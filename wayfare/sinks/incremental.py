@@ -1,15 +1,15 @@
 """Changes to a partitioned Parquet table: only touched partitions are rewritten.
 
-Parquet has no transactions, so a change is first written whole beside the
-table and then moved in, partition by partition.  A run that dies while moving
-leaves the staged folder; the next change to the table finishes that move
-before anything else, so no row is lost.  One writer at a time per table.
+A change writes the touched partitions in their new state into a folder of its
+own and then swaps the list of live folders (``manifest.py``).  No file moves,
+a reader sees the table before the change or after it, and a run that dies in
+between has changed nothing.  One writer at a time per table.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Collection, Sequence
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,53 +17,26 @@ from pyspark.sql import functions as F
 
 from wayfare.functions.times import Moment, in_interval, to_moment
 from wayfare.operators import changes
+from wayfare.sinks import manifest
 from wayfare.sinks.tables import write_partitioned
 from wayfare.sources.storage import Storage
 
-# Folders beside the partitions; readers skip names that begin with "_".
-STAGED = "_staged"  # partitions in their new state
-EMPTIED = "_emptied"  # one empty folder per partition that loses all its rows
-READY = "_ready"  # made last: everything above is complete
-INCOMING = "_incoming"  # new rows of an upsert, written once and read twice
+INCOMING = ".incoming"  # new rows of an upsert, written once and read twice
 
 
-def _partition_folders(storage: Storage, path: str) -> set[str]:
-    return {f for f in storage.folders(path) if "=" in f}
+def read_table(spark: SparkSession, path: str, version: int | None = None) -> DataFrame | None:
+    """The table as it is now or was in a version, or None before its first write."""
+    return manifest.read(spark, path, manifest.version(spark, path, version))
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame | None:
-    """The table, or None before its first write."""
-    return spark.read.parquet(path) if _partition_folders(Storage(spark), path) else None
-
-
-def finish(spark: SparkSession, path: str) -> None:
-    """Move complete staged partitions into the table, drop incomplete ones.
-
-    Every step may be repeated: a partition moved in is no longer staged, and
-    an emptied one is never among those staged.
-    """
-    storage = Storage(spark)
-    if storage.exists(f"{path}/{READY}"):
-        for folder in _partition_folders(storage, f"{path}/{EMPTIED}"):
-            storage.delete(f"{path}/{folder}")
-        for folder in _partition_folders(storage, f"{path}/{STAGED}"):
-            storage.delete(f"{path}/{folder}")
-            storage.rename(f"{path}/{STAGED}/{folder}", f"{path}/{folder}")
-    for leftover in (READY, STAGED, EMPTIED, INCOMING):
-        storage.delete(f"{path}/{leftover}")
-    spark.catalog.refreshByPath(path)
-
-
-def _stage(
-    df: DataFrame, path: str, partition: str, cluster: Sequence[str], replaced: set[str] = frozenset()
+def _swap(
+    spark: SparkSession, df: DataFrame, path: str, before: manifest.Version, partition: str, cluster: Sequence[str],
+    replaced: Collection[str],
 ) -> None:
-    """Write partitions in their new state beside the table; those of
-    ``replaced`` that got no row are to be emptied."""
-    storage = Storage(df.sparkSession)
-    write_partitioned(df, f"{path}/{STAGED}", partition, cluster)
-    for folder in replaced - _partition_folders(storage, f"{path}/{STAGED}"):
-        storage.make(f"{path}/{EMPTIED}/{folder}")
-    storage.make(f"{path}/{READY}")
+    """Write partitions in their new state and make them the table's; those of ``replaced`` that got no row go."""
+    change = manifest.new_change(path)
+    write_partitioned(df, change, partition, cluster)
+    manifest.commit(spark, path, before, df.schema, change, replaced)
 
 
 def replace_interval(
@@ -78,30 +51,19 @@ def replace_interval(
     that stay.
     """
     spark = new.sparkSession
-    finish(spark, path)
+    before = manifest.version(spark, path)
     partition = partition or f"{key}_date"
     start, end = to_moment(start), to_moment(end)
     if end <= start:
         return
     result = new.filter(in_interval(key, start, end)).withColumn(partition, F.to_date(key))
-    target = read_table(spark, path)
     first, last = start.date(), (end - dt.timedelta(microseconds=1)).date()
-    cut = [d for d, m in ((first, start), (last, end)) if m.time() != dt.time()]
-    if cut and target is not None:
-        on_edge = target.filter(F.col(partition).isin(cut))
+    cut = {f"{partition}={d}" for d, m in ((first, start), (last, end)) if m.time() != dt.time()}
+    on_edge = manifest.read(spark, path, before, folders=cut)
+    if on_edge is not None:
         result = changes.outside_interval(on_edge, key, start, end).unionByName(result)
     days = {f"{partition}={first + dt.timedelta(days=i)}" for i in range((last - first).days + 1)}
-    _stage(result, path, partition, cluster, days & _partition_folders(Storage(spark), path))
-    finish(spark, path)
-
-
-def _in_partitions(df: DataFrame, partition: str, values: Sequence) -> DataFrame:
-    """Rows of the named partitions; the others are not even listed."""
-    known = [v for v in values if v is not None]
-    kept = F.col(partition).isin(known) if known else F.lit(False)
-    if len(known) < len(values):
-        kept = kept | F.col(partition).isNull()
-    return df.filter(kept)
+    _swap(spark, result, path, before, partition, cluster, days)
 
 
 def upsert(
@@ -124,33 +86,38 @@ def delete_insert(
     _rewrite(path, new, keys, partition, cluster, lambda old, rows: changes.delete_insert(old, rows, keys))
 
 
-def _rewrite(path: str, new: DataFrame, keys: Sequence[str], partition: str, cluster: Sequence[str], change) -> None:
+def _rewrite(
+    path: str, new: DataFrame, keys: Sequence[str], partition: str, cluster: Sequence[str],
+    change: Callable[[DataFrame, DataFrame], DataFrame],
+) -> None:
     spark = new.sparkSession
-    finish(spark, path)
-    target = read_table(spark, path)
+    before = manifest.version(spark, path)
+    target = manifest.read(spark, path, before)
     if target is not None and set(target.columns) - set(new.columns):
         raise ValueError(f"new rows lack {sorted(set(target.columns) - set(new.columns))}")
     # Written once, so an expensive or unrepeatable input is computed once.
-    new.write.mode("overwrite").parquet(f"{path}/{INCOMING}")
-    rows = spark.read.schema(new.schema).parquet(f"{path}/{INCOMING}")
+    incoming = f"{path}/{INCOMING}"
+    new.write.mode("overwrite").parquet(incoming)
+    rows = spark.read.schema(new.schema).parquet(incoming)
     places = rows.select(partition)
-    if target is not None:
-        typed = spark.read.schema(new.schema).parquet(path).select(*new.columns)
-        if partition not in keys:
-            places = places.unionByName(changes.with_keys_of(typed, rows, keys).select(partition))
+    if target is not None and partition not in keys:
+        typed = manifest.read(spark, path, before, schema=new.schema).select(*new.columns)
+        places = places.unionByName(changes.with_keys_of(typed, rows, keys).select(partition))
     # No more values than the table has folders: what a listing would return.
     touched = [r[0] for r in places.distinct().collect()]
     if touched:
-        old = rows.filter(F.lit(False)) if target is None else _in_partitions(typed, partition, touched)
-        _stage(change(old, rows), path, partition, cluster, _folders_of(Storage(spark), path, touched))
-    finish(spark, path)
+        replaced = _folders_of(before, touched)
+        old = manifest.read(spark, path, before, schema=new.schema, folders=replaced)
+        old = rows.filter(F.lit(False)) if old is None else old.select(*new.columns)
+        _swap(spark, change(old, rows), path, before, partition, cluster, replaced)
+    Storage(spark).delete(incoming)
 
 
-def _folders_of(storage: Storage, path: str, values: Sequence) -> set[str]:
+def _folders_of(version: manifest.Version, values: Sequence) -> set[str]:
     """The table's folders of some partition values."""
     names = {"__HIVE_DEFAULT_PARTITION__" if v is None or v == "" else str(v).lower() if isinstance(v, bool) else str(v)
              for v in values}
-    return {f for f in _partition_folders(storage, path) if unquote(f.split("=", 1)[1]) in names}
+    return {f for f in version.live if unquote(f.split("=", 1)[1]) in names}
 
 
 def load(
@@ -167,6 +134,5 @@ def load(
 def replace_all(path: str, new: DataFrame, partition: str, cluster: Sequence[str] = ()) -> None:
     """The table becomes ``new``; the old rows stay until all new ones are written."""
     spark = new.sparkSession
-    finish(spark, path)
-    _stage(new, path, partition, cluster, _partition_folders(Storage(spark), path))
-    finish(spark, path)
+    before = manifest.version(spark, path)
+    _swap(spark, new, path, before, partition, cluster, before.live)

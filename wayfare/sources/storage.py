@@ -27,6 +27,31 @@ class Storage:
             return []
         return sorted(s.getPath().getName() for s in fs.listStatus(handle) if s.isDirectory())
 
+    def files(self, path: str) -> list[str]:
+        """Names of the files directly below a path; none if it is absent."""
+        fs, handle = self._at(path)
+        if not fs.exists(handle):
+            return []
+        return sorted(s.getPath().getName() for s in fs.listStatus(handle) if s.isFile())
+
+    def read(self, path: str) -> str:
+        """A small text file."""
+        fs, handle = self._at(path)
+        stream = fs.open(handle)
+        try:
+            return self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
+    def write(self, path: str, text: str) -> None:
+        """A small text file that isn't there yet."""
+        fs, handle = self._at(path)
+        stream = fs.create(handle, False)
+        try:
+            stream.write(bytearray(text.encode()))
+        finally:
+            stream.close()
+
     def make(self, path: str) -> None:
         fs, handle = self._at(path)
         fs.mkdirs(handle)
@@ -38,6 +63,8 @@ class Storage:
     def rename(self, source: str, target: str) -> None:
         fs, handle = self._at(source)
         destination = self._jvm.org.apache.hadoop.fs.Path(target)
+        if fs.exists(destination):
+            raise OSError(f"{target} is there already")
         fs.mkdirs(destination.getParent())
         if not fs.rename(handle, destination):
             raise OSError(f"cannot rename {source} to {target}")

@@ -84,31 +84,45 @@ def sessions(events: DataFrame, gap: str, keys: Sequence[str], *, time: str = EV
     return _table_sessions(events, gap, keys, time)
 
 
+#: Slots of the gap's length that one task puts together to sessions, for one key.
+SLOTS_PER_RANGE = 4096
+
+
 def _table_sessions(events: DataFrame, gap: str, keys: Sequence[str], time: str) -> DataFrame:
-    """Sessions of a table, safe where one key holds most events.
+    """Sessions of a table, safe where one key holds most events and lasts for years.
 
     Events within one slot of the length of the gap are always of one session,
     so they are first reduced to count, first and last time per key and slot,
-    mostly before the shuffle.  The window that joins slots then sorts at most
-    (time span / gap) rows per key, however many events there are.
+    mostly before the shuffle.  Slots are joined to sessions within ranges of
+    ``SLOTS_PER_RANGE`` slots, each range by itself.  Only the first and last
+    session of a range can go on beyond it: these, two rows a range, are joined
+    once more along each key.
     """
     pause = F.expr(f"INTERVAL {gap}")
+    width = F.unix_micros(F.timestamp_seconds(F.lit(0)) + pause) * SLOTS_PER_RANGE
     slots = events.groupBy(F.window(time, gap).alias("_slot"), *keys).agg(
         F.count(F.lit(1)).alias("_n"), F.min(time).alias("_first"), F.max(time).alias("_last")
     )
+    slots = slots.withColumn("_range", F.floor(F.unix_micros(F.col("_first").cast("timestamp")) / width))
+    within = Window.partitionBy(*keys, "_range")
+    parts = _joined(slots, pause, [*keys, "_range"]).withColumn(
+        "_border", (F.min("_first").over(within) == F.col("_first")) | (F.max("_last").over(within) == F.col("_last")))
+    whole = parts.filter("NOT _border").select(*keys, "_first", "_last", "_n")
+    stitched = _joined(parts.filter("_border"), pause, keys).select(*keys, "_first", "_last", "_n")
+    return whole.unionByName(stitched).select(
+        F.col("_first").alias("window_start"), (F.col("_last") + pause).alias("window_end"), *keys,
+        F.col("_n").alias("num_trips"),
+    )
+
+
+def _joined(parts: DataFrame, pause: Column, keys: Sequence[str]) -> DataFrame:
+    """Stretches of one key joined where no more than the pause lies between them."""
     in_order = Window.partitionBy(*keys).orderBy("_first")
     before = F.lag("_last").over(in_order)
     starts = F.when(before.isNull() | (F.col("_first") > before + pause), 1).otherwise(0)
-    numbered = slots.withColumn("_starts", starts).withColumn("_session", F.sum("_starts").over(in_order))
-    return (
-        numbered.groupBy(*keys, "_session")
-        .agg(
-            F.min("_first").alias("window_start"),
-            (F.max("_last") + pause).alias("window_end"),
-            F.sum("_n").alias("num_trips"),
-        )
-        .select("window_start", "window_end", *keys, "num_trips")
-    )
+    numbered = parts.withColumn("_starts", starts).withColumn("_session", F.sum("_starts").over(in_order))
+    return numbered.groupBy(*keys, "_session").agg(
+        F.min("_first").alias("_first"), F.max("_last").alias("_last"), F.sum("_n").alias("_n"))
 
 
 def far_trips(events: DataFrame, distance: str = "trip_distance", above: float = 5.0) -> DataFrame:
