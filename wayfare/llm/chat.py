@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 
 TURN, END = "<|turn|>", "<|end|>"
@@ -57,6 +58,10 @@ def unescape(text: str) -> str:
     return _ESCAPED.sub(r"\1", text)
 
 
+#: Text that is rendered and encoded together, and what a turn counts besides its text.
+PIECE_BYTES, TURN_BYTES = 1 << 20, 64
+
+
 def render(turns: list[tuple[str, str]]) -> tuple[str, list[tuple[int, int]]]:
     """The formatted conversation, and where the learned texts are in it."""
     parts, spans, at = [], [], 0
@@ -135,8 +140,7 @@ def format_conversations(
         encoder = Tokenizer.from_str(content)
         encoder.encode_special_tokens = True
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            for part in _pieces(batch):
                 rendered = [render([(t["role"], t["text"]) for t in turns]) for turns in part.column("_turns").to_pylist()]
                 encoded = encoder.encode_batch([x for x, _ in rendered], add_special_tokens=False)
                 found = []
@@ -153,6 +157,21 @@ def format_conversations(
     return whole.mapInArrow(run, schema)
 
 
+def _pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Rows in pieces of so many characters and turns at most; one longer conversation is a piece of its own."""
+    turns = batch.column("_turns")
+    sizes = [pc.fill_null(pc.binary_length(turns.flatten().field(c)), 0).to_numpy(zero_copy_only=False) for c in ("role", "text")]
+    total = np.concatenate(([0], np.cumsum(sizes[0] + sizes[1] + TURN_BYTES)))
+    offsets = turns.offsets.to_numpy()
+    ends = total[offsets[1:] - offsets[0]]
+    at = 0
+    while at < batch.num_rows:
+        before = ends[at - 1] if at else 0
+        to = max(at + 1, int(np.searchsorted(ends, before + PIECE_BYTES, "right")))
+        yield batch.slice(at, to - at)
+        at = to
+
+
 _PARTS = pa.struct([
     pa.field("formatted", pa.string(), False),
     pa.field("token_ids", pa.list_(pa.field("element", pa.int32(), False)), False),

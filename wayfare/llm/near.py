@@ -156,7 +156,7 @@ def _opens(prefix: np.ndarray) -> np.ndarray:
 def _regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Head and class for the candidates of each region of a sorted partition."""
     held: pa.RecordBatch | None = None
-    begun = False
+    opening = b""  # prefix of the partition's first region, which a border may cut
     dense = large = b""  # prefixes of held rows whose regions are known to be so
     for rows, last in _with_last(batches):
         if held is not None:
@@ -171,9 +171,9 @@ def _regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         is_dense = np.bincount(of_shallow) > SPARSE
         is_dense[0] |= shallow[0].tobytes() == dense
         whole = np.bincount(of_deep) > REGION
-        whole[0] |= not begun or deep[0].tobytes() == large
+        opening = opening or deep[0].tobytes()
+        whole[0] |= deep[0].tobytes() in (opening, large)
         whole[-1] |= last
-        begun = True
         # What a following batch may go on with waits for it.
         cut = n if last else int(np.flatnonzero(opens_deep if is_dense[-1] else opens_shallow)[-1])
         dense = shallow[-1].tobytes() if is_dense[-1] else b""
