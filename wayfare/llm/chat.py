@@ -26,6 +26,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from wayfare.llm import flat
+
 TURN, END = "<|turn|>", "<|end|>"
 
 #: Strings that a text must not smuggle in: those of this template and of common models.  Fixed values.
@@ -59,7 +61,7 @@ def unescape(text: str) -> str:
 
 
 #: Text that is rendered and encoded together, and what a turn counts besides its text.
-PIECE_BYTES, TURN_BYTES = 1 << 20, 64
+PIECE_BYTES, TURN_BYTES = 1 << 16, 64
 
 
 def render(turns: list[tuple[str, str]]) -> tuple[str, list[tuple[int, int]]]:
@@ -143,20 +145,29 @@ def format_conversations(
             for part in _pieces(batch):
                 rendered = [render([(t["role"], t["text"]) for t in turns]) for turns in part.column("_turns").to_pylist()]
                 encoded = encoder.encode_batch([x for x, _ in rendered], add_special_tokens=False)
-                found = []
-                for (formatted, spans), tokens in zip(rendered, encoded):
+                ids, masks, kept = [], [], []
+                for (_, spans), tokens in zip(rendered, encoded):
                     offsets = np.array(tokens.offsets, np.int64).reshape(-1, 2)
                     learned, parts = meet(np.array(spans, np.int64).reshape(-1, 2), offsets)
-                    found.append({
-                        "formatted": formatted, "token_ids": tokens.ids, "token_learned": learned.tolist(),
-                        "learned_spans": _joined(parts).ravel().tolist(),
-                    })
-                yield pa.record_batch([part.column("_key"), pa.array(found, _PARTS)], names=[key, out])
+                    ids.append(np.array(tokens.ids, np.int32))
+                    masks.append(learned)
+                    kept.append(_joined(parts).ravel().astype(np.int32))
+                columns = [pa.array([x for x, _ in rendered], pa.string()), *map(_lists, (ids, masks, kept))]
+                yield pa.record_batch(
+                    [part.column("_key"), pa.StructArray.from_arrays(columns, fields=list(_PARTS))], names=[key, out])
 
     schema = T.StructType([T.StructField(key, conversations.schema[key].dataType), T.StructField(out, PARTS, False)])
     return whole.mapInArrow(run, schema)
 
 
+def _lists(rows: list[np.ndarray]) -> pa.Array:
+    """One list for each row of numbers."""
+    offsets = np.concatenate(([0], np.cumsum([len(r) for r in rows]))).astype(np.int32)
+    values = pa.array(np.concatenate(rows))
+    kind = pa.list_(pa.field("element", values.type, False))
+    return pa.ListArray.from_arrays(pa.array(offsets), values, type=kind)
+
+
 def _pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     """Rows in pieces of so many characters and turns at most; one longer conversation is a piece of its own."""
     turns = batch.column("_turns")
@@ -197,17 +208,24 @@ def read_back(formatted: DataFrame, key: str = "conv_id", chat: str = "chat") ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for one in batch.column(chat).to_pylist():
-                turns = parse(one["formatted"])
-                spans = one["learned_spans"]
-                loss = "".join(unescape(one["formatted"][a:b]) for a, b in zip(spans[::2], spans[1::2]))
-                out.append((
-                    len(turns), digest("".join(f"{role}\n{text}\n" for role, text in turns)), len(loss), digest(loss),
-                    len(one["formatted"]), len(one["token_ids"]), sum(one["token_learned"]),
-                ))
-            columns = list(zip(*out)) if out else [[]] * 7
-            types = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64()]
-            yield pa.record_batch([batch.column(key), *(pa.array(c, t) for c, t in zip(columns, types))], names=schema.names)
+            parts = batch.column(chat)
+            whole = pa.record_batch(
+                [batch.column(key), *(parts.field(c) for c in ("formatted", "learned_spans", "token_ids", "token_learned"))],
+                names=["key", "formatted", "spans", "ids", "learned"])
+            for rows in flat.chunks(iter([whole]), "formatted", PIECE_BYTES):
+                out = []
+                for one, spans in zip(rows.column("formatted").to_pylist(), rows.column("spans").to_pylist()):
+                    turns = parse(one)
+                    loss = "".join(unescape(one[a:b]) for a, b in zip(spans[::2], spans[1::2]))
+                    out.append((len(turns), digest("".join(f"{role}\n{text}\n" for role, text in turns)), len(loss),
+                                digest(loss), len(one)))
+                learned = rows.column("learned")
+                met = np.concatenate(([0], np.cumsum(learned.flatten().to_numpy(zero_copy_only=False))))
+                at = learned.offsets.to_numpy()
+                types = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
+                yield pa.record_batch(
+                    [rows.column("key"), *(pa.array(c, t) for c, t in zip(zip(*out), types)),
+                     pc.list_value_length(rows.column("ids")).cast(pa.int64()),
+                     pa.array(np.diff(met[at - at[0]]).astype(np.int64))], names=schema.names)
 
     return formatted.mapInArrow(run, schema)
