@@ -265,6 +265,9 @@ def ride_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 #: Days that each file of the record stream covers, which records come late, and by how many files.
 DAYS_PER_FILE, LATE_EVERY, LATE_FILES, FILES = 8, 50, 2, 4
 
+#: Parts of each file of the record stream, which arrive together: as many tasks write and read them.
+PARTS = 4
+
 
 def record_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rides as JSON texts in files that arrive one after another, some records two files late."""
@@ -278,10 +281,10 @@ def record_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     path = fresh_path(spark, "records")
     for number in range(FILES):
-        # one file and so one batch each; their times of writing give the order
+        # their times of writing give the order; the parts of one make one batch
         arriving = records.filter(F.col("file") == number).drop("file")
-        to_records(arriving).coalesce(1).write.mode("append").text(path)
-    parsed = record_files(spark, path, RECORD, files_per_batch=1)
+        to_records(arriving).repartition(PARTS).write.mode("append").text(path)
+    parsed = record_files(spark, path, RECORD, files_per_batch=PARTS)
     return good_records(parsed).withColumn("pickup_datetime", F.timestamp_micros("pickup_micros"))
 
 
