@@ -1,8 +1,10 @@
+import random
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from wayfare.operators import ranks, tips
+from wayfare.operators import ranks, tips, wide
 
 KIND = "id long, x double, y double, c string, tip_amount double"
 
@@ -147,3 +149,45 @@ def test_median_of_two_million_rows(spark):
     assert ranks.quantile(df, {"x": F.col("x")}) == {"x": wanted}
     info = tips.feature_info(df, ["x"], [])
     assert info.first()["median"] == wanted
+
+
+def _as_a_dense_matrix(rows, numeric, categorical, label):
+    """Predictions of ordinary least squares, by numpy."""
+    known = [r for r in rows if r[label] is not None]
+    means = {c: np.mean([r[c] for r in known if r[c] is not None]) for c in numeric}
+    values = [(c, v) for c in categorical for v in sorted({r[c] for r in known if r[c] is not None})]
+
+    def line(row):
+        return [1.0, *[means[c] if row[c] is None else row[c] for c in numeric], *[float(row[c] == v) for c, v in values]]
+
+    weights = np.linalg.lstsq(np.array([line(r) for r in known]), np.array([r[label] for r in known]), rcond=None)[0]
+    return {r["id"]: float(np.dot(line(r), weights)) for r in rows}
+
+
+def test_wide_weights_agree_with_a_dense_solution(spark):
+    draw = random.Random(5)
+    rows = [{
+        "id": i, "far": None if draw.random() < 0.05 else draw.gauss(0, 1), "fare": draw.gauss(50, 7),
+        "zone": None if draw.random() < 0.1 else f"z{min(draw.randrange(60), 20)}", "kind": str(draw.randrange(4)),
+        "tip": None if draw.random() < 0.1 else draw.gauss(2, 1),
+    } for i in range(400)]
+    df = spark.createDataFrame(rows, "id int, far double, fare double, zone string, kind string, tip double")
+    model = wide.train(df, ["far", "fare"], ["zone", "kind"], label="tip")
+    got = {r.id: r.predicted_tip for r in wide.predict(model, df).collect()}
+    want = _as_a_dense_matrix(rows, ["far", "fare"], ["zone", "kind"], "tip")
+    assert got == pytest.approx(want, abs=1e-10)
+    assert model.weights.count() == 21 + 4
+
+
+def test_wide_model_without_categories_numbers_or_spread(spark):
+    df = spark.createDataFrame([(1.0, "a", 3.0), (2.0, "b", 5.0), (4.0, "a", 9.0)], "x double, c string, y double")
+    line = wide.train(df, ["x"], [], label="y")
+    assert (line.intercept + line.numbers["x"] * (10 - line.means["x"])) == pytest.approx(21)
+    groups = wide.train(df, [], ["c"], label="y")
+    assert [r.predicted_y for r in wide.predict(groups, df).sort("x").collect()] == pytest.approx([6, 5, 6])
+    same = wide.train(df.withColumn("y", F.lit(4.0)), ["x"], ["c"], label="y")
+    assert [r.predicted_y for r in wide.predict(same, df).collect()] == pytest.approx([4, 4, 4])
+    unknown = spark.createDataFrame([(None, "new")], "x double, c string")
+    assert wide.predict(same, unknown).first().predicted_y == pytest.approx(4)
+    with pytest.raises(ValueError):
+        wide.train(df.filter("false"), ["x"], ["c"], label="y")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfare.operators import tips
+from wayfare.operators import tips, wide
 from wayfare.plans import bindings as b
 from wayfare.plans.registry import query
 
@@ -135,3 +135,70 @@ def tip_tuned_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _features(spark, sf_dir)
     model, _ = tips.tune(rows)
     return tips.predict(model, rows)
+
+
+# Category weights in a table. With one category and one number SQL has the closed form: the slope within the values,
+# and what is left of each value's mean.
+
+
+@query("""WITH g AS (SELECT l_partkey, AVG(l_quantity) AS q, AVG(l_extendedprice) AS p FROM lineitem GROUP BY 1),
+    s AS (SELECT SUM((l_quantity - q) * (l_extendedprice - p)) / SUM((l_quantity - q) ** 2) AS slope
+      FROM lineitem JOIN g USING (l_partkey))
+    SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, ROUND(p + slope * (l_quantity - q), 3)
+      AS predicted_l_extendedprice FROM lineitem JOIN g USING (l_partkey), s""")
+def wide_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Price from quantity and part: as many weights as there are parts, none of them on the driver."""
+    rows = b.table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice")
+    model = wide.train(rows, ["l_quantity"], ["l_partkey"], label="l_extendedprice")
+    return wide.predict(model, rows.drop("l_extendedprice")).withColumn(model.prediction, F.round(model.prediction, 3))
+
+
+# The normal equations of all features in SQL: sums of products, then elimination one feature a step. Each category
+# leaves out its first value, so that the equations have one solution; Spark's predictions don't depend on that choice.
+
+_ALL = f"""f AS (SELECT row_number() OVER () AS id, * FROM ({_FEATURES})),
+  x AS (SELECT id, ' one' AS name, 1.0::DOUBLE AS x FROM f
+    {" ".join(f"UNION ALL SELECT id, ' {c}', COALESCE({c}, AVG({c}) OVER ()) FROM f" for c in tips.NUMERIC)}
+    {" ".join(f"""UNION ALL SELECT id, '{c}=' || "{c}", 1.0 FROM f
+      WHERE "{c}" > (SELECT MIN("{c}") FROM f)""" for c in tips.CATEGORICAL)}),
+  names AS (SELECT name, row_number() OVER (ORDER BY name) AS i FROM (SELECT DISTINCT name FROM x)),
+  entries AS (SELECT id, i, x FROM x JOIN names USING (name)),
+  products AS (SELECT a.i AS i, c.i AS j, SUM(a.x * c.x) AS v FROM entries a JOIN entries c USING (id) GROUP BY 1, 2
+    UNION ALL SELECT i, (SELECT COUNT(*) + 1 FROM names), SUM(x * tip_amount) FROM entries JOIN f USING (id) GROUP BY 1),
+  grid AS (SELECT r.i AS i, c.j AS j, COALESCE(v, 0.0) AS v FROM names r
+    CROSS JOIN (SELECT unnest(range(1, (SELECT COUNT(*) + 2 FROM names))) AS j) c LEFT JOIN products USING (i, j)),
+  grids AS (SELECT 0::BIGINT AS k, list(line ORDER BY i) AS m FROM (SELECT i, list(v ORDER BY j) AS line FROM grid GROUP BY i)
+    UNION ALL SELECT k + 1, list_transform(m, lambda line, i: CASE
+      WHEN i = k + 1 THEN list_transform(line, lambda v: v / m[k + 1][k + 1])
+      ELSE list_transform(line, lambda v, j: v - line[k + 1] * m[k + 1][j] / m[k + 1][k + 1]) END)
+    FROM grids WHERE k < len(m)),
+  solved AS (SELECT unnest(list_transform(m, lambda line: line[-1])) AS w, generate_subscripts(m, 1) AS i
+    FROM grids WHERE k = len(m)),
+  p AS (SELECT id, SUM(x * w) AS p FROM entries JOIN solved USING (i) GROUP BY id)"""
+
+
+def _wide(spark: SparkSession, sf_dir: str) -> tuple[wide.WideModel, DataFrame]:
+    """All features, trained on all rows."""
+    rows = _features(spark, sf_dir)
+    return wide.train(rows), rows
+
+
+@query(f"""WITH RECURSIVE {_ALL} SELECT passenger_count, trip_distance, "PULocationID", "DOLocationID", payment_type,
+    fare_amount, tolls_amount, tip_amount, ROUND(p, 6) AS predicted_tip_amount FROM f JOIN p USING (id)""")
+def wide_tip_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model, rows = _wide(spark, sf_dir)
+    return wide.predict(model, rows).withColumn(model.prediction, F.round(model.prediction, 6))
+
+
+@query(f"""WITH RECURSIVE {_ALL}, e AS (SELECT tip_amount AS y, p FROM f JOIN p USING (id))
+    SELECT ROUND(AVG(abs(y - p)), 6) AS mean_absolute_error, ROUND(AVG((y - p) ** 2), 9) AS mean_squared_error,
+      ROUND(AVG((ln(1 + y) - ln(1 + p)) ** 2) FILTER (WHERE y > -1 AND p > -1), 9) AS mean_squared_log_error,
+      ROUND(quantile_disc(abs(y - p), 0.5), 6) AS median_absolute_error,
+      ROUND(1 - AVG((y - p) ** 2) / var_pop(y), 6) AS r2_score,
+      ROUND(1 - var_pop(y - p) / var_pop(y), 6) AS explained_variance FROM e""")
+def wide_tip_evaluate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Errors of the all-feature model over every row with a known label."""
+    model, rows = _wide(spark, sf_dir)
+    measured = tips.evaluate(wide.predict(model, rows))
+    return measured.select(*[F.round(c, 9 if "squared" in c else 6).alias(c) for c in measured.columns])
