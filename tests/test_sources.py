@@ -134,3 +134,45 @@ def test_hire_vehicle_flow(spark, tmp_path):
     assert got == [("B1", 7, D(2019, 1, 5, 10)), ("B3", None, D(2019, 2, 1))]
     sample = flows.run_fhv(spark, sources, str(tmp_path / "warehouse"), ("2019-01-01", "2019-02-01"))
     assert sample.count() == 1
+
+
+def _footer_jobs(spark, read):
+    """What ``read`` returns and how many Spark jobs it took."""
+    group = f"footers-{id(read)}"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        found = read()
+        return found, len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_footers_of_any_number_of_files_are_one_job(spark, tmp_path):
+    for i in range(12):
+        spark.range(1).select("id", F.lit(i).alias(f"only_{i}")).write.parquet(str(tmp_path / f"m{i}"))
+    paths = [str(tmp_path / f"m{i}") for i in range(12)]
+    runs, jobs = _footer_jobs(spark, lambda: files.merged_runs(spark, paths))
+    assert (len(runs), jobs) == (1, 1)
+    assert sorted(runs[0].columns) == sorted(["id", *[f"only_{i}" for i in range(12)]])
+
+
+def test_files_that_do_not_merge_stay_apart(spark, tmp_path):
+    for i, kind in enumerate(["int", "int", "string", "double", "double"]):
+        spark.range(2).select(F.col("id").cast(kind).alias("n"), F.lit(i).alias("file")).write.parquet(str(tmp_path / f"m{i}"))
+    paths = [str(tmp_path / f"m{i}") for i in range(5)]
+    got = files.parquet_merged(spark, paths, ddl("n long"))
+    assert sorted((r.file, r.n) for r in got.collect()) == [(i, n) for i in range(5) for n in (0, 1)]
+    (tmp_path / "m2" / "part-0.parquet").write_text("no Parquet")
+    with pytest.raises(Exception, match="m2"):
+        files.parquet_merged(spark, paths, ddl("n long"))
+
+
+def test_each_file_has_its_own_name_for_a_column(spark, tmp_path):
+    columns = [("lpep_pickup_datetime",), ("pickup_datetime",), ("tpep_pickup_datetime", "lpep_pickup_datetime")]
+    for month, names in enumerate(columns, 1):
+        df = spark.createDataFrame([tuple(f"2024-0{month}-0{k + 1} 00:00:00" if k or month < 3 else None
+                                          for k in range(len(names)))], ", ".join(f"{n} string" for n in names))
+        df.write.parquet(str(tmp_path / f"green_tripdata_2024-0{month}.parquet"))
+    got = months.read_months(spark, str(tmp_path), "green", "2024-01-01", "2024-04-01", ddl("pickup_datetime timestamp"))
+    # The third file's first name counts, though it is NULL and the other name has a time.
+    assert {str(r[0]) for r in got.select("pickup_datetime").collect()} == {"2024-01-01 00:00:00", "2024-02-01 00:00:00", "None"}

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from wayfare import schemas
 from wayfare.sinks import incremental
 from wayfare.sources import streams as sources
-from wayfare.streaming import queries, windows
+from wayfare.streaming import late, queries, windows
 
 D = dt.datetime
 BASE = D(2025, 10, 1)
@@ -214,3 +214,25 @@ def test_sessions_across_ranges(spark, monkeypatch, slots):
     events = spark.createDataFrame(rows, "k string, t timestamp_ntz")
     got = [tuple(r) for r in windows.sessions(events, "10 seconds", ["k"], time="t").collect()]
     assert sorted(got, key=str) == sorted(wanted, key=str)
+
+
+def test_late_records_are_kept(spark, feed, tmp_path):
+    feed.add(ride(at(10)), ride(at(61)))
+    feed.add(ride(at(60, 20)))
+    feed.add(ride(at(59), zone=7), ride(at(59), zone=7), ride(at(60, 30)))  # its hour ended before 60:55
+    events = windows.with_event_time(rides(feed), millis="tpep_pickup_datetime")
+    path, checkpoint = str(tmp_path / "late"), str(tmp_path / "checkpoint")
+    assert late.read_late(spark, path, events).count() == 0
+    queries.finish(late.late_to_files(events, path, checkpoint, "1 hour", drain=True))
+    kept = [(r.PULocationID, r.event_timestamp, r.batch) for r in late.read_late(spark, path, events).collect()]
+    assert kept == [(7, at(59), 2)] * 2
+    feed.add(ride(at(5), zone=8), ride(at(61)))  # the next run goes on with the times seen so far
+    queries.finish(late.late_to_files(events, path, checkpoint, "1 hour", drain=True))
+    assert sorted((r.PULocationID, r.batch) for r in late.read_late(spark, path, events).collect()) == [(7, 2), (7, 2), (8, 3)]
+
+
+def test_a_count_that_is_not_whole_is_an_error(spark):
+    counter = queries.DropCounter(spark)
+    counter.running.add("a stream that goes on")
+    with pytest.raises(TimeoutError):
+        counter.stop(patience=0.1)

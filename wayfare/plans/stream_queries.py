@@ -16,7 +16,7 @@ from wayfare.plans.registry import query, sql_money_sum
 from wayfare.scratch import fresh_path
 from wayfare.sinks import incremental
 from wayfare.streaming import queries as streams
-from wayfare.streaming import windows
+from wayfare.streaming import late, windows
 
 CLOSED = "(SELECT MAX(ts) - INTERVAL 5 SECOND FROM events)"
 
@@ -194,6 +194,17 @@ def stream_dropped_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.range(1).select(F.lit(counter.stop()).cast("long").alias("dropped"))
 
 
+@query(f"""WITH {b.RECORDS} SELECT ts AS pickup_datetime, user_id AS "PULocationID", value AS total_amount, file AS batch
+    FROM records WHERE lost""")
+def stream_late_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records that came after their hour had closed, each with the batch it came in."""
+    path, events = fresh_path(spark, "late"), windows.with_event_time(b.record_stream(spark, sf_dir), time="pickup_datetime")
+    streams.finish(late.late_to_files(events, path, fresh_path(spark, "checkpoint"), "1 hour", drain=True))
+    kept = late.read_late(spark, path, events)
+    return kept.select(F.col("pickup_datetime").cast("timestamp_ntz").alias("pickup_datetime"), "PULocationID", "total_amount",
+                       F.col("batch").cast("long").alias("batch"))
+
+
 class _Stopped(RuntimeError):
     """Stands for an executor or driver that is lost between two batches."""
 

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Callable, Mapping, Sequence
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -72,27 +72,39 @@ def parquet_merged(spark: SparkSession, paths: Paths, schema: StructType | None
 
     Without ``schema`` the files may differ in columns but not in a column's
     type.  With it they may differ in both: the columns it names are cast.
-    Files of equal schema share one scan, so the plan grows with the number of
-    schemas and not with the number of files.
+    Files that merge share one scan, so the plan grows with the number of type
+    changes and not with the number of files.
     """
     if schema is None:
-        return spark.read.option("mergeSchema", True).parquet(*_list(paths))
-    groups = paths_by_schema(spark, _list(paths))
-    return union_by_name([cast_to(spark.read.parquet(*group), schema) for group in groups])
+        return _merged(spark, _list(paths))
+    return union_by_name([cast_to(run, schema) for run in merged_runs(spark, _list(paths))])
+
 
+def _merged(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    return spark.read.option("mergeSchema", True).parquet(*paths)
 
-#: Footer reads that the driver has under way at a time.
-FOOTER_READS = 16
 
+def merged_runs(
+    spark: SparkSession, paths: Sequence[str], apart: Callable[[Sequence[str]], bool] = lambda names: False
+) -> list[DataFrame]:
+    """Files with differing columns and types as few scans, each of neighbours in the list that merge by name.
 
-def paths_by_schema(spark: SparkSession, paths: Sequence[str]) -> list[list[str]]:
-    """The paths in groups of equal schema; their footers are read side by side, not one after another."""
-    with ThreadPoolExecutor(FOOTER_READS) as pool:
-        schemas = list(pool.map(lambda path: spark.read.parquet(path).schema.json(), paths))
-    groups: dict[str, list[str]] = {}
-    for path, schema in zip(paths, schemas):
-        groups.setdefault(schema, []).append(path)
-    return list(groups.values())
+    One Spark job reads the footers of all files in its tasks and merges their
+    schemas there.  Where two files give one column different types, or where
+    ``apart`` says that columns must not come together, the list is halved:
+    jobs grow with the number of places at which the files change, not with
+    the number of files.  A file that can't be read is an error.
+    """
+    try:
+        run = _merged(spark, paths)
+    except (Py4JJavaError, PySparkException) as error:
+        if len(paths) == 1 or "CANNOT_MERGE_SCHEMAS" not in str(error):
+            raise
+    else:
+        if len(paths) == 1 or not apart(run.columns):
+            return [run]
+    middle = len(paths) // 2
+    return merged_runs(spark, paths[:middle], apart) + merged_runs(spark, paths[middle:], apart)
 
 
 def external_table(spark: SparkSession, name: str, pattern: str) -> DataFrame:

@@ -70,11 +70,13 @@ def read_months(
         raise FileNotFoundError(", ".join(sorted(set(wanted) - set(paths))))
     if not paths:
         return None
-    frames = [
-        cast_to(resolve_aliases(spark.read.parquet(*group), aliases), schema)
-        for group in files.paths_by_schema(spark, paths)
-    ]
-    return union_by_name(frames)
+
+    def several_names(columns: Sequence[str]) -> bool:
+        """Which name counts is a matter of each file, so files that name a column differently stay apart."""
+        return any(len(set(names).intersection(columns)) > 1 for names in aliases.values())
+
+    runs = files.merged_runs(spark, paths, several_names)
+    return union_by_name([cast_to(resolve_aliases(run, aliases), schema) for run in runs])
 
 
 def ingest_trips(

@@ -99,11 +99,13 @@ class DropCounter(StreamingQueryListener):
         self.running.discard(event.id)
 
     def stop(self, patience: float = 30.0) -> int:
-        """The rows so far, after the reports of the queries that have ended."""
+        """The rows so far, after the reports of all queries; an error if one has not ended or reported in time."""
         until = time.monotonic() + patience
         while self.running and time.monotonic() < until:
             time.sleep(0.05)
         self.spark.streams.removeListener(self)
+        if self.running:
+            raise TimeoutError(f"{len(self.running)} streams have not ended: the count would not be whole")
         return self.dropped
 
 
