@@ -201,3 +201,67 @@ def test_stored_upsert_moves_a_key_to_another_partition(spark, tmp_path):
     rows = incremental.read_table(spark, path).select("k", "day", "v").collect()
     assert sorted(map(tuple, rows), key=str) == sorted([again[0], again[1], again[2], first[1]], key=str)
     assert "day=2024-01-01" not in manifest.version(spark, path).live
+
+
+def _numbered(spark, path, days):
+    """A table of ten numbers a day, written by an upsert."""
+    rows = [(D(2024, 1, d, h), d * 10 + h, "old") for d in range(1, days + 1) for h in range(10)]
+    incremental.upsert(path, frame(spark, *rows).withColumn("t_date", F.to_date("t")), ["k"], "t_date")
+    return rows
+
+
+def test_only_partitions_that_may_hold_a_key_are_opened(spark, tmp_path):
+    path = str(tmp_path / "t")
+    old = _numbered(spark, path, 6)
+    for day in (2, 4, 6):  # whoever opens one of these fails
+        live = manifest.version(spark, path).live[f"t_date=2024-01-0{day}"]
+        for file in (tmp_path / "t" / live).glob("*.parquet"):
+            file.write_bytes(b"no Parquet")
+            file.with_name(f".{file.name}.crc").unlink()
+    # 13 moves from the first day to the third, 55 stays on the fifth, 100 is new on the seventh.
+    new = [(D(2024, 1, 3, 20), 13, "new"), (D(2024, 1, 5, 5), 55, "new"), (D(2024, 1, 7), 100, "new")]
+    incremental.upsert(path, frame(spark, *new).withColumn("t_date", F.to_date("t")), ["k"], "t_date")
+    now = manifest.version(spark, path)
+    got = manifest.read(spark, path, now, folders={f"t_date=2024-01-0{d}" for d in (1, 3, 5, 7)}).drop("t_date")
+    wanted = [r for r in old if r[0].day in (1, 3, 5) and r[1] not in (13, 55)] + new
+    assert rows(got) == sorted(wanted, key=str)
+    assert now.bounds["k"]["t_date=2024-01-03"] == (13, 39, False) and now.bounds["k"]["t_date=2024-01-02"] == (20, 29, False)
+    twice = frame(spark, (D(2024, 1, 3), 31, "a"), (D(2024, 1, 5), 31, "b")).withColumn("t_date", F.to_date("t"))
+    with pytest.raises(Exception, match="duplicate key"):
+        incremental.upsert(path, twice, ["k"], "t_date")
+    assert manifest.version(spark, path).number == now.number
+
+
+def test_partitions_written_without_keys_are_measured_once(spark, tmp_path):
+    path = str(tmp_path / "t")
+    incremental.load(path, frame(spark, *OLD), "t", "2024-01-01", "2024-02-01", full_refresh=True)
+    assert not manifest.version(spark, path).bounds
+    for value in ("a", "b"):
+        moved = frame(spark, (D(2024, 1, 9), OLD[0][1], value)).withColumn("t_date", F.to_date("t"))
+        incremental.upsert(path, moved, ["k"], "t_date")
+        now = manifest.version(spark, path)
+        assert set(now.bounds["k"]) == set(now.live)
+    by_key = {r[1]: r for r in OLD} | {OLD[0][1]: (D(2024, 1, 9), OLD[0][1], "b")}
+    if len(by_key) == len(OLD):
+        assert stored(spark, path) == sorted(by_key.values(), key=str)
+    incremental.replace_interval(path, frame(spark, (D(2024, 1, 9), 77, "c")), "t", "2024-01-09", "2024-01-10")
+    assert "t_date=2024-01-09" not in manifest.version(spark, path).bounds["k"], "replaced without keys: unknown again"
+
+
+@pytest.mark.parametrize("kind, values", [
+    ("string", ["a", "ab", "b", "é", "漢", "z" * 300]), ("date", ["1960-01-01", "2024-02-29"]),
+    ("timestamp", ["1960-01-01 00:00:00.000001", "2024-02-29 12:00:00"]), ("smallint", ["-3", "0", "9"]),
+    ("double", ["1.5", "2.5"])])
+def test_keys_of_other_types_move(spark, tmp_path, kind, values):
+    path = str(tmp_path / "t")
+
+    def of(pairs):
+        return spark.createDataFrame(pairs, "k string, p int").select(F.col("k").cast(kind).alias("k"), "p")
+
+    keys = [*values, None]
+    incremental.upsert(path, of([(k, i) for i, k in enumerate(keys)]), ["k"], "p")
+    incremental.upsert(path, of([(k, len(keys) - 1 - i) for i, k in enumerate(keys)]), ["k"], "p")
+    incremental.upsert(path, of([(keys[0], 99), (None, 98)]), ["k"], "p")
+    wanted = of([(k, len(keys) - 1 - i) for i, k in enumerate(keys)][1:-1] + [(keys[0], 99), (None, 98)])
+    got = incremental.read_table(spark, path)
+    assert sorted(map(str, got.select("k", "p").collect())) == sorted(map(str, wanted.collect()))

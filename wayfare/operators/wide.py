@@ -21,8 +21,11 @@ from wayfare.operators.tips import CATEGORICAL, LABEL, NUMERIC
 from wayfare.scratch import fresh_path
 from wayfare.sources.storage import Storage
 
-#: A solution's residual against that of no weights at all, and the steps it may take.
-TOLERANCE, STEPS = 1e-13, 500
+#: What may be left of the equations, against the spread of the labels, and the steps a solution may take.
+TOLERANCE, STEPS = 1e-12, 500
+
+#: Steps go on below the tolerance while each still halves what is left, down to what sums of doubles can tell.
+ROUNDING = 1e-15
 
 
 @dataclass(frozen=True)
@@ -76,7 +79,7 @@ def train(
     ).filter(F.col("_y").isNotNull())
     told = known.agg(
         F.count("_y").alias("n"), F.avg("_y").alias("_y"),
-        *[f(a).alias(f"{a}_{f.__name__}") for a in nums for f in (F.avg, F.stddev_pop)],
+        F.var_pop("_y").alias("spread"), *[f(a).alias(f"{a}_{f.__name__}") for a in nums for f in (F.avg, F.stddev_pop)],
     ).first()
     if not told["n"]:
         raise ValueError(f"no row has a {label}")
@@ -110,9 +113,9 @@ def train(
         return float((residual**2 / diagonal).sum()) + (over_values or 0.0)
 
     w, p = np.zeros(len(ones)), r / diagonal
-    left = first = size(r, state)
-    taken = 0
-    while first and left > first * tolerance**2:
+    whole = told["n"] * told["spread"]  # no residual is larger
+    left, old, taken = size(r, state), np.inf, 0
+    while left > whole * ROUNDING**2 and (left > whole * tolerance**2 or left < old / 4):
         if taken == steps:
             raise RuntimeError(f"not solved in {steps} steps")
         taken += 1

@@ -185,10 +185,10 @@ def _wide(spark: SparkSession, sf_dir: str) -> tuple[wide.WideModel, DataFrame]:
 
 
 @query(f"""WITH RECURSIVE {_ALL} SELECT passenger_count, trip_distance, "PULocationID", "DOLocationID", payment_type,
-    fare_amount, tolls_amount, tip_amount, ROUND(p, 6) AS predicted_tip_amount FROM f JOIN p USING (id)""")
+    fare_amount, tolls_amount, tip_amount, ROUND(p, 5) AS predicted_tip_amount FROM f JOIN p USING (id)""")
 def wide_tip_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     model, rows = _wide(spark, sf_dir)
-    return wide.predict(model, rows).withColumn(model.prediction, F.round(model.prediction, 6))
+    return wide.predict(model, rows).withColumn(model.prediction, F.round(model.prediction, 5))
 
 
 @query(f"""WITH RECURSIVE {_ALL}, e AS (SELECT tip_amount AS y, p FROM f JOIN p USING (id))

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from wayfare.functions import times
 from wayfare.operators import changes, staging, trips
+from wayfare.operators import topk
 from wayfare.plans import bindings as b
 from wayfare.plans.registry import query
 from wayfare.scratch import fresh_path
@@ -366,3 +367,13 @@ def append_then_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     for mode in ("overwrite", "append"):
         tables.write_parquet(_events(spark, sf_dir), path, mode=mode)
     return staging.first_per_key(files.parquet(spark, path), ["event_id"], ["ts", "event_type", "value"])
+
+
+@query("SELECT LEAST(COUNT(*), 5) AS taken, LEAST(COUNT(*), 5) AS found FROM events")
+def sample_in_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Any five rows, looked up again: as many as asked for, each of them a row of the table."""
+    events = b.table(spark, sf_dir, "events")
+    taken = topk.sample_rows(events.select("event_id", "ts"), 5)
+    back = events.select(F.col("event_id").alias("id"), F.col("ts").alias("at"))
+    return taken.join(back, (F.col("event_id") == F.col("id")) & F.col("ts").eqNullSafe(F.col("at")), "left").agg(
+        F.count(F.lit(1)).alias("taken"), F.count("id").alias("found"))

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from wayfare.functions.times import Moment, in_interval, to_moment
 from wayfare.operators import changes
-from wayfare.sinks import manifest
+from wayfare.sinks import key_index, manifest
 from wayfare.sinks.tables import write_partitioned
 from wayfare.sources.storage import Storage
 
@@ -31,12 +31,18 @@ def read_table(spark: SparkSession, path: str, version: int | None = None) -> Da
 
 def _swap(
     spark: SparkSession, df: DataFrame, path: str, before: manifest.Version, partition: str, cluster: Sequence[str],
-    replaced: Collection[str],
+    replaced: Collection[str], key: str | None = None, bounds: dict[str, key_index.Bounds] | None = None,
 ) -> None:
-    """Write partitions in their new state and make them the table's; those of ``replaced`` that got no row go."""
-    change = manifest.new_change(path)
+    """Write partitions in their new state and make them the table's; those of ``replaced`` that got no row go.
+
+    With ``key`` the bounds of the written partitions are kept beside those in ``bounds``.
+    """
+    change, known = manifest.new_change(path), {}
     write_partitioned(df, change, partition, cluster)
-    manifest.commit(spark, path, before, df.schema, change, replaced)
+    if key is not None:
+        written = spark.read.schema(df.schema).parquet(change)
+        known = {key: {f: b for f, b in (bounds or {}).items() if f not in replaced} | key_index.bounds_of(written, key)}
+    manifest.commit(spark, path, before, df.schema, change, replaced, known)
 
 
 def replace_interval(
@@ -73,8 +79,10 @@ def upsert(
     """Replace rows of equal key and add the others: one row per key, wherever the key lay before.
 
     Where the partition column is a key, a row can't change partition and only
-    the partitions of the new rows are looked at; else the keys of the whole
-    table are read (no other column) to find the partitions that hold them.
+    the partitions of the new rows are looked at.  Else keys are searched (no
+    other column is read) in the partitions whose least and greatest key allow
+    for one of the new rows; those bounds are measured once for each partition
+    that a change wrote, and kept.
     """
     _rewrite(path, new, keys, partition, cluster, lambda old, rows: changes.upsert(old, rows, keys, newest))
 
@@ -99,17 +107,25 @@ def _rewrite(
     incoming = f"{path}/{INCOMING}"
     new.write.mode("overwrite").parquet(incoming)
     rows = spark.read.schema(new.schema).parquet(incoming)
-    places = rows.select(partition)
-    if target is not None and partition not in keys:
-        typed = manifest.read(spark, path, before, schema=new.schema).select(*new.columns)
-        places = places.unionByName(changes.with_keys_of(typed, rows, keys).select(partition))
+    places, key, bounds = rows.select(partition), None, {}
+    if partition not in keys:
+        key, bounds = keys[0], dict(before.bounds.get(keys[0], {}))
+    if target is not None and key is not None:
+        unknown = manifest.read(spark, path, before, schema=new.schema, folders=set(before.live) - set(bounds))
+        if unknown is not None:
+            bounds |= key_index.bounds_of(unknown, key)
+        searched = key_index.candidates(rows, key, before.live, bounds)
+        typed = manifest.read(spark, path, before, schema=new.schema, folders=searched)
+        if typed is not None:
+            held = changes.with_keys_of(typed.select(*new.columns), rows, keys)
+            places = places.unionByName(held.select(partition))
     # No more values than the table has folders: what a listing would return.
     touched = [r[0] for r in places.distinct().collect()]
     if touched:
         replaced = _folders_of(before, touched)
         old = manifest.read(spark, path, before, schema=new.schema, folders=replaced)
         old = rows.filter(F.lit(False)) if old is None else old.select(*new.columns)
-        _swap(spark, change(old, rows), path, before, partition, cluster, replaced)
+        _swap(spark, change(old, rows), path, before, partition, cluster, replaced, key, bounds)
     Storage(spark).delete(incoming)
 
 
