@@ -13,8 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wayfare.functions import times
-from wayfare.operators import changes, staging, trips
-from wayfare.operators import topk
+from wayfare.operators import changes, staging, topk, trips
 from wayfare.plans import bindings as b
 from wayfare.plans.registry import query
 from wayfare.scratch import fresh_path
