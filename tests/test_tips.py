@@ -191,3 +191,67 @@ def test_wide_model_without_categories_numbers_or_spread(spark):
     assert wide.predict(same, unknown).first().predicted_y == pytest.approx(4)
     with pytest.raises(ValueError):
         wide.train(df.filter("false"), ["x"], ["c"], label="y")
+
+
+def _odd_rows(spark):
+    draw = random.Random(8)
+    rows = [(
+        i, draw.gauss(3, 2), draw.gauss(0, 1), f"z{min(draw.randrange(12), 7)}", str(draw.randrange(3)), draw.gauss(5, 4),
+    ) for i in range(300)]
+    return spark.createDataFrame(rows, "id int, x double, y double, zone string, kind string, tip double")
+
+
+@pytest.mark.parametrize("l2", [0.1, 3.0])
+def test_penalised_wide_weights_equal_those_of_the_solver(spark, l2):
+    df = _odd_rows(spark)
+    model = wide.train(df, ["x", "y"], ["zone", "kind"], label="tip", l2=l2)
+    # The solver measures its penalty by the spread of the labels.
+    spread = df.agg(F.stddev_pop("tip")).first()[0]
+    other = tips.train(df, ["x", "y"], ["zone", "kind"], label="tip", regularisation=l2 * spread)
+    assert model.numbers == pytest.approx(other.numbers, rel=1e-6)
+    weights = {c: {} for c in ("zone", "kind")}
+    for r in model.weights.collect():
+        weights[r.feature][r.value] = r.weight
+    for c, values in other.categories.items():
+        assert weights[c] == pytest.approx(values, rel=1e-6, abs=1e-9)
+    got = wide.predict(model, df).agg(F.avg(model.prediction)).first()[0]
+    assert got == pytest.approx(df.agg(F.avg("tip")).first()[0])
+
+
+def test_a_large_penalty_leaves_the_mean(spark):
+    df = _odd_rows(spark)
+    model = wide.train(df, ["x"], ["zone"], label="tip", l2=1e12)
+    mean = df.agg(F.avg("tip")).first()[0]
+    assert wide.predict(model, df).agg(F.max(F.abs(F.col(model.prediction) - mean))).first()[0] < 1e-6
+    with pytest.raises(ValueError):
+        wide.train(df, ["x"], ["zone"], label="tip", l2=-1.0)
+
+
+def test_wide_explanations_add_up(spark):
+    df = _odd_rows(spark)
+    model = wide.train(df, ["x", "y"], ["zone", "kind"], label="tip", l2=0.1)
+    odd = spark.createDataFrame([(-1, None, float("nan"), None, "new", None)], df.schema)
+    explained = wide.explain(model, df.unionByName(odd), top_features=4)
+    total = F.col("baseline_prediction_value") + F.aggregate(
+        "top_feature_attributions", F.lit(0.0), lambda s, a: s + a["attribution"])
+    assert explained.agg(F.max(F.abs(total - F.col(model.prediction)))).first()[0] < 1e-9
+    unknown = explained.filter("id = -1").first()
+    assert [(a.feature, a.attribution) for a in unknown.top_feature_attributions] == [
+        ("kind", 0.0), ("x", 0.0), ("y", 0.0), ("zone", 0.0)]
+    for r in wide.explain(model, df, top_features=2).collect():
+        sizes = [abs(a.attribution) for a in r.top_feature_attributions]
+        assert len(sizes) == 2 and sizes == sorted(sizes, reverse=True)
+
+
+def test_wide_tuning(spark):
+    df = _odd_rows(spark)
+    model, trials = wide.tune(df, F.col("id") % 5 == 0, ["x", "y"], ["zone", "kind"], label="tip", candidates=[0.0, 1.0, 100.0])
+    for t in trials:
+        alone = wide.train(df.filter("id % 5 <> 0"), ["x", "y"], ["zone", "kind"], label="tip", l2=t.l2)
+        judged = tips.evaluate(wide.predict(alone, df.filter("id % 5 = 0")), "tip").first()
+        assert t.mean_squared_error == pytest.approx(judged.mean_squared_error)
+    best = min(trials, key=lambda t: t.mean_squared_error)
+    again = wide.train(df, ["x", "y"], ["zone", "kind"], label="tip", l2=best.l2)
+    assert model.numbers == pytest.approx(again.numbers)
+    with pytest.raises(ValueError):
+        wide.tune(df, F.lit(False), ["x"], [], label="tip", candidates=[1.0])

@@ -4,12 +4,14 @@ The normal equations are solved by conjugate gradients.  All vectors over
 category values (weights, residuals, directions) are columns of one table with
 a row for each value; a step joins the direction to the counted combinations
 of values and adds up by value again.  The driver holds the numbers' matrix,
-which has a row for each number, and a few sums.
+which has a row for each number, and a few sums.  A penalty on squared weights
+adds to the equations' diagonal, so penalised models are solved likewise.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
@@ -17,7 +19,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wayfare.operators.tips import CATEGORICAL, LABEL, NUMERIC
+from wayfare.operators.tips import CATEGORICAL, L2_CANDIDATES, LABEL, NUMERIC, PARALLEL_TRIALS
 from wayfare.scratch import fresh_path
 from wayfare.sources.storage import Storage
 
@@ -44,6 +46,14 @@ class WideModel:
         return f"predicted_{self.label}"
 
 
+@dataclass(frozen=True)
+class Trial:
+    """A strength of the penalty and the mean squared error on the rows held out."""
+
+    l2: float
+    mean_squared_error: float
+
+
 def _number(column: str) -> Column:
     """A number as double; NULL if there is none."""
     return F.nanvl(F.col(column).cast("double"), F.lit(None).cast("double"))
@@ -59,17 +69,22 @@ def _dot(columns: Sequence[Column], factors: np.ndarray) -> Column:
 
 def train(
     df: DataFrame, numeric: Sequence[str] = NUMERIC, categorical: Sequence[str] = CATEGORICAL, *, label: str = LABEL,
-    tolerance: float = TOLERANCE, steps: int = STEPS,
+    l2: float = 0.0, tolerance: float = TOLERANCE, steps: int = STEPS,
 ) -> WideModel:
     """Least squares on all features, from the rows whose label is known.
 
-    Absent numbers count as the mean, absent categories add nothing.  Where
-    weights are not determined (every row has one value of each category) the
+    What is least is the mean squared error plus ``l2`` times the sum over all
+    weights of squared weight times the feature's variance, so the unit of a
+    feature does not matter; the intercept has no penalty.  Absent numbers
+    count as the mean, absent categories add nothing.  Where weights are not
+    determined (without penalty, every row has one value of each category) the
     predictions are all the same, and the steps find one such solution.  Rows
     are read three times; the steps read counted combinations of values.  A
-    table without labels is an error, as is a solution not reached in
-    ``steps``.
+    table without labels is an error, as are a negative ``l2`` and a solution
+    not reached in ``steps``.
     """
+    if not l2 >= 0:
+        raise ValueError(f"a penalty is at least 0, not {l2}")
     spark = df.sparkSession
     cats = [f"_c{i}" for i in range(len(categorical))]
     nums = [f"_x{j}" for j in range(len(numeric))]
@@ -97,6 +112,10 @@ def train(
     matrix = np.zeros((len(ones), len(ones)))
     for (i, j), total in zip(pairs, found):
         matrix[i, j] = matrix[j, i] = total
+    matrix += np.diag([0.0, *(l2 * np.diag(matrix)[1:])])
+    # A value of n rows has the variance n/N - (n/N)^2.
+    penalty = F.col("_one") * (1 - F.col("_one") / told["n"]) * l2
+    weight_of = F.col("_one") + penalty  # its place on the diagonal
     r = np.array(found[len(pairs):])
     diagonal = np.where(np.diag(matrix) > 0, np.diag(matrix), 1.0)
 
@@ -104,12 +123,12 @@ def train(
     rows.groupBy(*cats).agg(*[F.sum(a).alias(a) for a in (*ones, "_y")]).write.parquet(cells_path)
     cells = spark.read.parquet(cells_path)
     _by_value(cells, cats, [*ones, "_y"]).withColumns(
-        {"w": F.lit(0.0), "p": F.col("_y") / F.col("_one"), "q": F.lit(0.0)}
+        {"w": F.lit(0.0), "p": F.col("_y") / weight_of, "q": F.lit(0.0)}
     ).withColumnRenamed("_y", "r").write.parquet(path)
     state = spark.read.parquet(path)
 
     def size(residual: np.ndarray, table: DataFrame) -> float:
-        over_values = table.agg(F.sum(F.col("r") * F.col("r") / F.col("_one"))).first()[0]
+        over_values = table.agg(F.sum(F.col("r") * F.col("r") / weight_of)).first()[0]
         return float((residual**2 / diagonal).sum()) + (over_values or 0.0)
 
     w, p = np.zeros(len(ones)), r / diagonal
@@ -124,7 +143,8 @@ def train(
             "place", "value", (F.col("_one") * F.col("p")).alias("_hit"))
         crossed = _dot([F.col(a) for a in ones], p)
         before, path = path, fresh_path(spark, "weights")
-        state.drop("q").join(shared, ["place", "value"]).withColumn("q", F.col("_hit") + crossed).drop("_hit").write.parquet(path)
+        state.drop("q").join(shared, ["place", "value"]).withColumn(
+            "q", F.col("_hit") + crossed + penalty * F.col("p")).drop("_hit").write.parquet(path)
         state = spark.read.parquet(path)
         Storage(spark).delete(before)
         told_step = state.agg(F.sum(F.col("p") * F.col("q")), *[F.sum(F.col(a) * F.col("p")) for a in ones]).first()
@@ -135,7 +155,7 @@ def train(
         state = state.withColumns({"w": F.col("w") + step * F.col("p"), "r": F.col("r") - step * F.col("q")})
         left, old = size(r, state), left
         p = r / diagonal + left / old * p
-        state = state.withColumn("p", F.col("r") / F.col("_one") + left / old * F.col("p"))
+        state = state.withColumn("p", F.col("r") / weight_of + left / old * F.col("p"))
     named = F.element_at(F.array(*[F.lit(c) for c in categorical]), F.col("place") + 1) if cats else F.lit(None).cast("string")
     numbers = w[1:] / scales
     return WideModel(
@@ -164,18 +184,66 @@ def _scored(cells: DataFrame, state: DataFrame, cats: Sequence[str]) -> DataFram
     return out.select(*cats, (F.col("_one") * _sum(parts)).alias("_hit"))
 
 
-def predict(model: WideModel, df: DataFrame) -> DataFrame:
-    """The rows with ``predicted_<label>``; values that training did not see add nothing.
-
-    Weights are joined by value, broadcast or shuffled as their measured size allows.
-    """
-    total = [F.lit(model.intercept)]
-    for c, weight in model.numbers.items():
-        total.append(F.lit(weight) * F.coalesce(_number(c) - model.means[c], F.lit(0.0)))
-    out = df
+def _with_shares(model: WideModel, df: DataFrame) -> tuple[DataFrame, dict[str, Column]]:
+    """What each feature adds to the intercept; weights are joined by value, broadcast or shuffled as their measured size allows."""
+    shares = {
+        c: F.lit(weight) * F.coalesce(_number(c) - model.means[c], F.lit(0.0)) for c, weight in model.numbers.items()
+    }
     for i, c in enumerate(model.categorical):
         listed = model.weights.filter(F.col("feature") == c).select(
             F.col("value").alias(f"_value_{i}"), F.col("weight").alias(f"_weight_{i}"))
-        out = out.join(listed, F.col(c).cast("string") == F.col(f"_value_{i}"), "left")
-        total.append(F.coalesce(F.col(f"_weight_{i}"), F.lit(0.0)))
-    return out.select(*df.columns, _sum(total).alias(model.prediction))
+        df = df.join(listed, F.col(c).cast("string") == F.col(f"_value_{i}"), "left")
+        shares[c] = F.coalesce(F.col(f"_weight_{i}"), F.lit(0.0))
+    return df, shares
+
+
+def predict(model: WideModel, df: DataFrame) -> DataFrame:
+    """The rows with ``predicted_<label>``; values that training did not see add nothing."""
+    scored, shares = _with_shares(model, df)
+    return scored.select(*df.columns, _sum([F.lit(model.intercept), *shares.values()]).alias(model.prediction))
+
+
+def explain(model: WideModel, df: DataFrame, top_features: int = 3) -> DataFrame:
+    """Predictions with the features that moved each of them most.
+
+    The baseline is the prediction with all numbers at their mean and no
+    category; it and the shares of all features add up to the prediction.
+    Equal shares come in the features' order by name.
+    """
+    scored, shares = _with_shares(model, df)
+    ranked = F.array_sort(F.array(*[
+        F.struct((-F.abs(s)).alias("order"), F.lit(c).alias("feature"), s.alias("attribution")) for c, s in shares.items()
+    ]))
+    best = F.transform(F.slice(ranked, 1, top_features), lambda x: F.struct(x["feature"], x["attribution"]))
+    return scored.select(
+        *df.columns, _sum([F.lit(model.intercept), *shares.values()]).alias(model.prediction),
+        best.alias("top_feature_attributions"), F.lit(model.intercept).alias("baseline_prediction_value"),
+        F.lit(0.0).alias("approximation_error"),
+    )
+
+
+def tune(
+    df: DataFrame, held_out: Column, numeric: Sequence[str] = NUMERIC, categorical: Sequence[str] = CATEGORICAL, *,
+    label: str = LABEL, candidates: Sequence[float] = L2_CANDIDATES, parallel: int = PARALLEL_TRIALS,
+) -> tuple[WideModel, list[Trial]]:
+    """The model of the penalty with the least error on the rows held out, learned from all rows, and every trial.
+
+    ``held_out`` tells those rows apart by their own columns; rows for which it
+    is NULL are learned from.  Among equal errors the earlier candidate is
+    taken.  Trials run side by side, ``parallel`` at a time.
+    """
+    held = F.coalesce(held_out, F.lit(False))
+    learned, judged = df.filter(~held), df.filter(held)
+
+    def attempt(l2: float) -> Trial:
+        model = train(learned, numeric, categorical, label=label, l2=l2)
+        error = _number(label) - F.col(model.prediction)
+        found = predict(model, judged).agg(F.avg(error * error)).first()[0]
+        if found is None:
+            raise ValueError(f"no row held out has a {label}")
+        return Trial(l2, found)
+
+    with ThreadPoolExecutor(parallel) as pool:
+        trials = list(pool.map(attempt, candidates))
+    best = min(trials, key=lambda t: t.mean_squared_error)
+    return train(df, numeric, categorical, label=label, l2=best.l2), trials
