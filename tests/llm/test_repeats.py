@@ -156,3 +156,31 @@ def test_queries_on_whole_tables(spark):
     }
     for run, rows in wanted.items():
         assert in_order(run(spark, SMALL).collect()) == in_order(rows), run.__name__
+
+
+def test_what_a_crowded_cluster_leaves_beside_its_largest_group_is_compared(spark, monkeypatch):
+    monkeypatch.setattr(near, "BLOCK_SHINGLES", 1500)
+    draw = random.Random(12)
+
+    def edited(words, count):
+        out = list(words)
+        for i in draw.sample(range(len(out)), count):
+            out[i] = f"e{draw.randrange(10**6)}"
+        return " ".join(out)
+
+    base = [f"w{draw.randrange(10**5)}" for _ in range(120)]
+    half = [*base[:70], *(f"v{i}" for i in range(50))]
+    rows = [(i, edited(base, 2)) for i in range(150)] + [(200 + i, edited(half, 1)) for i in range(25)]
+    rows += [(300 + i, " ".join([*base[:88], *(f"u{i}_{j}" for j in range(30))])) for i in range(20)]
+    draw.shuffle(rows)
+    seen = []
+    opposed = near._opposed
+    monkeypatch.setattr(near, "_opposed", lambda rest, text: seen.append(rest.count()) or opposed(rest, text))
+    # Regions count as linked as a whole, so that clusters hold texts that aren't alike.
+    monkeypatch.setattr(near, "REGION", 3)
+    monkeypatch.setattr(near, "DEPTH", 1)
+    monkeypatch.setattr(near, "SPARSE", 2)
+    docs = frame(spark, rows)
+    found = near.classes(docs, shingle=4).select("doc_id", "n_shingles", "component_id")
+    assert sorted(map(tuple, found.collect())) == sorted(brute.components(rows))
+    assert seen and seen[0] > 150

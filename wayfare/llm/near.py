@@ -16,9 +16,13 @@
    there are.  Candidates only gather classes into clusters.
 3. Inside each cluster every pair is compared that its signatures allow, on the
    full sets, save those already linked to each other by confirmed links.
-   Clusters beyond a size are cut into blocks, and every pair of blocks is a
-   task; no cluster is dropped or sampled, and a task too gives each class one
-   row at most.
+   Clusters beyond a size are cut into blocks in two ways, and the classes of
+   a block compared.  Most near copies are one group then, as the ways
+   cross: each class goes to two tasks, however large its cluster.  What is left
+   of the cluster beside its largest group is compared with that group and
+   among itself, block by block, so all pairs of unlike groups are looked at
+   and no cluster is dropped or sampled.  A task too gives each class one row
+   at most.
 4. Confirmed links join into components.
 
 A pair at the threshold shares no region with probability (1 - 0.8**3)**16,
@@ -36,7 +40,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from wayfare.llm import anchors, carried, flat
 from wayfare.llm.anchors import written
@@ -255,15 +259,17 @@ def _join_rest(label: np.ndarray, low: np.ndarray) -> None:
 
 
 def _confirm(text: str, size: int, percent: int):
-    """Head and class for the classes of each task that confirmed links connect."""
+    """Head and group for the groups of each task that confirmed links connect; ``_group`` names what is known as one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _tasks(anchors.unlike_neighbours(batches, ["_task", "_node"])):
             sets = ShingleSets(rows.column(text), size)
-            label = _links(sets, rows.column("_side").to_numpy(), percent)
-            member = np.flatnonzero(np.bincount(label, minlength=len(label))[label] > 1)
-            node = rows.column("_node")
-            yield pa.record_batch([node.take(pa.array(x)) for x in (label[member], member)], names=["head", "node"])
+            group = rows.column("_group")
+            _, first, own = np.unique(group.to_numpy(zero_copy_only=False), return_index=True, return_inverse=True)
+            label = _links(sets, rows.column("_side").to_numpy(), first[own], percent)
+            # The first row of each group speaks for it.
+            member = first[np.bincount(label[first], minlength=len(label))[label[first]] > 1]
+            yield pa.record_batch([group.take(pa.array(x)) for x in (label[member], member)], names=["head", "node"])
 
     return run
 
@@ -286,19 +292,19 @@ def _tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.concat_batches(held)
 
 
-def _links(sets: ShingleSets, side: np.ndarray, percent: int) -> np.ndarray:
-    """A label for each row, equal for rows that confirmed links connect; only pairs of unlike sides, or all of side 0."""
+def _links(sets: ShingleSets, side: np.ndarray, label: np.ndarray, percent: int) -> np.ndarray:
+    """The labels of the rows after confirmed links, equal for rows that they connect.
+
+    Rows of side 0 are compared with each other, those of sides 1 and 2 with the
+    other side; rows that have one label already are not compared.
+    """
     n = len(side)
     low = (sets.signatures() & np.uint32(0xFF)).astype(np.uint8)
     sizes = np.diff(sets.at)
-    label = np.arange(n)
-    cross = bool(len(side)) and side.max() > side.min()
+    label = label.copy()
     for i in range(n):
-        others = np.arange(i + 1, n)
-        fits = label[others] != label[i]
-        if cross:
-            fits &= side[others] != side[i]
-        others = others[fits]
+        others = np.flatnonzero(label[i + 1 :] != label[i]) + i + 1
+        others = others[(side[others] == 0) | (side[others] != side[i])]
         smaller, larger = np.minimum(sizes[i], sizes[others]), np.maximum(sizes[i], sizes[others])
         others = others[(100 * smaller >= percent * larger) & (smaller > 0)]
         others = others[_agreement(low[others], low[i]) >= AGREEING]
@@ -316,6 +322,59 @@ def _links(sets: ShingleSets, side: np.ndarray, percent: int) -> np.ndarray:
     return label
 
 
+def _blocks(shingles: Column) -> Column:
+    """Blocks that so many shingles are cut into."""
+    return F.ceil(shingles / BLOCK_SHINGLES).cast("int")
+
+
+def _block(blocks: Column, way: int) -> Column:
+    return F.pmod(F.xxhash64("_node", F.lit(way)), blocks).cast("int")
+
+
+def _rest(inside: DataFrame, joined: DataFrame) -> DataFrame:
+    """The classes of clusters of many blocks that are not one group yet.
+
+    ``_group`` is what a class is joined with, ``_large`` whether that is the
+    cluster's largest group, ``_blocks`` and ``_others`` into how many blocks
+    that group and all the others are cut.
+    """
+    group = joined.select(F.col("node").alias("_node"), F.col("component").alias("_joined"))
+    grouped = inside.select("_half", "component", "_node", "n_shingles").join(group, "_node", "left").select(
+        "_half", "component", "_node", "n_shingles", F.coalesce("_joined", "_node").alias("_group"))
+    sizes = grouped.groupBy("_half", "component", "_group").agg(F.sum("n_shingles").alias("_size"))
+    known = sizes.groupBy("_half", "component").agg(
+        F.max_by("_group", F.struct("_size", "_group")).alias("_largest"), F.max("_size").alias("_most"),
+        F.sum("_size").alias("_all"),
+    ).where((_blocks(F.col("_all")) > 1) & (F.col("_all") > F.col("_most"))).select(
+        "_half", "component", "_largest", _blocks(F.col("_most")).alias("_blocks"),
+        _blocks(F.col("_all") - F.col("_most")).alias("_others"),
+    )
+    return grouped.join(anchors.anew(known, "_half"), ["_half", "component"]).select(
+        "_node", "component", "_group", (F.col("_group") == F.col("_largest")).alias("_large"), "_blocks", "_others")
+
+
+def _opposed(rest: DataFrame, text: str) -> DataFrame:
+    """Tasks that bring each class outside the largest group together with every class of its cluster."""
+    large, other = _block(F.col("_blocks"), 3), _block(F.col("_others"), 4)
+
+    def upto(blocks: str) -> Column:
+        return F.sequence(F.lit(0), F.col(blocks) - 1)
+
+    def task(kind: str, a: Column, b: Column) -> Column:
+        return F.concat_ws("-", F.hex("component"), F.lit(kind), a, b).alias("_task")
+
+    def side(is_: Column) -> Column:
+        return is_.cast("int").alias("_side")
+
+    names = F.transform(upto("_others"), lambda b: F.struct(task("large", large, b), side(F.lit(1))))
+    against = F.transform(upto("_blocks"), lambda b: F.struct(task("large", b, other), side(F.lit(2))))
+    among = F.transform(upto("_others"), lambda b: F.struct(
+        task("other", F.least(b, other), F.greatest(b, other)),
+        side(F.when(b == other, 0).when(b < other, 1).otherwise(2))))
+    dealt = F.inline(F.when(F.col("_large"), names).otherwise(F.concat(against, among)))
+    return rest.select("_group", "_node", text, dealt)
+
+
 def classes(
     docs: DataFrame, *, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, percent: int = SIMILARITY,
 ) -> DataFrame:
@@ -343,25 +402,30 @@ def classes(
     gathered = clusters.count()
     inside = sets.select("_node", key, "_row", "n_shingles").join(clusters, "_node")
     inside = written(inside.withColumn("_half", F.xxhash64("component")), "clusters", gathered)
-    sizes = inside.groupBy("_half", "component").agg(
-        F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES).cast("int").alias("_blocks"))
-    block = F.pmod(F.xxhash64("_node"), F.col("_blocks")).cast("int")
+    sizes = inside.groupBy("_half", "component").agg(_blocks(F.sum("n_shingles")).alias("_blocks"))
     placed = inside.join(anchors.anew(sizes, "_half"), ["_half", "component"]).select(
-        F.col(key).alias("_placed"), F.col("_row").alias("_text_row"), "_node", "component", "_blocks", block.alias("_block"),
+        F.col(key).alias("_placed"), F.col("_row").alias("_text_row"), "_node", "component", "_blocks",
     )
     here = docs[key].eqNullSafe(F.col("_placed")) & (docs["_row"] == F.col("_text_row"))
-    texts = docs.join(placed, here).select("_node", "component", "_blocks", "_block", text)
+    texts = docs.join(placed, here).select("_node", "component", "_blocks", text)
     # Repeated rows bring a text again, sorted next to each other by the join.
-    texts = texts.mapInArrow(lambda batches: anchors.unlike_neighbours(batches, ["_node"]), texts.schema)
-    # Every pair of blocks is a task: a class goes to one task for each block of its cluster.
-    other = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_other")
-    texts = texts.select("_node", "component", "_block", text, other).select(
-        F.concat_ws("-", F.hex("component"), F.least("_block", "_other"), F.greatest("_block", "_other")).alias("_task"),
-        (F.col("_block") > F.col("_other")).cast("int").alias("_side"), "_node", text,
-    )
-    tasks = texts.repartition("_task").sortWithinPartitions("_task", "_node")
-    links = tasks.mapInArrow(_confirm(text, shingle, percent), pair)
-    joined = from_heads(links).withColumnRenamed("node", "_node")
+    texts = written(texts.mapInArrow(lambda batches: anchors.unlike_neighbours(batches, ["_node"]), texts.schema), "texts")
+
+    def confirmed(tasks: DataFrame) -> DataFrame:
+        dealt = tasks.select("_task", "_side", "_group", "_node", text).repartition("_task")
+        return dealt.sortWithinPartitions("_task", "_node").mapInArrow(_confirm(text, shingle, percent), pair)
+
+    ways = F.when(F.col("_blocks") == 1, F.array(F.lit("0"))).otherwise(F.array(*[
+        F.concat_ws("-", F.lit(way), _block(F.col("_blocks"), way)) for way in (1, 2)]))
+    joined = written(from_heads(confirmed(texts.withColumn("_way", F.explode(ways)).select(
+        F.concat_ws("-", F.hex("component"), "_way").alias("_task"), F.lit(0).alias("_side"), F.col("_node").alias("_group"),
+        "_node", text,
+    ))), "joined", gathered)
+    rest = written(_rest(inside, joined), "rest", gathered)
+    if rest.limit(1).count():
+        links = confirmed(_opposed(texts.select("_node", text).join(rest, "_node"), text))
+        joined = from_heads(links.union(joined.select(F.col("component").alias("head"), "node")))
+    joined = joined.withColumnRenamed("node", "_node")
 
     linked = written(sets.select("_node", "_least").join(joined, "_node").withColumn("_half", F.xxhash64("component")),
                      "linked", gathered)
