@@ -121,6 +121,88 @@ def test_tuning(rows):
     assert tips.elastic_net(2.0, 1.0) == (4.0, 0.5) and tips.elastic_net(0.0, 0.0) == (0.0, 0.0)
 
 
+def _rows_with_gaps(spark):
+    """Absent, constant and hot values; the label is so wide that penalties leave some weights."""
+    draw = random.Random(6)
+    rows = []
+    for i in range(3000):
+        far, fare, zone = draw.gauss(3, 2), draw.gauss(50_000, 700), f"z{min(draw.randrange(12), 5)}"
+        tip = 300 * far + 0.2 * fare + 400 * (zone == "z1") + draw.gauss(0, 90)
+        rows.append((
+            None if i % 17 == 0 else float("nan") if i % 19 == 0 else far, fare, 7, None if i % 11 == 0 else zone,
+            draw.randrange(3), "same", None if i % 23 == 0 else tip))
+    kind = "far double, fare double, always int, zone string, kind int, one string, tip_amount double"
+    return spark.createDataFrame([*rows, *rows[:400]], kind), (["far", "fare", "always"], ["zone", "kind", "one"])
+
+
+def test_trials_on_condensed_rows_equal_those_on_all_rows(spark, monkeypatch):
+    df, features = _rows_with_gaps(spark)
+    model, log = tips.tune(df, *features)
+    monkeypatch.setattr(tips, "SOLVED_AT_ONCE", 0)
+    plain, wanted = tips.tune(df, *features)
+    assert [t["mean_squared_error"] for t in log] == pytest.approx([t["mean_squared_error"] for t in wanted], rel=1e-6)
+    assert len({t["mean_squared_error"] for t in wanted}) > 1 and plain.numbers["far"] > 100 and plain.categories["zone"]["z1"] > 100
+    assert model.intercept == pytest.approx(plain.intercept, rel=1e-6) and model.means == pytest.approx(plain.means)
+    assert model.numbers == pytest.approx(plain.numbers, rel=1e-6, abs=1e-6)
+    assert model.categories.keys() == plain.categories.keys()
+    for c, weights in plain.categories.items():
+        assert model.categories[c] == pytest.approx(weights, rel=1e-6, abs=1e-6)
+    spread = tips.predict(model, df).join(tips.predict(plain, df).withColumnRenamed(model.prediction, "plain"), ["fare", "kind"])
+    assert spread.agg(F.max(F.abs(F.col(model.prediction) - F.col("plain")))).first()[0] < 0.01
+
+
+def test_condensed_rows_have_the_sums_of_all_rows(spark, tmp_path):
+    df, (numeric, categorical) = _rows_with_gaps(spark)
+    known = tips._with_numbers(df, numeric).filter("tip_amount IS NOT NULL")
+    held = F.col("kind") == 1
+    few = tips._condensed(known, held, numeric, categorical, "tip_amount", str(tmp_path / "few"))
+    names = [*tips._numbers(numeric), "tip_amount"]
+    means = known.agg(*[F.avg(F.nanvl(F.col(c).cast("double"), F.lit(None))).alias(c) for c in names]).first()
+    full = known.select("zone", held.alias("_held"), F.lit(1.0).alias("_weight"), *[
+        F.coalesce(F.nanvl(F.col(c).cast("double"), F.lit(None)), F.lit(means[c])).alias(c) for c in names])
+
+    def sums(rows):
+        products = [F.sum(F.col("_weight") * F.col(a) * F.col(b)) for a in names for b in names]
+        found = rows.groupBy("zone", "_held").agg(F.sum("_weight"), *[F.sum(F.col("_weight") * F.col(a)) for a in names], *products)
+        return {(r[0], r[1]): list(r)[2:] for r in found.collect()}
+
+    got, want = sums(few), sums(full)
+    assert few.count() < known.count() / 4 and got.keys() == want.keys()
+    assert all(got[k] == pytest.approx(want[k], rel=1e-10) for k in want)
+    assert few.filter("_number_always <> 7").count() == 0
+
+
+def test_trials_do_not_read_all_rows(spark):
+    df, (numeric, categorical) = _rows_with_gaps(spark)
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    n = df.count()
+    tips.tune(df.mapInArrow(counted, df.schema), numeric, categorical)
+    assert n <= read.value <= 3 * n
+
+
+def test_tuning_on_rows_that_do_not_condense(spark):
+    df = spark.range(400).select(
+        (F.col("id") % 10).cast("double").alias("x"), F.col("id").cast("string").alias("c"), (F.col("id") % 10 * 50.0).alias("y"))
+    assert tips._condensed(tips._with_numbers(df, ["x"]), F.lit(False), ["x"], ["c"], "y", "/not/written") is None
+    model, log = tips.tune(df, ["x"], ["c"], label="y", trials=2)
+    assert len(log) == 2 and len(model.categories["c"]) == 400 and model.numbers["x"] > 0
+
+
+def test_tuning_on_labels_that_are_no_numbers_is_an_error(spark):
+    for odd in ("NaN", "Infinity"):
+        df = spark.range(200).select(
+            (F.col("id") % 7).cast("double").alias("x"), F.lit("a").alias("c"),
+            F.when(F.col("id") == 5, float(odd)).otherwise(F.col("id") % 5).alias("y"))
+        with pytest.raises(Exception, match="MUST NOT"):
+            tips.tune(df, ["x"], ["c"], label="y", trials=1)
+
+
 @pytest.mark.parametrize("last", [ranks.LAST, 1])
 def test_exact_quantiles(spark, monkeypatch, last):
     monkeypatch.setattr(ranks, "LAST", last)

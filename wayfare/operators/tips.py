@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import math
 import random
-from collections.abc import Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import Imputer, OneHotEncoder, StringIndexerModel, VectorAssembler
@@ -16,6 +19,8 @@ from pyspark.sql import functions as F
 
 from wayfare.functions.numbers import safe_divide
 from wayfare.operators import ranks
+from wayfare.scratch import fresh_path
+from wayfare.sources.storage import Storage
 
 # The columns of the training table.
 NUMERIC = ("passenger_count", "trip_distance", "fare_amount", "tolls_amount")
@@ -33,6 +38,11 @@ L2_CANDIDATES = (0.0, 0.1, 1.0, 10.0)
 TRIALS = 5
 PARALLEL_TRIALS = 2
 
+# Features up to which Spark solves from sums of products, and numbers up to which
+# their products are summed beside each other.
+SOLVED_AT_ONCE, MOST_NUMBERS = 4096, 24
+
+
 def tip_features(trips: DataFrame) -> DataFrame:
     """The training table: trips with a fare, ids as text so that they are categories."""
     columns = ("passenger_count", "trip_distance", *CATEGORICAL, "fare_amount", "tolls_amount", LABEL)
@@ -92,9 +102,12 @@ def split(
     The side depends on a hash of the row's key alone, so it is the same in
     every run, for every layout of the rows and after a lost task.
     """
-    place = F.pmod(F.xxhash64(*row_key), F.lit(PLACES))
-    limit = round(share * PLACES)
-    return df.filter(place >= limit), df.filter(place < limit)
+    held = _held_out(row_key, share)
+    return df.filter(~held), df.filter(held)
+
+
+def _held_out(row_key: Sequence[str], share: float = EVALUATION_SHARE) -> Column:
+    return F.pmod(F.xxhash64(*row_key), F.lit(PLACES)) < round(share * PLACES)
 
 
 @dataclass(frozen=True)
@@ -279,6 +292,88 @@ def elastic_net(l1: float, l2: float) -> tuple[float, float]:
     return strength, (l1 / strength if strength else 0.0)
 
 
+def _cell_sums(names: Sequence[str]) -> list[tuple[int, int]]:
+    """Pairs of columns, the column of ones first, whose products are summed."""
+    return [(i, j) for i in range(len(names) + 1) for j in range(i + 1)]
+
+
+def _cell_rows(n: int) -> int:
+    """Rows that stand for a cell: enough for ``n`` columns and ones, and a power of two, so that shares of counts are exact."""
+    return 1 << math.ceil(math.log2(n + 1))
+
+
+def _rows_of_cells(keys: Sequence[str], names: Sequence[str], means: Sequence[float]) -> Callable:
+    """Rows of equal weight with the sums of their cell.
+
+    A cell's matrix of sums is R'R; a reflection of R that makes its column of
+    ones even leaves R'R as it is, and its rows are then weighted rows.
+    """
+    pairs, width, count = _cell_sums(names), len(names) + 1, _cell_rows(len(names))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.num_rows
+            sums = np.empty((n, width, width))
+            for i, j in pairs:
+                sums[:, i, j] = sums[:, j, i] = batch.column(f"_s{i}_{j}").to_numpy(zero_copy_only=False)
+            size = np.sqrt(np.diagonal(sums, axis1=1, axis2=2))
+            unit = np.where(size > 0, size, 1.0)
+            values, vectors = np.linalg.eigh(sums / (unit[:, :, None] * unit[:, None, :]))
+            root = np.zeros((n, count, width))
+            root[:, :width] = np.sqrt(np.maximum(values, 0.0))[:, :, None] * vectors.transpose(0, 2, 1) * size[:, None, :]
+            even = size[:, 0] / math.sqrt(count)
+            # The farther of the two even columns, so that the mirror is well determined.
+            sign = np.where(root[:, :, 0].sum(axis=1) > 0, -1.0, 1.0)
+            mirror = root[:, :, 0] - (sign * even)[:, None]
+            mirror /= np.linalg.norm(mirror, axis=1)[:, None]
+            root -= 2 * mirror[:, :, None] * np.einsum("nr,nrc->nc", mirror, root)[:, None, :]
+            found = root * (sign / even)[:, None, None]
+            place = pa.array(np.repeat(np.arange(n), count))
+            columns = {k: batch.column(k).take(place) for k in keys}
+            columns["_weight"] = pa.array(np.repeat(sums[:, 0, 0] / count, count))
+            for i, (name, mean) in enumerate(zip(names, means), 1):
+                columns[name] = pa.array(found[:, :, i].ravel() + mean)
+            yield pa.RecordBatch.from_pydict(columns)
+
+    return run
+
+
+def _condensed(
+    known: DataFrame, held: Column, numeric: Sequence[str], categorical: Sequence[str], label: str, path: str,
+) -> DataFrame | None:
+    """A few weighted rows for all rows with the same categories on the same side of the split.
+
+    Their sums, and sums of products of numbers and label, are those of the
+    rows, absent numbers counting as the mean; squared errors of a linear model
+    and all it is solved from depend on nothing else.  None where this would
+    leave no fewer rows, and for numbers that no model can be learned from.
+    """
+    names = [*_numbers(numeric), label]
+    if len(names) > MOST_NUMBERS:
+        return None
+    number = {c: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) for c in names}
+    side = held.alias("_held")
+    texts = [F.col(c).cast("string").alias(c) for c in categorical]
+    told = known.agg(
+        F.count(F.lit(1)).alias("rows"), F.approx_count_distinct(F.xxhash64(side, *texts)).alias("cells"),
+        F.count_if(number[label].isNull()).alias("unlabelled"),
+        *[F.avg(v).alias(f"mean_{i}") for i, v in enumerate(number.values())],
+    ).first()
+    means = [told[f"mean_{i}"] for i in range(len(names))]
+    if told["cells"] * _cell_rows(len(names)) > told["rows"] or told["unlabelled"] or not all(
+            m is not None and math.isfinite(m) for m in means):
+        return None
+    centred = [F.lit(1.0), *[F.coalesce(v - F.lit(m), F.lit(0.0)) for v, m in zip(number.values(), means)]]
+    columns = [f"_c{i}" for i in range(len(centred))]
+    keys = ["_held", *categorical]
+    cells = known.select(side, *texts, *[c.alias(a) for c, a in zip(centred, columns)]).groupBy(*keys).agg(*[
+        F.sum(F.col(columns[i]) * F.col(columns[j])).alias(f"_s{i}_{j}") for i, j in _cell_sums(names)])
+    kind = ", ".join([
+        "_held boolean", *[f"`{c}` string" for c in categorical], *[f"`{c}` double" for c in ("_weight", *names)]])
+    cells.mapInArrow(_rows_of_cells(keys, names, means), kind).write.parquet(path)
+    return known.sparkSession.read.schema(kind).parquet(path)
+
+
 def tune(
     df: DataFrame, numeric: Sequence[str] = NUMERIC, categorical: Sequence[str] = CATEGORICAL, *,
     label: str = LABEL, trials: int = TRIALS, parallel: int = PARALLEL_TRIALS, seed: int = 7,
@@ -286,34 +381,51 @@ def tune(
     """The best of several penalties by squared error on a held-out fifth.
 
     Rows are held out by a hash of their columns.  Returns the model and one
-    entry per trial.  Features are prepared once for all trials.
+    entry per trial.  The rows are read three times, however many trials there
+    are: these learn from and are judged on a few weighted rows for each
+    combination of categories.  Where that leaves no fewer rows, and where
+    Spark solves by steps, every trial reads the rows.
     """
     known = _with_numbers(df, numeric).filter(F.col(label).isNotNull())
-    training, held_out = split(known, [label, *categorical, *_numbers(numeric)])
-    prepared = Pipeline(stages=_stages(known, numeric, categorical)).fit(known)
     wanted = [label, *categorical, *_numbers(numeric)]
-    learned, judged = (prepared.transform(part.select(*wanted)).select(label, "_features") for part in (training, held_out))
+    held = _held_out(wanted)
+    rows = known.select(*wanted, F.lit(1.0).alias("_weight"), held.alias("_held"))
+    path = fresh_path(df.sparkSession, "condensed")
+    try:
+        condensed = _condensed(known, held, numeric, categorical, label, path)
+        prepared = Pipeline(stages=_stages(known if condensed is None else condensed, numeric, categorical)).fit(known)
+        hot = sum(len(s.labels) for s in prepared.stages if isinstance(s, StringIndexerModel))
+        few = condensed is not None and len(numeric) + hot <= SOLVED_AT_ONCE
+        return _tried(prepared, condensed if few else rows, numeric, categorical, label, trials, parallel, seed)
+    finally:
+        Storage(df.sparkSession).delete(path)
+
+
+def _tried(
+    prepared: PipelineModel, rows: DataFrame, numeric: Sequence[str], categorical: Sequence[str], label: str, trials: int,
+    parallel: int, seed: int,
+) -> tuple[TipModel, list[dict[str, float]]]:
+    """The trials on weighted rows, and the model of the best one."""
+    every = prepared.transform(rows).select(label, "_features", "_weight", "_held")
+    learned, judged = every.filter(~F.col("_held")), every.filter("_held")
     points = trial_points(trials, seed)
-    evaluator = RegressionEvaluator(labelCol=label, predictionCol=f"predicted_{label}", metricName="mse")
+    evaluator = RegressionEvaluator(
+        labelCol=label, predictionCol=f"predicted_{label}", metricName="mse", weightCol="_weight")
 
-    def attempt(point: tuple[float, float]):
+    def learn(point: tuple[float, float], part: DataFrame):
         strength, share = elastic_net(*point)
-        fitted = LinearRegression(
-            featuresCol="_features", labelCol=label, predictionCol=f"predicted_{label}",
+        return LinearRegression(
+            featuresCol="_features", labelCol=label, predictionCol=f"predicted_{label}", weightCol="_weight",
             regParam=strength, elasticNetParam=share,
-        ).fit(learned)
-        return fitted, evaluator.evaluate(fitted.transform(judged))
+        ).fit(part)
+
+    def attempt(point: tuple[float, float]) -> float:
+        return evaluator.evaluate(learn(point, learned).transform(judged))
 
     with ThreadPoolExecutor(parallel) as pool:
-        tried = list(pool.map(attempt, points))
-    log = [
-        {"l1_reg": l1, "l2_reg": l2, "mean_squared_error": error} for (l1, l2), (_, error) in zip(points, tried)
-    ]
+        errors = list(pool.map(attempt, points))
+    log = [{"l1_reg": l1, "l2_reg": l2, "mean_squared_error": error} for (l1, l2), error in zip(points, errors)]
     # the chosen penalty, learned from all rows
-    best = min(range(len(points)), key=lambda i: (tried[i][1], i))
-    strength, share = elastic_net(*points[best])
-    fitted = LinearRegression(
-        featuresCol="_features", labelCol=label, regParam=strength, elasticNetParam=share
-    ).fit(prepared.transform(known.select(*wanted)).select(label, "_features"))
-    best = PipelineModel([*prepared.stages, fitted])
-    return read_weights(best, numeric, categorical, label), log
+    best = min(range(len(points)), key=lambda i: (errors[i], i))
+    fitted = learn(points[best], every)
+    return read_weights(PipelineModel([*prepared.stages, fitted]), numeric, categorical, label), log
